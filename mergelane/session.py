@@ -58,7 +58,7 @@ def planned_bytes(df: DataFrame) -> int:
     The estimate errs upward (a join counts as the product of its inputs), so a table that is
     called small here is small.
     """
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(spark: SparkSession) -> int:

@@ -51,7 +51,8 @@ CASE o_orderkey % 16
 
 @query(f"SELECT o_orderkey, {MESSY_DATES_SQL} AS day FROM orders")
 def parse_dates(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", dates.parse_mixed_date(messy_dates()).alias("day"))
+    raw = t.orders.select("o_orderkey", messy_dates().alias("day"))
+    return raw.withColumn("day", dates.parse_mixed_date("day"))
 
 
 @query("""
@@ -79,10 +80,8 @@ def path_dates(t: Tables) -> DataFrame:
         F.lit("/volumes/in/nothing.csv"),
         F.lit("other/01_02_2023.csv"),
     )
-    rows = t.orders.select("o_orderkey", value.alias("value"))
-    return rows.select(
-        "o_orderkey", dates.extract_path_date("value").alias("found"), dates.parse_date_or_path("value").alias("day")
-    )
+    rows = t.orders.select("o_orderkey", value.alias("day"))
+    return dates.parse_date_or_path(rows.withColumn("found", dates.extract_path_date("day")), "day")
 
 
 def messy_country() -> Column:

@@ -5,77 +5,105 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class DateStep:
-    """One way to read a date: texts that match `shape` are parsed, all others are left to later steps.
+    """One way to read a date: texts of one of the `shapes` are parsed with `pattern`.
 
-    With `parts`, the groups of `shape` are named by the letters of `parts` (y, m, d, q) and joined to
-    an ISO text first; otherwise `fmt` is a datetime pattern for the whole text (None: Spark's own
-    ISO parser). `month_end` moves the result to the last day of its month.
+    A shape is the text with every digit written as 9, so the test is a plain comparison and a row
+    pays for the one parser that fits. `prefix` completes the text to a full date first; `month_end`
+    moves the result to the last day of its month.
     """
 
     name: str
-    shape: str
-    parts: str = ""
-    fmt: str | None = None
+    shapes: tuple[str, ...]
+    pattern: str
+    prefix: str = ""
     month_end: bool = False
 
-    def expression(self, text: Column) -> Column:
-        if self.parts:
-            day = self._from_parts(text)
-        elif self.fmt is None:
-            day = F.try_to_timestamp(text).cast("date")
-        else:
-            day = F.try_to_timestamp(text, F.lit(self.fmt)).cast("date")
-        if self.month_end:
-            day = F.last_day(day)
-        return F.when(text.rlike(self.shape), day)
-
-    def _from_parts(self, text: Column) -> Column:
-        group = {p: F.regexp_extract(text, self.shape, i) for i, p in enumerate(self.parts, 1)}
-        if "q" in group:
-            month = F.lpad((group["q"].cast("int") * 3).cast("string"), 2, "0")
-        else:
-            month = F.lpad(group["m"], 2, "0")
-        day = F.lpad(group["d"], 2, "0") if "d" in group else F.lit("01")
-        # A two-digit year always means 20yy.
-        year = F.when(F.length(group["y"]) == 2, F.concat(F.lit("20"), group["y"])).otherwise(group["y"])
-        return F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd")
-
-
-# The accepted text shapes, tried from top to bottom; the first that parses wins.
-STRICT_STEPS: tuple[DateStep, ...] = (
-    DateStep("iso_day", r"^\d{4}-\d{1,2}-\d{1,2}$", fmt="yyyy-MM-dd"),
-    DateStep("slash_day", r"^\d{1,2}/\d{1,2}/\d{4}$", fmt="dd/MM/yyyy"),
-    DateStep("month_year2", r"^(\d{2})_(\d{2})$", parts="my", month_end=True),
-    DateStep("month_year", r"^(\d{2})_(\d{4})$", parts="my", month_end=True),
-    DateStep("loose_month_year", r"^(\d{1,2})[/-](\d{4})$", parts="my", month_end=True),
-    DateStep("underscore_day", r"^(\d{2})_(\d{2})_(\d{4})$", parts="dmy"),
-    DateStep("year_quarter", r"^(\d{4})_Q([1-4])$", parts="yq", month_end=True),
-    DateStep("quarter_year", r"Q([1-4])_(\d{4})", parts="qy", month_end=True),
-    DateStep("name2_padded", r"^\d{2}-\p{L}{3}-\d{2}$", fmt="dd-MMM-yy"),
-    DateStep("name2", r"^\d{1,2}-\p{L}{3}-\d{2}$", fmt="d-MMM-yy"),
-    DateStep("name4_padded", r"^\d{2}-\p{L}{3}-\d{4}$", fmt="dd-MMM-yyyy"),
-    DateStep("name4", r"^\d{1,2}-\p{L}{3}-\d{4}$", fmt="d-MMM-yyyy"),
-    DateStep("digits8", r"^\d{8}$", fmt="yyyyMMdd"),
-    DateStep("seconds", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", fmt="yyyy-MM-dd HH:mm:ss"),
-    DateStep("millis", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}$", fmt="yyyy-MM-dd HH:mm:ss.SSS"),
-    # Spark's ISO parser reads a bare time of day as today; such text is no date, hence the year.
-    DateStep("any_timestamp", r"^\s*[+-]?\d{4}"),
-    DateStep("any_date", r"^\s*[+-]?\d{4,}-"),
+    def expression(self, text: Column, shape: Column) -> Column:
+        whole = F.concat(F.lit(self.prefix), text) if self.prefix else text
+        day = F.try_to_date(whole, self.pattern)
+        return F.when(shape.isin(*self.shapes), F.last_day(day) if self.month_end else day)
+
+
+@dataclass(frozen=True)
+class QuarterStep:
+    """A quarter, read as its last day. `shape` is a regex with groups for `year` and `quarter`."""
+
+    name: str
+    shape: str
+    year: int
+    quarter: int
+
+    def expression(self, text: Column, shape: Column) -> Column:
+        year = F.regexp_extract(text, self.shape, self.year).cast("int")
+        month = F.regexp_extract(text, self.shape, self.quarter).cast("int") * 3
+        return F.when(text.rlike(self.shape), F.last_day(F.make_date(year, month, F.lit(1))))
+
+
+@dataclass(frozen=True)
+class NamedMonthStep:
+    """A day with the month as three letters; in any case, as Spark reads it."""
+
+    name: str
+    shape: str
+    pattern: str
+
+    def expression(self, text: Column, shape: Column) -> Column:
+        return F.when(text.rlike(self.shape), F.try_to_date(text, self.pattern))
+
+
+@dataclass(frozen=True)
+class IsoStep:
+    """Whatever else Spark's own parser takes that starts with a year.
+
+    That parser reads a bare time of day as today; such text is no date, hence the year.
+    """
+
+    name: str
+
+    def expression(self, text: Column, shape: Column) -> Column:
+        found = F.coalesce(F.try_to_timestamp(text).cast("date"), F.try_to_date(text))
+        return F.when(shape.rlike("^[+-]?9999"), found)
+
+
+Step = DateStep | QuarterStep | NamedMonthStep | IsoStep
+
+# The accepted texts, tried from top to bottom; the first that parses wins. Two-digit
+# years mean 20yy.
+DEFAULT_STEPS: tuple[Step, ...] = (
+    DateStep("iso_day", ("9999-99-99", "9999-9-99", "9999-99-9", "9999-9-9"), "yyyy-M-d"),
+    DateStep("slash_day", ("99/99/9999", "9/99/9999", "99/9/9999", "9/9/9999"), "d/M/yyyy"),
+    DateStep("dotted_day", ("99.99.9999", "9.99.9999", "99.9.9999", "9.9.9999"), "d.M.yyyy"),
+    DateStep("month_year2", ("99_99",), "dd_MM_yy", prefix="01_", month_end=True),
+    DateStep("month_year", ("99_9999",), "dd_MM_yyyy", prefix="01_", month_end=True),
+    DateStep("slash_month_year", ("99/9999", "9/9999"), "d/M/yyyy", prefix="1/", month_end=True),
+    DateStep("hyphen_month_year", ("99-9999", "9-9999"), "d-M-yyyy", prefix="1-", month_end=True),
+    DateStep("underscore_day", ("99_99_9999",), "dd_MM_yyyy"),
+    DateStep("digits8", ("99999999",), "yyyyMMdd"),
+    DateStep("seconds", ("9999-99-99 99:99:99",), "yyyy-MM-dd HH:mm:ss"),
+    DateStep("millis", ("9999-99-99 99:99:99.999",), "yyyy-MM-dd HH:mm:ss.SSS"),
+    QuarterStep("year_quarter", r"^(\d{4})_[qQ]([1-4])$", year=1, quarter=2),
+    QuarterStep("quarter_year", r"[qQ]([1-4])_(\d{4})", year=2, quarter=1),
+    NamedMonthStep("named_month_year2", r"^\d{1,2}-\p{L}{3}-\d{2}$", "d-MMM-yy"),
+    NamedMonthStep("named_month", r"^\d{1,2}-\p{L}{3}-\d{4}$", "d-MMM-yyyy"),
+    IsoStep("iso"),
 )
 
-# Wider forms of the same steps: one-digit days, dots, lower-case quarters.
-_WIDER = {
-    "slash_day": DateStep("slash_day", r"^(\d{1,2})[./](\d{1,2})[./](\d{4})$", parts="dmy"),
-    "year_quarter": DateStep("year_quarter", r"^(\d{4})_[qQ]([1-4])$", parts="yq", month_end=True),
-    "quarter_year": DateStep("quarter_year", r"[qQ]([1-4])_(\d{4})", parts="qy", month_end=True),
+# Strict mode: slashed days need two digits, dots do not count, quarters need a capital Q.
+_STRICTER: dict[str, Step | None] = {
+    "slash_day": DateStep("slash_day", ("99/99/9999",), "dd/MM/yyyy"),
+    "dotted_day": None,
+    "year_quarter": QuarterStep("year_quarter", r"^(\d{4})_Q([1-4])$", year=1, quarter=2),
+    "quarter_year": QuarterStep("quarter_year", r"Q([1-4])_(\d{4})", year=2, quarter=1),
 }
-DEFAULT_STEPS: tuple[DateStep, ...] = tuple(_WIDER.get(s.name, s) for s in STRICT_STEPS)
+STRICT_STEPS: tuple[Step, ...] = tuple(
+    step for s in DEFAULT_STEPS if (step := _STRICTER.get(s.name, s)) is not None
+)
 
 
 def _column(col: Column | str) -> Column:
@@ -83,16 +111,24 @@ def _column(col: Column | str) -> Column:
 
 
 def parse_mixed_date(
-    col: Column | str, steps: tuple[DateStep, ...] | None = None, strict_parity: bool = False
+    col: Column | str, steps: tuple[Step, ...] | None = None, strict_parity: bool = False
 ) -> Column:
     """Text of unknown date format to DATE; null when no step reads it.
 
-    Every step is guarded by its shape, so a row pays for the one or two parsers that can apply.
     ``strict_parity`` turns the wider forms off (one-digit or dotted days, lower-case quarters).
+
+    The steps are the body of a lambda over a one-element array. So the text is computed once per
+    row, and the sixteen parsers stay out of the generated code of the stage around them: inlined,
+    they make its main method longer than the JVM compiles, which slows down all of the stage.
     """
     chosen = steps or (STRICT_STEPS if strict_parity else DEFAULT_STEPS)
     text = F.trim(_column(col).cast("string"))
-    return F.coalesce(*[s.expression(text) for s in chosen])
+    shape = F.translate(text, "012345678", "999999999")
+    seen = F.array(F.struct(text.alias("text"), shape.alias("shape")))
+    days = F.transform(
+        seen, lambda row: F.coalesce(*[s.expression(row["text"], row["shape"]) for s in chosen])
+    )
+    return F.get(days, F.lit(0))
 
 
 # What counts as a bare date, what marks a path, and which date parts a path may hold.
@@ -114,18 +150,27 @@ def extract_path_date(col: Column | str) -> Column:
     return F.when(text.rlike(BARE_DATE), text).when(text.rlike(PATH_MARK), hit)
 
 
-def parse_date_or_path(col: Column | str, strict_parity: bool = False) -> Column:
-    """The date of a value that holds either a date text or the path of the file it came from.
+def date_text(col: Column | str) -> Column:
+    """The text to parse of a value that holds a date or the path of the file it came from."""
+    text = F.trim(_column(col).cast("string"))
+    in_path = text.rlike(PATH_MARK) & ~text.rlike(BARE_DATE)
+    return F.when(in_path, F.regexp_extract(text, DATE_IN_PATH, 1)).otherwise(text)
+
+
+def parse_date_or_path(df: DataFrame, col: str, strict_parity: bool = False) -> DataFrame:
+    """`df` with `col`, a date text or the path of the file it came from, as DATE.
 
-    Bare dates and path dates go through `parse_mixed_date`; what is left is read as a whole text.
+    Bare dates and path dates are parsed by `parse_mixed_date`, and so is any other text. In strict
+    mode, other text has to be ``dd/MM/yyyy``. The text is cut out in a projection of its own, as
+    every step of the parser looks at it.
     """
-    found = parse_mixed_date(extract_path_date(col), strict_parity=strict_parity)
-    text = _column(col).cast("string")
     if strict_parity:
-        rest = F.coalesce(F.try_to_date(text, "dd/MM/yyyy"), F.try_to_date(text, "yyyy-MM-dd"))
-    else:
-        rest = F.when(~F.trim(text).rlike(PATH_MARK), parse_mixed_date(text))
-    return F.coalesce(found, rest)
+        texts = df.withColumns({"__date": extract_path_date(col), "__raw": F.col(col).cast("string")})
+        rest = F.when(F.col("__raw").rlike(r"^\d{2}/\d{2}/\d{4}$"), F.try_to_date("__raw", "dd/MM/yyyy"))
+        day = F.coalesce(parse_mixed_date("__date", strict_parity=True), rest)
+        return texts.withColumn(col, day).drop("__date", "__raw")
+    texts = df.withColumn("__date", date_text(col))
+    return texts.withColumn(col, parse_mixed_date("__date")).drop("__date")
 
 
 def date_key(col: Column | str) -> Column:

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergelane.functions.text import strip_leading_zeros
-from mergelane.session import broadcast_limit, planned_bytes
+from mergelane.session import broadcast_limit, input_bytes
 
 # A join key is a name both sides have, or a (left, right) pair of names or expressions.
 Key = str | tuple[Column | str, Column | str]
 
-# Left sides below this size cannot hold a key too hot for one task.
-SPREAD_MIN_BYTES = 4 << 30
+# Below this input size no key is too hot for one task.
+SPREAD_MIN_BYTES = 1 << 30
 # A key is hot from this many rows on; at most this many of the hottest keys are split out.
 HOT_MIN_ROWS = 1_000_000
 HOT_MAX_KEYS = 1_000
@@ -46,8 +46,8 @@ def lookup(
     `right` must have one row per key (see `pick_one`). `right_filter` limits `right` as a one-sided
     ON condition would. `null_safe` lets null keys meet.
 
-    Physical choice: when `right` is under Spark's broadcast threshold, or `left` is small, a plain
-    left join is left to Catalyst and AQE. Otherwise the hottest keys of `left` are split out: their
+    Physical choice: when `right` reads less than Spark's broadcast threshold, or `left` is small, a
+    plain left join is left to Catalyst and AQE, who know the sizes. Otherwise the hottest keys of `left` are split out: their
     right-hand rows, one per key and at most HOT_MAX_KEYS, are broadcast, and their left-hand rows are
     spread over the shuffle by a salt instead of meeting in one task. Null keys are spread as well.
     `rows_per_key` names a column of `right` that already counts the left rows per key, which saves
@@ -63,8 +63,8 @@ def lookup(
     right = right.withColumns({n: r for (_, r), n in zip(pairs, names)})
     dim = right.select(*names, *cols)
     keyed = left.withColumns({n: l for (l, _), n in zip(pairs, names)})
-    small = planned_bytes(dim) <= broadcast_limit(left.sparkSession)
-    if small or planned_bytes(left) < SPREAD_MIN_BYTES:
+    small = input_bytes(dim) <= broadcast_limit(left.sparkSession)
+    if small or input_bytes(left) < SPREAD_MIN_BYTES:
         joined = keyed.join(_tagged(dim, names, "__r"), _meets(names, "__r", null_safe), "left")
     else:
         if rows_per_key:

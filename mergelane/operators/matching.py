@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mergelane.operators.candidates import Field, similar_pairs
 from mergelane.operators.lookups import SPREAD_MIN_BYTES, lookup
 from mergelane.operators.ranking import top_n
-from mergelane.session import materialize, planned_bytes
+from mergelane.session import materialize, input_bytes
 
 
 @dataclass(frozen=True)
@@ -227,7 +227,7 @@ def _is_self_match(source: DataFrame, target: DataFrame, rule: FuzzyRule, ids: I
 
 def _settled(df: DataFrame) -> DataFrame:
     """A large intermediate that is used several times is written once."""
-    return materialize(df, "records") if planned_bytes(df) >= SPREAD_MIN_BYTES else df
+    return materialize(df, "records") if input_bytes(df) >= SPREAD_MIN_BYTES else df
 
 
 def _details(rule: FuzzyRule, similarities: Column) -> Column:

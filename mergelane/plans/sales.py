@@ -13,12 +13,11 @@ from mergelane.operators.quantity import convert_quantity, unit_map
 
 
 def clean_sales(df: DataFrame, strict_parity: bool = False) -> DataFrame:
-    """Cleaned golden rows: date, country, VAT, EAN and ids in their normal form. One projection."""
-    country = text.normalize_country("customer_country")
-    return df.withColumns({
-        "date": dates.parse_date_or_path("date", strict_parity),
-        "customer_country": country,
-        "vat_number": text.normalize_vat("vat_number", country),
+    """Cleaned golden rows: date, country, VAT, EAN and ids in their normal form. No shuffle."""
+    coded = dates.parse_date_or_path(df, "date", strict_parity).withColumn(
+        "customer_country", text.normalize_country("customer_country")
+    )
+    return text.normalize_vat_column(coded, "vat_number", "customer_country").withColumns({
         "customer_postal_code": text.strip_float_suffix("customer_postal_code"),
         "product_number": text.strip_float_suffix("product_number"),
         "customer_number": text.strip_float_suffix("customer_number"),

@@ -52,13 +52,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate, the number its broadcast decision rests on.
+def input_bytes(df: DataFrame) -> int:
+    """The size of the tables `df` reads, by Spark's statistics; nothing is computed.
 
-    The estimate errs upward (a join counts as the product of its inputs), so a table that is
-    called small here is small.
+    Used to tell small inputs from large ones. The estimate for a whole plan would not do: it takes a
+    join for the product of its sides. Data without statistics counts as very large.
     """
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:

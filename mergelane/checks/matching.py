@@ -63,7 +63,7 @@ def match_exact_all(t: Tables) -> DataFrame:
 # --- fuzzy -----------------------------------------------------------------------------------------
 
 _SIMILAR = FuzzyRule(
-    "similar",
+    "similar_part",
     fuzzy=[Pair("p_name", "p_name", weight=0.5), Pair("p_type", "p_type", weight=0.5)],
     block=[Pair("p_brand", "p_brand"), Pair("p_size", "p_size")],
     min_score=0.75,
@@ -79,7 +79,7 @@ scored AS (
     + 0.5::DOUBLE * (1 - levenshtein(lower(a.p_type), lower(b.p_type))::DOUBLE / greatest(length(a.p_type), length(b.p_type))) AS score
   FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey <> b.p_partkey),
 similar_pairs AS (SELECT * FROM scored WHERE score >= 0.75),
-best AS (SELECT source_id, target_id AS similar, score FROM similar_pairs
+best AS (SELECT source_id, target_id AS similar_part, score FROM similar_pairs
          QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY score DESC, target_id) = 1)
 """
 
@@ -94,10 +94,10 @@ def match_fuzzy(t: Tables) -> DataFrame:
     return matching.fuzzy_pairs(parts, parts, _SIMILAR, _SELF).select("source_id", "target_id", "score")
 
 
-@query(f"WITH {_SIMILAR_SQL} SELECT p_partkey, similar, score FROM part LEFT JOIN best ON p_partkey = source_id")
+@query(f"WITH {_SIMILAR_SQL} SELECT p_partkey, similar_part, score FROM part LEFT JOIN best ON p_partkey = source_id")
 def match_fuzzy_best(t: Tables) -> DataFrame:
     parts = _parts(t)
-    return matching.match_fuzzy(parts, parts, _SIMILAR, _SELF).select("p_partkey", "similar", "score")
+    return matching.match_fuzzy(parts, parts, _SIMILAR, _SELF).select("p_partkey", "similar_part", "score")
 
 
 @query(f"""
@@ -120,7 +120,7 @@ _RULES = [
         "columns": [{"source_column": c, "target_column": c} for c in ("p_retailprice", "p_brand")],
     },
     {
-        "match_type": "levenstein", "result_column": "similar", "score_column": "score",
+        "match_type": "levenstein", "result_column": "similar_part", "score_column": "score",
         "comparison_details_column": "details", "min_score": 0.75, "trim": True, "case_insensitive": True,
         "columns": [
             {"source_column": "p_name", "target_column": "p_name", "weight": 0.5, "match": "fuzzy"},
@@ -138,10 +138,10 @@ labels_matched AS (SELECT a.p_partkey AS k, min(b.p_partkey) AS same_label FROM
 prices_matched AS (SELECT a.p_partkey AS k, min(b.p_partkey) AS same_price FROM part a JOIN part b
   ON a.p_retailprice = b.p_retailprice AND a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey GROUP BY 1),
 matched AS (
-  SELECT p_partkey, same_label, same_price, similar, score FROM part LEFT JOIN labels_matched l ON p_partkey = l.k
+  SELECT p_partkey, same_label, same_price, similar_part, score FROM part LEFT JOIN labels_matched l ON p_partkey = l.k
   LEFT JOIN prices_matched p ON p_partkey = p.k LEFT JOIN best ON p_partkey = best.source_id)
 """
-_RESULTS = ["same_label", "same_price", "similar"]
+_RESULTS = ["same_label", "same_price", "similar_part"]
 
 
 def _matched(t: Tables) -> DataFrame:
@@ -154,23 +154,23 @@ def apply_matching(t: Tables) -> DataFrame:
     return _matched(t).select("p_partkey", *_RESULTS, "score")
 
 
-@query(f"WITH {_RULES_SQL} SELECT p_partkey, coalesce(same_price, similar, same_label) AS winner FROM matched")
+@query(f"WITH {_RULES_SQL} SELECT p_partkey, coalesce(same_price, similar_part, same_label) AS winner FROM matched")
 def rule_priority(t: Tables) -> DataFrame:
-    winner = clusters.first_rule_wins(["same_price", "similar", "same_label"])
+    winner = clusters.first_rule_wins(["same_price", "similar_part", "same_label"])
     return _matched(t).select("p_partkey", winner.alias("winner"))
 
 
 @query(f"""
 WITH RECURSIVE {_SIMILAR_SQL},
-nodes AS (SELECT source_id AS n FROM similar_pairs UNION SELECT similar FROM best),
-links AS (SELECT source_id AS a, similar AS b FROM best UNION SELECT similar, source_id FROM best),
+nodes AS (SELECT source_id AS n FROM similar_pairs UNION SELECT similar_part FROM best),
+links AS (SELECT source_id AS a, similar_part AS b FROM best UNION SELECT similar_part, source_id FROM best),
 reach(n, r) AS (SELECT n, n FROM nodes UNION SELECT reach.n, links.b FROM reach JOIN links ON reach.r = links.a)
 SELECT p_partkey, coalesce(min(r), p_partkey) AS cluster_id FROM part LEFT JOIN reach ON p_partkey = n GROUP BY p_partkey
 """)
 def unify_ids(t: Tables) -> DataFrame:
     parts = _parts(t)
     matched = matching.match_fuzzy(parts, parts, _SIMILAR, _SELF)
-    return clusters.unify_ids(matched, ["similar"], "p_partkey", "cluster_id").select("p_partkey", "cluster_id")
+    return clusters.unify_ids(matched, ["similar_part"], "p_partkey", "cluster_id").select("p_partkey", "cluster_id")
 
 
 @query("""

@@ -11,6 +11,7 @@ from mergelane.operators.enrichment import address_payload
 from mergelane.operators.lookups import lookup
 from mergelane.operators.matching import ExactRule, FuzzyRule, Ids, Pair, apply_matching, matched_pairs
 from mergelane.operators.ranking import distinct_entities
+from mergelane.session import materialize
 
 # What describes a customer.
 ENTITY_COLUMNS = (
@@ -97,8 +98,14 @@ ACCOUNT_PRIORITY = (
 
 
 def match_internal(customers: DataFrame, max_iterations: int | None = None) -> DataFrame:
-    """Customers matched among themselves and clustered: one result per rule, ``dim_sellout_cust_id``."""
-    matched = apply_matching(customers, customers, INTERNAL_RULES, Ids("unique_id", "unique_id"))
+    """Customers matched among themselves and clustered: one result per rule, ``dim_sellout_cust_id``.
+
+    The customers and their matches are written to the shared folder, as each is used several times.
+    """
+    customers = materialize(customers, "customers")
+    matched = materialize(
+        apply_matching(customers, customers, INTERNAL_RULES, Ids("unique_id", "unique_id")), "matched"
+    )
     results = [r.result for r in INTERNAL_RULES]
     return unify_ids(matched, results, "unique_id", "dim_sellout_cust_id", max_iterations)
 
@@ -117,8 +124,10 @@ def link_accounts(customers: DataFrame, accounts: DataFrame, relationships: Data
     distinct accounts in the cluster.
 
     Only the targets of the winning rule are joined to a customer. Laying all rules side by side
-    first would multiply their targets, for the same accounts in the end.
+    first would multiply their targets, for the same accounts in the end. Customers, accounts, matches
+    and linked customers are written to the shared folder on the way.
     """
+    customers, accounts = materialize(customers, "customers"), materialize(accounts, "accounts")
     to_accounts = matched_pairs(customers, accounts, EXTERNAL_RULES, Ids("unique_id", "c4cu_account_id"))
     to_partners = matched_pairs(
         customers, relationships, [RELATIONSHIP_RULE], Ids("unique_id", "c4cu_businesspartner_id")
@@ -126,21 +135,25 @@ def link_accounts(customers: DataFrame, accounts: DataFrame, relationships: Data
     rank = {r: i for i, r in enumerate(ACCOUNT_PRIORITY)}
     order = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
     pairs = to_accounts.unionByName(to_partners).withColumn("priority", order[F.col("rule")])
+    pairs = materialize(pairs, "matches")
     best = pairs.groupBy("source_id").agg(F.min("priority").alias("__best"))
     won = lookup(pairs, best, ["source_id"], ["__best"]).filter(F.col("priority") == F.col("__best"))
     won = won.select("source_id", "rule", F.col("target_id").alias("direct_c4S_account_id"), "score").distinct()
     linked = customers.join(won, F.col("unique_id") == F.col("source_id"), "left").drop("source_id")
+    linked = materialize(linked, "linked")
     filled = fill_in_cluster(linked, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id")
     return cluster_occurrence(filled, "dim_sellout_cust_id", "C4S_account_id", "direct_c4S_account_id")
 
 
 def match_external(customers: DataFrame, accounts: DataFrame, relationships: DataFrame) -> DataFrame:
     """The wide form of `link_accounts`: every result column of every rule, a row per combination."""
+    customers, accounts = materialize(customers, "customers"), materialize(accounts, "accounts")
     wide = apply_matching(customers, accounts, EXTERNAL_RULES, Ids("unique_id", "c4cu_account_id"), "multiple")
     partners = apply_matching(
         customers, relationships, [RELATIONSHIP_RULE], Ids("unique_id", "c4cu_businesspartner_id"), "multiple"
     ).select(F.col("unique_id").alias("__sid"), "ext_BPR_match")
     joined = wide.join(partners, F.col("unique_id") == F.col("__sid"), "left").drop("__sid")
     direct = joined.withColumn("direct_c4S_account_id", first_rule_wins(ACCOUNT_PRIORITY))
+    direct = materialize(direct, "linked")
     filled = fill_in_cluster(direct, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id")
     return cluster_occurrence(filled, "dim_sellout_cust_id", "C4S_account_id", "direct_c4S_account_id")

@@ -19,8 +19,6 @@ SPREAD_MIN_BYTES = 1 << 30
 # A key is hot from this many rows on; at most this many of the hottest keys are split out.
 HOT_MIN_ROWS = 1_000_000
 HOT_MAX_KEYS = 1_000
-# Salts a hot key is spread over; far more than any shuffle has partitions.
-SALTS = 1 << 20
 
 
 def key_columns(on: Sequence[Key]) -> list[tuple[Column, Column]]:
@@ -49,7 +47,7 @@ def lookup(
     Physical choice: when `right` reads less than Spark's broadcast threshold, or `left` is small, a
     plain left join is left to Catalyst and AQE, who know the sizes. Otherwise the hottest keys of `left` are split out: their
     right-hand rows, one per key and at most HOT_MAX_KEYS, are broadcast, and their left-hand rows are
-    spread over the shuffle by a salt instead of meeting in one task. Null keys are spread as well.
+    spread over the shuffle by a row hash instead of meeting in one task. Null keys are spread as well.
     `rows_per_key` names a column of `right` that already counts the left rows per key, which saves
     the counting pass.
     """
@@ -104,17 +102,17 @@ def _spread_left_join(
     )
     marked = keyed.join(F.broadcast(hot), _meets(names, "__h", null_safe), "left")
 
-    # Salt 0 meets `dim`. Hot keys, and null keys that cannot meet, take other salts and spread evenly.
+    # Both sides also meet on a hash of their keys. Hot keys, and null keys that cannot meet, take a hash
+    # of the whole row instead: they spread evenly and find nothing. (A constant salt on the right would
+    # not do, as the optimizer folds it out of the shuffle key.)
     alone = F.col("__hot").isNotNull()
     if not null_safe:
         alone = reduce(lambda a, n: a | F.col(n).isNull(), names, alone)
     hashable = [c for c, t in keyed.dtypes if "map<" not in t and "variant" not in t]
-    spread = F.lit(1) + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(SALTS))
-    marked = marked.withColumn("__salt", F.when(alone, spread).otherwise(F.lit(0)))
-    cold = _tagged(packed, names, "__r").withColumn("__r__salt", F.lit(0).cast("bigint"))
-    joined = marked.join(
-        cold, _meets(names, "__r", null_safe) & (F.col("__salt") == F.col("__r__salt")), "left"
-    )
+    spread = F.xxhash64(F.lit("row"), *[F.col(f"`{c}`") for c in hashable])
+    marked = marked.withColumn("__slot", F.when(alone, spread).otherwise(F.xxhash64(*names)))
+    cold = _tagged(packed.withColumn("__slot", F.xxhash64(*names)), [*names, "__slot"], "__r")
+    joined = marked.join(cold, _meets([*names, "__slot"], "__r", null_safe), "left")
     value = F.when(F.col("__hot").isNotNull(), F.col("__hot_value")).otherwise(F.col("__value"))
     return joined.withColumns({c: value[c] for c in cols})
 

@@ -59,7 +59,7 @@ def test_lookup_filter_and_expressions(join_form, skewed, dimension):
         lookups.lookup(skewed, dimension, ["k"], ["k"])
 
 
-def test_spread_form_splits_the_hot_keys(spark, monkeypatch, tmp_path):
+def test_spread_form_splits_the_hot_keys(spark, monkeypatch):
     """Hot and null keys do not meet in one shuffle partition; the broadcast side stays bounded."""
     monkeypatch.setattr(lookups, "SPREAD_MIN_BYTES", 0)
     monkeypatch.setattr(lookups, "broadcast_limit", lambda spark: -1)

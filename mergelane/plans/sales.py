@@ -39,16 +39,17 @@ def enrich_sales(
     units: DataFrame,
     unit_texts: DataFrame,
     factors: DataFrame,
-    record_order: Sequence[Column] = (
-        F.asc_nulls_last("cumi_material_id"), F.asc_nulls_last("cumi_customermaterialnumber_id"),
-    ),
+    record_order: Sequence[Column] | None = None,
     article: str = "cumi_customermaterialnumber_id",
 ) -> DataFrame:
     """The sales fact: CRM customer, material record, unit and quantity in kg or l for every sale.
 
     All five dimensions are reduced to one row per key before they are joined, so the fact keeps its
-    row count and is never windowed. `article` is the id that the article path of the conversion uses.
-    """
+    row count and is never windowed. `record_order` ranks material records that share a key (by
+    material id if unset). `article` is the id that the article path of the conversion uses.
+    """
+    if record_order is None:
+        record_order = [F.asc_nulls_last(c) for c in ("cumi_material_id", "cumi_customermaterialnumber_id")]
     fact = sales.select(*SALE_COLUMNS).withColumns({
         "dimdateid": dates.date_key("date"),
         "sharepoint_file_name": text.file_name("full_file_path"),

@@ -269,17 +269,12 @@ def cache_join(t: Tables) -> DataFrame:
     return enrichment.attach_cached(_payloads(t), _cache(t)).select("c_custkey", "browser_url", "place_id")
 
 
-_BUDGET_SQL = """
-SELECT c_custkey, c_name FROM customer WHERE c_mktsegment <> 'FURNITURE'
-QUALIFY row_number() OVER (ORDER BY c_custkey)
-        <= greatest((SELECT count(*) FROM customer) // 2 - (SELECT count(*) FROM customer WHERE c_mktsegment = 'FURNITURE'), 0)
-"""
-
-
-@query(_BUDGET_SQL)
+@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment <> 'FURNITURE' ORDER BY c_custkey LIMIT 100")
 def budget_select(t: Tables) -> DataFrame:
-    budget = t.customer.count() // 2
-    chosen = enrichment.select_for_enrichment(_payloads(t), _cache(t), budget, _NOW, ["c_custkey"])
+    """The next hundred customers to ask for: the budget is what was used this month plus a hundred."""
+    cache = _cache(t)
+    budget = enrichment.calls_this_month(cache, _NOW).first().used + 100
+    chosen = enrichment.select_for_enrichment(_payloads(t), cache, budget, _NOW, ["c_custkey"])
     return chosen.select("c_custkey", "c_name")
 
 
@@ -402,13 +397,49 @@ def _identities(t: Tables) -> DataFrame:
     return identity.match_internal(entities)
 
 
-@query()
+_IDENTITY_SQL = """
+raw AS (
+  SELECT DISTINCT CASE WHEN o_orderstatus = 'P' THEN c_custkey || '-p' ELSE CAST(c_custkey AS VARCHAR) END AS customer_number,
+    'Street ' || c_nationkey AS customer_address, CAST(1000 + c_custkey % 997 AS VARCHAR) AS zip,
+    'Shop ' || CASE WHEN o_orderstatus = 'F' THEN upper(c_name) ELSE c_name END AS shop,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS vat, o_orderstatus AS w
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+people AS (
+  SELECT *, sha256('{"c0":"' || customer_number || '","c1":"' || customer_address || '","c2":"City","c3":"' || zip
+    || '","c4":"BE","c5":"' || shop || '","c6":"' || shop || '","c7":"W' || w || '","c8":'
+    || coalesce('"' || vat || '"', 'null') || ',"c9":"' || w || '"}') AS id FROM raw),
+by_number AS (SELECT a.id, min(b.id) AS m FROM people a JOIN people b ON a.customer_number = b.customer_number AND a.id <> b.id GROUP BY 1),
+by_vat AS (SELECT a.id, min(b.id) AS m FROM people a JOIN people b ON a.vat = b.vat AND a.id <> b.id GROUP BY 1),
+scored AS (
+  SELECT a.id, b.id AS m,
+    0.5::DOUBLE * (1 - levenshtein(lower(a.shop), lower(b.shop))::DOUBLE / greatest(length(a.shop), length(b.shop)))
+    + 0.5::DOUBLE * (1 - levenshtein(lower(a.customer_address), lower(b.customer_address))::DOUBLE
+                         / greatest(length(a.customer_address), length(b.customer_address))) AS score
+  FROM people a JOIN people b ON a.zip = b.zip AND a.id <> b.id),
+by_name AS (SELECT * FROM scored WHERE score >= 0.75 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, m) = 1),
+links AS (
+  SELECT id AS a, m AS b FROM by_number UNION SELECT id, m FROM by_vat UNION SELECT id, m FROM by_name
+  UNION SELECT m, id FROM by_number UNION SELECT m, id FROM by_vat UNION SELECT m, id FROM by_name),
+reach(n, r) AS (SELECT id, id FROM people UNION SELECT reach.n, links.b FROM reach JOIN links ON reach.r = links.a),
+clustered AS (
+  SELECT people.*, c.cluster, by_number.m AS number_match, by_vat.m AS vat_match, by_name.m AS name_match, score
+  FROM people JOIN (SELECT n, min(r) AS cluster FROM reach GROUP BY 1) c ON id = n
+  LEFT JOIN by_number USING (id) LEFT JOIN by_vat USING (id) LEFT JOIN by_name USING (id))
+"""
+
+
+@query(f"""
+WITH RECURSIVE {_IDENTITY_SQL}
+SELECT id AS unique_id, customer_number, shop AS customer_name, 'W' || w AS wholesaler_name,
+       number_match AS int_customer_number_match, vat_match AS int_vat_number_match,
+       name_match AS int_levenstein_name_address, score AS levenstein_score, cluster AS dim_sellout_cust_id
+FROM clustered
+""")
 def customer_clusters(t: Tables) -> DataFrame:
     """Entities of the sales rows, matched by four rules and clustered."""
     return _identities(t).select(
         "unique_id", "customer_number", "customer_name", "wholesaler_name", "int_customer_number_match",
-        "int_vat_number_match", "int_levenstein_name_address", "levenstein_score", "match_details",
-        "dim_sellout_cust_id",
+        "int_vat_number_match", "int_levenstein_name_address", "levenstein_score", "dim_sellout_cust_id",
     )
 
 
@@ -416,12 +447,49 @@ def _linked(t: Tables) -> DataFrame:
     return identity.link_accounts(_identities(t), _crm_accounts(t), _relationships(t))
 
 
-@query()
+_LINKED_SQL = f"""
+{_IDENTITY_SQL},
+accounts AS (
+  SELECT 'A' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS account, 'shop ' || lower(c_name) AS shop, 'Street ' || c_nationkey AS street,
+         CAST(1000 + c_custkey % 997 AS VARCHAR) AS zip, 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS vat
+  FROM customer WHERE c_mktsegment <> 'MACHINERY'),
+partners AS (SELECT 'B' || c_custkey AS account, CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS number
+             FROM customer WHERE c_mktsegment = 'FURNITURE'),
+hits AS (
+  SELECT id, account, 0 AS priority FROM clustered JOIN partners ON customer_number = number AND w = 'F' AND number <> ''
+  UNION ALL SELECT id, account, 1 FROM clustered JOIN accounts USING (vat)
+  UNION ALL SELECT id, account, 4 FROM clustered c JOIN accounts a ON c.zip = a.zip AND
+    0.5::DOUBLE * (1 - levenshtein(lower(c.shop), a.shop)::DOUBLE / greatest(length(c.shop), length(a.shop)))
+    + 0.5::DOUBLE * (1 - levenshtein(lower(c.customer_address), lower(a.street))::DOUBLE
+                         / greatest(length(c.customer_address), length(a.street))) >= 0.7),
+won AS (SELECT DISTINCT id, account FROM hits QUALIFY priority = min(priority) OVER (PARTITION BY id)),
+linked AS (
+  SELECT clustered.*, account AS direct, min(account) OVER (PARTITION BY cluster) AS filled
+  FROM clustered LEFT JOIN won USING (id)),
+occurrences AS (SELECT cluster, CAST(count(DISTINCT direct) AS INTEGER) AS n FROM linked GROUP BY 1),
+shown AS (
+  SELECT id, cluster, direct, filled, w, customer_number AS "Id at Wholesaler", customer_address AS "Customer Address",
+    'City' AS "Customer City", zip AS "Customer Postal Code", 'BE' AS "Customer Country", shop AS "Customer Name",
+    'W' || w AS "Wholesaler Name", vat AS "Vat Number", w AS "Wholesaler Id", CAST(NULL AS VARCHAR) AS "Place Id",
+    n AS "Occurrence", customer_number || w AS "Id at Wholesaler + Wholesaler Id"
+  FROM linked JOIN occurrences USING (cluster))
+"""
+
+
+@query(f"""
+WITH RECURSIVE {_LINKED_SQL}
+SELECT * EXCLUDE (id, cluster, direct, filled, w), lpad(filled, 10, '0') AS "C4s Account Id", CAST(1 AS INTEGER) AS rn FROM shown
+QUALIFY row_number() OVER (PARTITION BY "Id at Wholesaler" ORDER BY filled DESC NULLS LAST, w, id) = 1
+""")
 def v_customers(t: Tables) -> DataFrame:
     """The report of customers, one row per number, after the whole identity flow."""
     return views.customers_view(_linked(t))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_LINKED_SQL}
+SELECT * EXCLUDE (id, cluster, direct, filled, w), lpad(direct, 10, '0') AS "C4s Account Id", cluster AS dim_sellout_cust_id FROM shown
+QUALIFY row_number() OVER (PARTITION BY cluster, lpad(direct, 10, '0') ORDER BY "Id at Wholesaler" DESC, w, id) = 1
+""")
 def v_customers_with_duplicates(t: Tables) -> DataFrame:
     return views.customers_with_duplicates_view(_linked(t))

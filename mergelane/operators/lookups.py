@@ -160,14 +160,24 @@ def zero_key_join(
 def join_all(
     left: DataFrame, right: DataFrame, on: Sequence[Key], cols: Sequence[str], right_filter: Column | None = None
 ) -> DataFrame:
-    """Plain left join that keeps every match; `right_filter` is a one-sided ON condition."""
+    """Left join that keeps every match; `right_filter` is a one-sided ON condition.
+
+    AQE can split a hot key on either side of an inner join, but only on the left of an outer one. So
+    a large join runs as an inner join plus the rows without a match.
+    """
     pairs = key_columns(on)
     names = [f"__k{i}" for i in range(len(pairs))]
     if right_filter is not None:
         right = right.filter(right_filter)
     dim = right.select(*[r.alias(f"__r{n}") for (_, r), n in zip(pairs, names)], *cols)
     keyed = left.withColumns({n: l for (l, _), n in zip(pairs, names)})
-    return keyed.join(dim, _meets(names, "__r", False), "left").select(*left.columns, *cols)
+    meets = _meets(names, "__r", False)
+    if input_bytes(left) + input_bytes(right) < SPREAD_MIN_BYTES:
+        return keyed.join(dim, meets, "left").select(*left.columns, *cols)
+    matched = keyed.join(dim, meets).select(*left.columns, *cols)
+    keys = dim.select(*[f"__r{n}" for n in names]).distinct()
+    alone = keyed.join(keys, meets, "left_anti").select(*left.columns)
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def priority_lookup(

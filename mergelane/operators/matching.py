@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergelane.operators.candidates import Field, similar_pairs
-from mergelane.operators.lookups import SPREAD_MIN_BYTES, lookup
+from mergelane.operators.lookups import SPREAD_MIN_BYTES, join_all, lookup
 from mergelane.operators.ranking import top_n
 from mergelane.session import materialize, input_bytes
 
@@ -145,7 +145,11 @@ def exact_best(source: DataFrame, target: DataFrame, rule: ExactRule, ids: Ids)
 
 
 def exact_pairs(source: DataFrame, target: DataFrame, rule: ExactRule, ids: Ids) -> DataFrame:
-    """All matching (source_id, target_id) pairs. The result itself grows with the square of a key group."""
+    """All matching (source_id, target_id) pairs.
+
+    The result is as large as the key groups make it; AQE splits a hot key on both sides. Where only
+    a link per record is needed, `exact_best` has it without any pairs.
+    """
     names = [f"__x{i}" for i in range(len(rule.pairs))]
     a = _keyed(source, rule.pairs, "source", "__x").dropna(subset=names).select(
         *names, F.col(ids.source).alias("source_id")
@@ -316,9 +320,8 @@ def match_fuzzy(source: DataFrame, target: DataFrame, rule: FuzzyRule, ids: Ids,
 
 
 def _attach(source: DataFrame, pairs: DataFrame, ids: Ids, result: str, *more: str) -> DataFrame:
-    right = pairs.withColumnsRenamed({"source_id": "__sid", "target_id": result})
-    joined = source.join(right, F.col(ids.source) == F.col("__sid"), "left")
-    return joined.select(*source.columns, result, *more)
+    right = pairs.withColumnRenamed("target_id", result)
+    return join_all(source, right, [(ids.source, "source_id")], [result, *more])
 
 
 def apply_matching(

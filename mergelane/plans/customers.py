@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mergelane.functions import text
 from mergelane.operators.clusters import cluster_occurrence, fill_in_cluster, first_rule_wins, unify_ids
 from mergelane.operators.enrichment import address_payload
-from mergelane.operators.lookups import lookup
+from mergelane.operators.lookups import join_all, lookup
 from mergelane.operators.matching import ExactRule, FuzzyRule, Ids, Pair, apply_matching, matched_pairs
 from mergelane.operators.ranking import distinct_entities
 from mergelane.session import materialize
@@ -139,7 +139,7 @@ def link_accounts(customers: DataFrame, accounts: DataFrame, relationships: Data
     best = pairs.groupBy("source_id").agg(F.min("priority").alias("__best"))
     won = lookup(pairs, best, ["source_id"], ["__best"]).filter(F.col("priority") == F.col("__best"))
     won = won.select("source_id", "rule", F.col("target_id").alias("direct_c4S_account_id"), "score").distinct()
-    linked = customers.join(won, F.col("unique_id") == F.col("source_id"), "left").drop("source_id")
+    linked = join_all(customers, won, [("unique_id", "source_id")], ["rule", "direct_c4S_account_id", "score"])
     linked = materialize(linked, "linked")
     filled = fill_in_cluster(linked, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id")
     return cluster_occurrence(filled, "dim_sellout_cust_id", "C4S_account_id", "direct_c4S_account_id")
@@ -152,7 +152,7 @@ def match_external(customers: DataFrame, accounts: DataFrame, relationships: Dat
     partners = apply_matching(
         customers, relationships, [RELATIONSHIP_RULE], Ids("unique_id", "c4cu_businesspartner_id"), "multiple"
     ).select(F.col("unique_id").alias("__sid"), "ext_BPR_match")
-    joined = wide.join(partners, F.col("unique_id") == F.col("__sid"), "left").drop("__sid")
+    joined = join_all(wide, partners, [("unique_id", "__sid")], ["ext_BPR_match"])
     direct = joined.withColumn("direct_c4S_account_id", first_rule_wins(ACCOUNT_PRIORITY))
     direct = materialize(direct, "linked")
     filled = fill_in_cluster(direct, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id")

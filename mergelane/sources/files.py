@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mergelane.operators.lookups import lookup
 from mergelane.operators.mapping import header_names
 
 
@@ -110,7 +111,8 @@ def read_csv_layout(
     by_file = header_lines.withColumnRenamed("line", "header").join(layout, "header").drop("header")
     data = lines.filter(
         (F.coalesce(F.col("line_no"), F.lit(header_row + 1)) > header_row) & (F.trim("line") != "")
-    ).join(by_file, "full_file_path")
+    )
+    data = lookup(data, by_file, ["full_file_path"], ["names"]).filter(F.col("names").isNotNull())
     # One cell more than the widest header shows up lines that are too long.
     data = data.withColumn("cells", cells(F.col("line"), widest + 1))
     overflow = F.exists(

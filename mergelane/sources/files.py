@@ -33,6 +33,10 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
+# Encoding names as people write them.
+CHARSETS = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "utf8": "UTF-8", "ascii": "US-ASCII"}
+
+
 def _number_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Number the lines of every file's first block; lines of later blocks get null.
 
@@ -63,7 +67,7 @@ def _lines(spark: SparkSession, path: str, encoding: str, glob: str | None) -> D
         F.col("value").cast("binary").alias("line"),
     )
     numbered = raw.mapInPandas(_number_lines, "full_file_path string, line binary, line_no long")
-    text = F.decode(F.col("line"), encoding)
+    text = F.decode(F.col("line"), CHARSETS.get(encoding.lower(), encoding))
     return numbered.withColumn("line", F.regexp_replace(text, "[\\r\\x{FEFF}]", ""))
 
 

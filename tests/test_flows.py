@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mergelane.operators import enrichment, upsert
 from mergelane.operators.mapping import GOLDEN_SCHEMA, conform, empty_table
-from mergelane.plans import customers, sales, views
+from mergelane.plans import customers, ingest, sales, views
 from mergelane.session import materialize, shared_folder
 
 NOW = datetime(2024, 5, 17, 12, 0)
@@ -118,6 +118,38 @@ def test_enrichment_round(spark, addresses, cache, tmp_path):
 # --- flows -----------------------------------------------------------------------------------------
 
 
+def test_ingest_and_consolidate(spark, tmp_path):
+    one, two = tmp_path / "One 2023", tmp_path / "two"
+    one.mkdir(), two.mkdir()
+    (one / "Q1_2023 a.csv").write_bytes("junk\nKlantnr.;Adres;Prijs;Client\n12.0;Straat 1;2.5;Café/7\n".encode("latin-1"))
+    (one / "Q2_2023 b.csv").write_bytes("junk\nAddress;Klantnr.;Prijs;Client\nRue 2;13.0;x;Bar/8\n".encode("latin-1"))
+    (two / "all.csv").write_text("client,article,date\nA,5,2023-01-02\n")
+    mapped = ingest.ingest_partner(
+        spark, str(one),
+        {"wholesaler_name": F.lit("one"), "customer_number": "klantnr_", "customer_address": ["adres", "address"],
+         "total_amount": "prijs", "customer_name": F.substring_index("client", "/", 1), "date": "full_file_path"},
+        csv={"header_row": 1, "sep": ";", "encoding": "latin1"},
+    )
+    spark.sql("CREATE DATABASE IF NOT EXISTS partners")
+    mapped.write.mode("overwrite").saveAsTable("partners.one")
+    other = ingest.ingest_partner(
+        spark, str(two), {"wholesaler_name": F.lit("two"), "customer_name": "client", "product_number": "article", "date": "date"}
+    )
+    other.write.mode("overwrite").saveAsTable("partners.two")
+    golden = ingest.consolidate(spark, "partners")
+    assert golden.schema.simpleString() == empty_table(spark, GOLDEN_SCHEMA).schema.simpleString()
+    assert all(" " not in r.full_file_path for r in golden.collect())
+    # The date comes out of the path: nothing but the file name says it.
+    in_path = F.concat(F.lit("volumes/"), F.substring_index("date", "/", -1))
+    clean = sales.clean_sales(golden.withColumn("date", F.when(F.col("date").contains("/"), in_path).otherwise(F.col("date"))))
+    found = clean.select("wholesaler_name", "customer_number", "customer_address", "total_amount", "customer_name",
+                         F.col("date").cast("string"))
+    assert rows(found) == sorted(
+        [("one", "12", "Straat 1", 2.5, "Café", "2023-03-31"), ("one", "13", "Rue 2", None, "Bar", "2023-06-30"),
+         ("two", None, None, None, "A", "2023-01-02")], key=str,
+    )
+
+
 def test_sales_flow(spark):
     golden = conform(
         spark.createDataFrame(

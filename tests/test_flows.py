@@ -277,5 +277,16 @@ def test_entry_imports_without_a_session():
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
 
 
-def test_shared_folder_is_the_configured_one(spark):
+def test_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+    class Session:
+        """A session without the setting, on `master`."""
+
+        def __init__(self, master):
+            self.conf = {}
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+
+    assert shared_folder(Session("local[4]")) == shared_folder(Session("local[4]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session("yarn"))

@@ -51,47 +51,57 @@ def match_exact(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, s_suppkey AS same_nation_and_band
-FROM customer LEFT JOIN supplier ON c_mktsegment <> 'MACHINERY' AND c_nationkey = s_nationkey
-     AND floor(c_acctbal / 100) = floor(s_acctbal / 100) AND c_custkey <> s_suppkey
+SELECT c_custkey, o_orderkey AS placed FROM customer LEFT JOIN orders
+ON c_custkey = o_custkey AND c_mktsegment <> 'MACHINERY' AND c_custkey <> o_orderkey
 """)
 def match_exact_all(t: Tables) -> DataFrame:
-    found = matching.match_exact(_buyers(t, 100), _sellers(t, 100), _NATION, _ACROSS, handler="multiple")
-    return found.select("c_custkey", "same_nation_and_band")
+    """All orders that carry a customer's number."""
+    number = F.concat(F.lit(" NR "), F.col("c_custkey").cast("string"))
+    buyers = t.customer.select("c_custkey", F.when(F.col("c_mktsegment") != "MACHINERY", number).alias("number"))
+    placed = t.orders.select("o_orderkey", F.concat(F.lit("nr "), "o_custkey", F.lit(" ")).alias("number"))
+    rule = ExactRule("placed", [Pair("number", "number")])
+    found = matching.match_exact(buyers, placed, rule, Ids("c_custkey", "o_orderkey"), handler="multiple")
+    return found.select("c_custkey", "placed")
 
 
 # --- fuzzy -----------------------------------------------------------------------------------------
 
+_FUZZY = [Pair("p_name", "p_name", weight=0.5), Pair("p_type", "p_type", weight=0.5)]
 _SIMILAR = FuzzyRule(
-    "similar_part",
-    fuzzy=[Pair("p_name", "p_name", weight=0.5), Pair("p_type", "p_type", weight=0.5)],
-    block=[Pair("p_brand", "p_brand"), Pair("p_size", "p_size")],
-    min_score=0.75,
-    score="score",
-    details="details",
+    "similar_part", _FUZZY, [Pair("p_brand", "p_brand"), Pair("p_size", "p_size")], 0.75, score="score", details="details"
 )
+# For lists of all pairs: a line of fifty parts, so that the pairs grow with the parts, not their square.
+_SIMILAR_IN_LINE = FuzzyRule("similar_part", _FUZZY, [Pair("line", "line")], 0.75, score="score", details="details")
 _SELF = Ids("p_partkey", "p_partkey")
 
-_SIMILAR_SQL = """
+
+def _similar_sql(block: str) -> str:
+    return f"""
 scored AS (
   SELECT a.p_partkey AS source_id, b.p_partkey AS target_id,
     0.5::DOUBLE * (1 - levenshtein(lower(a.p_name), lower(b.p_name))::DOUBLE / greatest(length(a.p_name), length(b.p_name)))
     + 0.5::DOUBLE * (1 - levenshtein(lower(a.p_type), lower(b.p_type))::DOUBLE / greatest(length(a.p_type), length(b.p_type))) AS score
-  FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey <> b.p_partkey),
-similar_pairs AS (SELECT * FROM scored WHERE score >= 0.75),
+  FROM part a JOIN part b ON {block} AND a.p_partkey <> b.p_partkey),
+similar_pairs AS (SELECT * FROM scored WHERE score >= 0.75)
+"""
+
+
+_IN_LINE_SQL = _similar_sql("a.p_partkey // 50 = b.p_partkey // 50")
+_SIMILAR_SQL = _similar_sql("a.p_brand = b.p_brand AND a.p_size = b.p_size") + """,
 best AS (SELECT source_id, target_id AS similar_part, score FROM similar_pairs
          QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY score DESC, target_id) = 1)
 """
 
 
 def _parts(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
+    line = F.floor(F.col("p_partkey") / 50).alias("line")
+    return t.part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice", line)
 
 
-@query(f"WITH {_SIMILAR_SQL} SELECT source_id, target_id, score FROM similar_pairs")
+@query(f"WITH {_IN_LINE_SQL} SELECT source_id, target_id, score FROM similar_pairs")
 def match_fuzzy(t: Tables) -> DataFrame:
     parts = _parts(t)
-    return matching.fuzzy_pairs(parts, parts, _SIMILAR, _SELF).select("source_id", "target_id", "score")
+    return matching.fuzzy_pairs(parts, parts, _SIMILAR_IN_LINE, _SELF).select("source_id", "target_id", "score")
 
 
 @query(f"WITH {_SIMILAR_SQL} SELECT p_partkey, similar_part, score FROM part LEFT JOIN best ON p_partkey = source_id")
@@ -101,12 +111,12 @@ def match_fuzzy_best(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH {_SIMILAR_SQL}
+WITH {_IN_LINE_SQL}
 SELECT source_id, target_id, count(*) OVER (PARTITION BY source_id) AS match_count FROM similar_pairs
 """)
 def match_count(t: Tables) -> DataFrame:
     parts = _parts(t)
-    pairs = matching.fuzzy_pairs(parts, parts, _SIMILAR, _SELF).select("source_id", "target_id")
+    pairs = matching.fuzzy_pairs(parts, parts, _SIMILAR_IN_LINE, _SELF).select("source_id", "target_id")
     return ranking.with_count(pairs, ["source_id"])
 
 

@@ -6,7 +6,7 @@ import hashlib
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mergelane.checks.registry import Tables, query
@@ -355,6 +355,11 @@ def merge_upsert(t: Tables) -> DataFrame:
 # --- the customer identity flow --------------------------------------------------------------------
 
 
+def _postal_code() -> Column:
+    """A few neighbours per code, at any number of customers."""
+    return (F.lit(1000) + F.floor(F.col("c_custkey") / 5)).cast("string")
+
+
 def _sellout_customers(t: Tables) -> DataFrame:
     """Orders seen as sales to customers that each wholesaler numbers and spells in its own way."""
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -365,7 +370,7 @@ def _sellout_customers(t: Tables) -> DataFrame:
         F.when(status == "P", F.concat(key, F.lit("-p"))).otherwise(key).alias("customer_number"),
         F.concat(F.lit("Street "), F.col("c_nationkey").cast("string")).alias("customer_address"),
         F.lit("City").alias("customer_city"),
-        (F.lit(1000) + F.col("c_custkey") % 997).cast("string").alias("customer_postal_code"),
+        _postal_code().alias("customer_postal_code"),
         F.lit("BE").alias("customer_country"),
         F.when(status != "O", shop).alias("customer_name"),
         shop.alias("owner_name"),
@@ -385,7 +390,7 @@ def _crm_accounts(t: Tables) -> DataFrame:
         F.lit("Street").alias("c4cu_streetaddress_id"),
         F.col("c_nationkey").cast("string").alias("c4cu_housenumber_id"),
         F.lit(" ").alias("c4cu_city_id"),
-        (F.lit(1000) + F.col("c_custkey") % 997).cast("string").alias("c4cu_postalcode_id"),
+        _postal_code().alias("c4cu_postalcode_id"),
         F.concat(F.lit("be"), F.lpad(key, 10, "0")).alias("c4cu_vatregistration_id"),
         F.lit("").alias("c4cu_taxnumber4_id"),
     )
@@ -410,7 +415,7 @@ def _identities(t: Tables) -> DataFrame:
 _IDENTITY_SQL = """
 raw AS (
   SELECT DISTINCT CASE WHEN o_orderstatus = 'P' THEN c_custkey || '-p' ELSE CAST(c_custkey AS VARCHAR) END AS customer_number,
-    'Street ' || c_nationkey AS customer_address, CAST(1000 + c_custkey % 997 AS VARCHAR) AS zip,
+    'Street ' || c_nationkey AS customer_address, CAST(1000 + c_custkey // 5 AS VARCHAR) AS zip,
     'Shop ' || CASE WHEN o_orderstatus = 'F' THEN upper(c_name) ELSE c_name END AS shop,
     CASE WHEN c_mktsegment = 'BUILDING' THEN 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS vat, o_orderstatus AS w
   FROM orders JOIN customer ON o_custkey = c_custkey),
@@ -461,7 +466,7 @@ _LINKED_SQL = f"""
 {_IDENTITY_SQL},
 accounts AS (
   SELECT 'A' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS account, 'shop ' || lower(c_name) AS shop, 'Street ' || c_nationkey AS street,
-         CAST(1000 + c_custkey % 997 AS VARCHAR) AS zip, 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS vat
+         CAST(1000 + c_custkey // 5 AS VARCHAR) AS zip, 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS vat
   FROM customer WHERE c_mktsegment <> 'MACHINERY'),
 partners AS (SELECT 'B' || c_custkey AS account, CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS number
              FROM customer WHERE c_mktsegment = 'FURNITURE'),

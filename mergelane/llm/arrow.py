@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Rows handled at once inside a task; a batch from Spark may hold more.
 STEP = 512
@@ -21,6 +22,18 @@ def steps(batches: Iterator[pa.RecordBatch], rows: int = STEP) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def byte_steps(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut where the texts of `column` exceed `most` bytes; a longer text stands alone."""
+    for batch in batches:
+        sizes = np.fromiter((n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()), dtype=np.int64)
+        ends = np.cumsum(sizes)
+        start, done = 0, 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start, done = stop, int(ends[stop - 1])
+
+
 def texts(column: pa.Array) -> list[str]:
     """A string column as Python texts; null counts as empty."""
     return [t or "" for t in column.to_pylist()]
@@ -29,11 +42,3 @@ def texts(column: pa.Array) -> list[str]:
 def text_bytes(column: pa.Array) -> list[bytes]:
     """A string column as UTF-8; null counts as empty."""
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
-
-
-def joined_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All texts of a column in one byte array, and the n + 1 offsets of the texts in it."""
-    parts = text_bytes(column)
-    ends = np.zeros(len(parts) + 1, dtype=np.int64)
-    np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)), out=ends[1:])
-    return np.frombuffer(b"".join(parts), dtype=np.uint8), ends

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergelane.llm import bpe, fingerprints, license_scan, url_filter
+from mergelane.llm import bpe, fingerprints, license_scan, ngram_join, packing, token_counts, topk_bitslice, url_filter
 from mergelane.llm.registry import QUERIES, SQL, query  # noqa: F401
+from mergelane.session import materialize, shared_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +36,71 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Words between ASCII white space; words of letters, digits and non-ASCII characters.
+BLANK_WORDS = r"[^\x20\x09-\x0D]+"
+LETTER_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP3_SQL = rf"""
+WITH kept AS (
+  SELECT source, lang, coalesce(text, '') AS text FROM documents
+  WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)
+),
+counts AS (
+  SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(text, '{LETTER_WORDS}')) AS n FROM kept
+  UNION ALL
+  SELECT source, lang, 'utf8-bytes-1', strlen(text) FROM kept
+)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens FROM counts GROUP BY ALL
+"""
+
+
+@query("op3_token_counts", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches: all documents come in, those labelled bad go, and the words of the others are recounted."""
+    docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
+    text = F.coalesce("text", F.lit(""))
+    counts = materialize(
+        docs.select(
+            "doc_id", "source", "lang", F.regexp_count(text, F.lit(BLANK_WORDS)).alias("words"),
+            F.regexp_count(text, F.lit(LETTER_WORDS)).alias("recounted"), F.octet_length(text).alias("bytes"),
+        ),
+        "token-counts",
+    )
+    first = {"words-1": F.col("words"), "utf8-bytes-1": F.col("bytes")}
+    bad = labels.filter("quality = 0").select("doc_id").distinct()
+    gone, kept = counts.join(bad, "doc_id", "left_semi"), counts.join(bad, "doc_id", "left_anti")
+    recounted = kept.select(
+        "source", "lang", F.lit("words-1").alias("tokenizer"), F.col("words").alias("old_tokens"),
+        F.col("recounted").alias("tokens"),
+    )
+    store = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
+    arrived = token_counts.inserts(token_counts.counted(counts, first))
+    token_counts.commit(store, "arrivals", arrived)
+    token_counts.commit(store, "bad", token_counts.deletes(token_counts.counted(gone, first)))
+    token_counts.commit(store, "recount", token_counts.revisions(recounted))
+    token_counts.commit(store, "arrivals", arrived)  # as after a restart: counts once
+    return token_counts.totals(spark, store)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
+
+@query("op4_bit_sliced_topk", OP4_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_bitslice.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 # The rules to judge the pages by.
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"),
@@ -89,3 +158,16 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_quartile_fingerprint")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edit_fingerprints(table(spark, folder, "documents"), size_col="n_chars")
+
+
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents packed by their number of words."""
+    docs = table(spark, folder, "documents")
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(BLANK_WORDS))
+    return packing.pack(docs.select("doc_id", words.alias("words")), "words")
+
+
+@query("op10_ngram_jaccard")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.components(table(spark, folder, "documents"), size=3, threshold=Fraction(9, 10))

@@ -59,12 +59,12 @@ WITH RECURSIVE t AS (
      SELECT w, i, pairs.id, merges.id AS new, safe, min(merges.id) OVER (PARTITION BY w) AS low
      FROM pairs LEFT JOIN merges USING (pair)),
    hits AS (
-     SELECT *, coalesce(new = low, false) AS hit, min(CASE WHEN new = low THEN i END) OVER (PARTITION BY w) AS at,
+     SELECT *, coalesce(new = low, false) AS hit, min(CASE WHEN new = low THEN i END) OVER (PARTITION BY w) AS first,
        i - row_number() OVER (PARTITION BY w, coalesce(new = low, false) ORDER BY i) AS run
      FROM ranked),
    taken AS (
      SELECT *, hit AND CASE WHEN safe
-       THEN row_number() OVER (PARTITION BY w, hit, run ORDER BY i) % 2 = 1 ELSE i = at END AS take
+       THEN row_number() OVER (PARTITION BY w, hit, run ORDER BY i) % 2 = 1 ELSE i = first END AS take
      FROM hits),
    kept AS (SELECT *, lag(take, 1, false) OVER (PARTITION BY w ORDER BY i) AS gone FROM taken)
    SELECT w, CASE WHEN take THEN new ELSE id END, row_number() OVER (PARTITION BY w ORDER BY i), low IS NULL

@@ -246,3 +246,24 @@ def components(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("part").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"),
     )
+
+
+def first_of_each(
+    docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`docs` without those whose component has a smaller id (see `components`); columns stay.
+
+    Rows that repeat an id are one document: it stays if any of them names its component, and of its
+    rows with the same text one stays. Rows with a null id stay.
+    """
+    parts = materialize(components(docs, size, threshold, id_col, text_col), "components").filter(F.col(id_col).isNotNull())
+    per_id = parts.groupBy(F.col(id_col).alias("__id")).agg(
+        F.max((F.col(id_col) == F.col("component_id")).cast("int")).alias("__first"), F.count(F.lit(1)).alias("__rows")
+    )
+    gone = materialize(per_id.filter("__first = 0").select("__id"), "gone")
+    kept = docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    repeated = materialize(per_id.filter("__first = 1 AND __rows > 1").select("__id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    again = kept.join(repeated, F.col(id_col) == F.col("__id"), "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(repeated, F.col(id_col) == F.col("__id"), "left_anti").unionByName(again)

@@ -8,7 +8,18 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergelane.llm import bpe, fingerprints, license_scan, ngram_join, packing, token_counts, topk_bitslice, url_filter
+from mergelane.llm import (
+    bpe,
+    fingerprints,
+    license_scan,
+    ngram_join,
+    packing,
+    quality,
+    secret_scan,
+    token_counts,
+    topk_bitslice,
+    url_filter,
+)
 from mergelane.llm.registry import QUERIES, SQL, query  # noqa: F401
 from mergelane.session import materialize, shared_folder
 
@@ -17,6 +28,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_secret_scan")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per candidate; the secret itself is given as a digest."""
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "at", "rule", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score",
+        F.col("secret").cast("int").alias("secret"),
+    )
+
+
 @query("op2_license_scan")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     found = license_scan.scan_licenses(table(spark, folder, "documents"))
@@ -155,6 +176,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op8_quartile_fingerprint")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edit_fingerprints(table(spark, folder, "documents"), size_col="n_chars")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mergelane.operators.lookups import lookup
-from mergelane.session import materialize
+from mergelane.session import discard, materialize
 
 
 def match_edges(df: DataFrame, match_columns: Sequence[str], id_column: str) -> DataFrame:
@@ -27,38 +26,28 @@ def match_edges(df: DataFrame, match_columns: Sequence[str], id_column: str) ->
 def _lower_hubs(edges: DataFrame) -> DataFrame:
     """Link the larger end of every edge to the smallest node around the smaller end ("large star")."""
     sides = F.array(
-        F.struct(F.col("src").alias("node"), F.col("dst").alias("around"), F.lit(0).alias("as_dst")),
-        F.struct(F.col("dst").alias("node"), F.col("src").alias("around"), F.lit(1).alias("as_dst")),
+        F.struct(F.col("src").alias("node"), F.col("dst").alias("around")),
+        F.struct(F.col("dst").alias("node"), F.col("src").alias("around")),
     )
-    smallest = (
-        edges.select(F.explode(sides).alias("s"))
-        .groupBy("s.node")
-        .agg(F.min("s.around").alias("around"), F.sum("s.as_dst").alias("rows"))
-        .select("node", F.least("node", "around").alias("low"), "rows")
-    )
-    moved = lookup(edges, smallest, [("dst", "node")], ["low"], rows_per_key="rows")
+    smallest = edges.select(F.explode(sides).alias("s")).groupBy("s.node").agg(F.min("s.around").alias("around"))
+    lows = smallest.select("node", F.least("node", "around").alias("low"))
+    moved = lookup(edges, lows, [("dst", "node")], ["low"])
     return moved.select("src", F.col("low").alias("dst")).distinct()
 
 
 def _join_hubs(edges: DataFrame) -> DataFrame:
     """Link all smaller neighbours of a node to the smallest of them ("small star")."""
-    smallest = edges.groupBy("src").agg(F.min("dst").alias("low"), F.count(F.lit(1)).alias("rows"))
-    joined = lookup(edges, smallest, ["src"], ["low"], rows_per_key="rows")
+    smallest = edges.groupBy("src").agg(F.min("dst").alias("low"))
+    joined = lookup(edges, smallest, ["src"], ["low"])
     # (src, low) comes out of the edge whose other end is the smallest one.
     end = F.when(F.col("dst") == F.col("low"), F.col("src")).otherwise(F.col("dst"))
     return joined.select(end.alias("src"), F.col("low").alias("dst")).distinct()
 
 
-def _unfinished(edges: DataFrame) -> DataFrame:
-    """Nodes that still have two hubs, or are a hub and linked to one: none are left in a star forest."""
-    ends = F.array(
-        F.struct(F.col("src").alias("node"), F.lit(1).alias("links"), F.lit(0).alias("hub")),
-        F.struct(F.col("dst").alias("node"), F.lit(0).alias("links"), F.lit(1).alias("hub")),
-    )
-    nodes = edges.select(F.explode(ends).alias("e")).groupBy("e.node").agg(
-        F.sum("e.links").alias("links"), F.max("e.hub").alias("hub")
-    )
-    return nodes.filter((F.col("links") > 1) | ((F.col("links") == 1) & (F.col("hub") == 1)))
+def _fingerprint(edges: DataFrame) -> tuple:
+    """The number of edges and two sums over them; no round that moves an edge keeps all three."""
+    hashes = [F.xxhash64(F.lit(seed), "src", "dst").cast("decimal(20,0)") for seed in (1, 2)]
+    return tuple(edges.agg(F.count(F.lit(1)), *[F.sum(h) for h in hashes]).first())
 
 
 def connected_components(edges: DataFrame, max_iterations: int | None = None) -> DataFrame:
@@ -66,17 +55,21 @@ def connected_components(edges: DataFrame, max_iterations: int | None = None) ->
 
     Alternating stars (Kiveris et al., "Connected Components in MapReduce and Beyond", SoCC 2014):
     a number of rounds that grows with the logarithm of the longest chain, not with its length, and
-    no task ever holds the neighbours of a node. Each round is written to the shared folder. With
-    `max_iterations` the labels may be incomplete, which gives a warning.
+    no task ever holds the neighbours of a node. A round that changes nothing is the last. Each round
+    is written to the shared folder, and the one before it is deleted. Labels that `max_iterations` leaves
+    incomplete are an error.
     """
     current = materialize(edges, "edges")
-    done = 0
-    while not _unfinished(current).isEmpty():
-        if max_iterations is not None and done >= max_iterations:
-            warnings.warn(f"clusters not complete after {done} rounds", stacklevel=2)
+    before, done = _fingerprint(current), 0
+    while before[0]:
+        following = materialize(_join_hubs(_lower_hubs(current)), "edges")
+        discard(current)
+        current, after = following, _fingerprint(following)
+        if after == before:
             break
-        current = materialize(_join_hubs(_lower_hubs(current)), "edges")
-        done += 1
+        before, done = after, done + 1
+        if max_iterations is not None and done >= max_iterations:
+            raise RuntimeError(f"clusters not complete after {done} rounds")
     return current.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("label"))
 
 
@@ -89,7 +82,7 @@ def unify_ids(
 ) -> DataFrame:
     """`df` with a cluster label: the smallest id among all records linked to it, directly or not.
 
-    Runs jobs while it is planned, one or two per round.
+    Runs jobs while it is planned, two per round.
     """
     labels = connected_components(match_edges(df, match_columns, id_column), max_iterations)
     labels = labels.withColumnRenamed("label", "__label")
@@ -107,8 +100,8 @@ def fill_in_cluster(df: DataFrame, cluster: str, col: str, out: str) -> DataFram
 
     Aggregated and joined back rather than windowed: a window would hold a whole cluster in one task.
     """
-    values = df.groupBy(cluster).agg(F.min(col).alias(out), F.count(F.lit(1)).alias("__rows"))
-    return lookup(df, values, [cluster], [out], null_safe=True, rows_per_key="__rows")
+    values = df.groupBy(cluster).agg(F.min(col).alias(out))
+    return lookup(df, values, [cluster], [out], null_safe=True)
 
 
 def cluster_occurrence(
@@ -117,6 +110,6 @@ def cluster_occurrence(
     """`out` = number of distinct (filled, direct) pairs of the cluster; pairs with a null do not count."""
     pair = F.when(F.col(filled).isNotNull() & F.col(direct).isNotNull(), F.struct(filled, direct))
     # Counted per pair first, so that a cluster is spread over its pairs before it is summed up.
-    pairs = df.select(cluster, pair.alias("p")).groupBy(cluster, "p").agg(F.count(F.lit(1)).alias("n"))
-    counts = pairs.groupBy(cluster).agg(F.count("p").cast("int").alias(out), F.sum("n").alias("__rows"))
-    return lookup(df, counts, [cluster], [out], rows_per_key="__rows")
+    pairs = df.select(cluster, pair.alias("p")).distinct()
+    counts = pairs.groupBy(cluster).agg(F.count("p").cast("int").alias(out))
+    return lookup(df, counts, [cluster], [out])

@@ -9,17 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergelane.functions.text import strip_leading_zeros
-from mergelane.session import broadcast_limit, input_bytes
 
 # A join key is a name both sides have, or a (left, right) pair of names or expressions.
 Key = str | tuple[Column | str, Column | str]
 
-# Below this input size no key is too hot for one task.
-SPREAD_MIN_BYTES = 1 << 30
-# A key is hot from this many rows on; at most this many of the hottest keys are split out.
-HOT_MIN_ROWS = 1_000_000
-HOT_MAX_KEYS = 1_000
-
 
 def key_columns(on: Sequence[Key]) -> list[tuple[Column, Column]]:
     """`on` as (left, right) expression pairs."""
@@ -37,44 +30,37 @@ def lookup(
     cols: Sequence[str],
     right_filter: Column | None = None,
     null_safe: bool = False,
-    rows_per_key: str | None = None,
 ) -> DataFrame:
     """Every row of `left` with `cols` of its row in `right`, or nulls; never more rows than `left`.
 
     `right` must have one row per key (see `pick_one`). `right_filter` limits `right` as a one-sided
     ON condition would. `null_safe` lets null keys meet.
 
-    Physical choice: when `right` reads less than Spark's broadcast threshold, or `left` is small, a
-    plain left join is left to Catalyst and AQE, who know the sizes. Otherwise the hottest keys of `left` are split out: their
-    right-hand rows, one per key and at most HOT_MAX_KEYS, are broadcast, and their left-hand rows are
-    spread over the shuffle by a row hash instead of meeting in one task. Null keys are spread as well.
-    `rows_per_key` names a column of `right` that already counts the left rows per key, which saves
-    the counting pass.
+    One left join at any size: Catalyst and AQE broadcast a small `right` and split a hot key of
+    `left`. Null keys, which find nothing, are spread over the shuffle.
     """
     taken = [c for c in cols if c in left.columns]
     if taken:
         raise ValueError(f"columns {taken} are on the left already; rename them first")
-    pairs = key_columns(on)
-    names = [f"__k{i}" for i in range(len(pairs))]
     if right_filter is not None:
         right = right.filter(right_filter)
-    right = right.withColumns({n: r for (_, r), n in zip(pairs, names)})
-    dim = right.select(*names, *cols)
-    keyed = left.withColumns({n: l for (l, _), n in zip(pairs, names)})
-    small = input_bytes(dim) <= broadcast_limit(left.sparkSession)
-    if small or input_bytes(left) < SPREAD_MIN_BYTES:
-        joined = keyed.join(_tagged(dim, names, "__r"), _meets(names, "__r", null_safe), "left")
-    else:
-        if rows_per_key:
-            counts = right.select(*names, F.col(rows_per_key).alias("__rows"))
-        else:
-            counts = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows"))
-        joined = _spread_left_join(keyed, dim, counts, names, cols, null_safe)
-    return joined.select(*left.columns, *cols)
+    return _left_join(left, right, on, cols, null_safe)
 
 
-def _tagged(df: DataFrame, names: Sequence[str], tag: str) -> DataFrame:
-    return df.withColumnsRenamed({n: tag + n for n in names})
+def _left_join(left: DataFrame, right: DataFrame, on: Sequence[Key], cols: Sequence[str], null_safe: bool) -> DataFrame:
+    pairs = key_columns(on)
+    names = [f"__k{i}" for i in range(len(pairs))]
+    keyed = left.withColumns({n: l for (l, _), n in zip(pairs, names)})
+    dim = right.select(*[r.alias(f"__r{n}") for (_, r), n in zip(pairs, names)], *cols)
+    if not null_safe:
+        # Both sides also meet on a hash of their keys. A row with a null key takes a hash of itself instead,
+        # so such rows do not all come to one task.
+        hashable = [F.col(f"`{c}`") for c, t in left.dtypes if "map<" not in t and "variant" not in t]
+        empty = reduce(lambda a, n: a | F.col(n).isNull(), names, F.lit(False))
+        keyed = keyed.withColumn("__slot", F.when(empty, F.xxhash64(*hashable)).otherwise(F.xxhash64(*names)))
+        dim = dim.withColumn("__r__slot", F.xxhash64(*[f"__r{n}" for n in names]))
+        names = [*names, "__slot"]
+    return keyed.join(dim, _meets(names, "__r", null_safe), "left").select(*left.columns, *cols)
 
 
 def _meets(names: Sequence[str], tag: str, null_safe: bool) -> Column:
@@ -82,41 +68,6 @@ def _meets(names: Sequence[str], tag: str, null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
-def _spread_left_join(
-    keyed: DataFrame, dim: DataFrame, counts: DataFrame, names: list[str], cols: Sequence[str], null_safe: bool
-) -> DataFrame:
-    """The split form of `lookup`: the same rows as its plain left join."""
-    packed = dim.select(*names, F.struct(*cols).alias("__value"))
-    hottest = (
-        (counts if null_safe else counts.dropna(subset=names))
-        .filter(F.col("__rows") >= HOT_MIN_ROWS)
-        .orderBy(F.desc("__rows"), *names)
-        .limit(HOT_MAX_KEYS)
-        .select(*names)
-    )
-    hot_rows = packed.join(
-        F.broadcast(_tagged(hottest, names, "__h")), _meets(names, "__h", null_safe)
-    ).select(*[F.col(n).alias(f"__v{n}") for n in names], F.col("__value").alias("__hot_value"))
-    hot = hottest.join(F.broadcast(hot_rows), _meets(names, "__v", null_safe), "left").select(
-        *[F.col(n).alias(f"__h{n}") for n in names], F.lit(True).alias("__hot"), "__hot_value"
-    )
-    marked = keyed.join(F.broadcast(hot), _meets(names, "__h", null_safe), "left")
-
-    # Both sides also meet on a hash of their keys. Hot keys, and null keys that cannot meet, take a hash
-    # of the whole row instead: they spread evenly and find nothing. (A constant salt on the right would
-    # not do, as the optimizer folds it out of the shuffle key.)
-    alone = F.col("__hot").isNotNull()
-    if not null_safe:
-        alone = reduce(lambda a, n: a | F.col(n).isNull(), names, alone)
-    hashable = [c for c, t in keyed.dtypes if "map<" not in t and "variant" not in t]
-    spread = F.xxhash64(F.lit("row"), *[F.col(f"`{c}`") for c in hashable])
-    marked = marked.withColumn("__slot", F.when(alone, spread).otherwise(F.xxhash64(*names)))
-    cold = _tagged(packed.withColumn("__slot", F.xxhash64(*names)), [*names, "__slot"], "__r")
-    joined = marked.join(cold, _meets([*names, "__slot"], "__r", null_safe), "left")
-    value = F.when(F.col("__hot").isNotNull(), F.col("__hot_value")).otherwise(F.col("__value"))
-    return joined.withColumns({c: value[c] for c in cols})
-
-
 def pick_one(right: DataFrame, on: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
     """One row per key of a lookup table: the first under `order`. Rows with a null key go.
 
@@ -162,22 +113,11 @@ def join_all(
 ) -> DataFrame:
     """Left join that keeps every match; `right_filter` is a one-sided ON condition.
 
-    AQE can split a hot key on either side of an inner join, but only on the left of an outer one. So
-    a large join runs as an inner join plus the rows without a match.
+    Null keys are spread over the shuffle, and AQE splits a hot key of the left.
     """
-    pairs = key_columns(on)
-    names = [f"__k{i}" for i in range(len(pairs))]
     if right_filter is not None:
         right = right.filter(right_filter)
-    dim = right.select(*[r.alias(f"__r{n}") for (_, r), n in zip(pairs, names)], *cols)
-    keyed = left.withColumns({n: l for (l, _), n in zip(pairs, names)})
-    meets = _meets(names, "__r", False)
-    if input_bytes(left) + input_bytes(right) < SPREAD_MIN_BYTES:
-        return keyed.join(dim, meets, "left").select(*left.columns, *cols)
-    matched = keyed.join(dim, meets).select(*left.columns, *cols)
-    keys = dim.select(*[f"__r{n}" for n in names]).distinct()
-    alone = keyed.join(keys, meets, "left_anti").select(*left.columns)
-    return matched.unionByName(alone, allowMissingColumns=True)
+    return _left_join(left, right, on, cols, False)
 
 
 def priority_lookup(

@@ -9,10 +9,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mergelane.operators.candidates import Field, similar_pairs
-from mergelane.operators.lookups import SPREAD_MIN_BYTES, join_all, lookup
+from mergelane.operators.candidates import similar_pairs
+from mergelane.operators.lookups import join_all, lookup
 from mergelane.operators.ranking import top_n
-from mergelane.session import materialize, input_bytes
+from mergelane.session import materialize
 
 
 @dataclass(frozen=True)
@@ -140,7 +140,8 @@ def exact_best(source: DataFrame, target: DataFrame, rule: ExactRule, ids: Ids)
     two = _two_smallest(keys, names, "__id")
     on = [(p.normal(p.source), n) for p, n in zip(rule.pairs, names)]
     out = lookup(source, two, on, ["__t1", "__t2"])
-    pick = F.when(ids.differ(F.col(ids.source), F.col("__t1")), F.col("__t1")).otherwise(F.col("__t2"))
+    other = lambda c: ids.differ(F.col(ids.source), F.col(c))
+    pick = F.when(other("__t1"), F.col("__t1")).when(other("__t2"), F.col("__t2"))
     return out.withColumn(rule.result, pick).drop("__t1", "__t2")
 
 
@@ -206,9 +207,8 @@ def _similar_values(a: DataFrame, b: DataFrame, rule: FuzzyRule, mirrored: bool)
     if mirrored:
         left, right = (F.struct(*[F.col(s + t) for t in texts]) for s in ("a_", "b_"))
         test = (left <= right) & test
-    fields = [Field(f"__f{i}", p.weight) for i, p in enumerate(rule.fuzzy)]
     block = [v for v in values if v.startswith("__b")]
-    pairs = similar_pairs(a, b, block, fields, rule.min_score, test)
+    pairs = similar_pairs(a, b, block, test)
     similarities = F.array(*[_similarity(F.col("a_" + t), F.col("b_" + t)) for t in texts])
     pairs = pairs.withColumns({"__score": score, "__similarities": similarities})
     if not mirrored:
@@ -229,11 +229,6 @@ def _is_self_match(source: DataFrame, target: DataFrame, rule: FuzzyRule, ids: I
     return source is target and same_columns and ids.source == ids.target
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """A large intermediate that is used several times is written once."""
-    return materialize(df, "records") if input_bytes(df) >= SPREAD_MIN_BYTES else df
-
-
 def _details(rule: FuzzyRule, similarities: Column) -> Column:
     entries = [x for i, p in enumerate(rule.fuzzy) for x in (F.lit(p.source), F.round(similarities[i], 6))]
     return F.when(similarities.isNotNull(), F.to_json(F.create_map(*entries)))
@@ -255,18 +250,19 @@ def fuzzy_best(
 
     def tuples(df: DataFrame, side: str, id_col: str) -> DataFrame:
         records = _records(df, rule, side).select(*values, F.col(id_col).alias("__id"))
-        return _settled(_two_smallest(records, values, "__id"))
+        return materialize(_two_smallest(records, values, "__id"), "tuples")
 
     mirrored = _is_self_match(source, target, rule, ids)
     a = tuples(source, "source", ids.source)
     b = a if mirrored else tuples(target, "target", ids.target)
     pairs = _similar_values(a, b, rule, mirrored)
 
-    # Two candidates per source tuple suffice, as a record can exclude only its own id.
+    # Two candidate ids per source tuple suffice, as a record can exclude only its own id. An id may stand on
+    # several target tuples, so it first keeps its best one.
     key = [f"a_{v}" for v in values]
     options = pairs.withColumn("__id", F.explode(F.array_compact(F.array("b___t1", "b___t2"))))
-    options = top_n(options.select(*key, "__id", "__score", "__similarities"), key,
-                    [F.desc("__score"), F.asc("__id")], 2, "__rank")
+    options = options.groupBy(*key, "__id").agg(F.max(F.struct("__score", "__similarities")).alias("__best"))
+    options = top_n(options.select(*key, "__id", "__best.*"), key, [F.desc("__score"), F.asc("__id")], 2, "__rank")
     option = F.struct("__id", "__score", "__similarities")
     nth = lambda n: F.max(F.when(F.col("__rank") == n, option))
     best = options.groupBy(*key).agg(nth(1).alias("__o1"), nth(2).alias("__o2"))
@@ -274,7 +270,8 @@ def fuzzy_best(
     on = [(p.normal(p.source), f"a___b{i}") for i, p in enumerate(rule.block)]
     on += [(F.coalesce(p.normal(p.source), F.lit("")), f"a___f{i}") for i, p in enumerate(rule.fuzzy)]
     out = lookup(source if onto is None else onto, best, on, ["__o1", "__o2"])
-    pick = F.when(ids.differ(F.col(ids.source), F.col("__o1.__id")), F.col("__o1")).otherwise(F.col("__o2"))
+    other = lambda c: ids.differ(F.col(ids.source), F.col(f"{c}.__id"))
+    pick = F.when(other("__o1"), F.col("__o1")).when(other("__o2"), F.col("__o2"))
     out = out.withColumn("__pick", pick).withColumns({
         rule.result: F.col("__pick.__id"),
         rule.score: F.col("__pick.__score"),
@@ -287,12 +284,12 @@ def fuzzy_pairs(source: DataFrame, target: DataFrame, rule: FuzzyRule, ids: Ids)
     """All (source_id, target_id) pairs that reach the score, with score and details."""
     values = _value_columns(rule)
     mirrored = _is_self_match(source, target, rule, ids)
-    a_rows = _settled(_records(source, rule, "source").select(*values, F.col(ids.source).alias("source_id")))
-    b_rows = a_rows.withColumnRenamed("source_id", "target_id") if mirrored else _settled(
-        _records(target, rule, "target").select(*values, F.col(ids.target).alias("target_id"))
-    )
-    a = _settled(a_rows.select(*values).distinct())
-    b = a if mirrored else _settled(b_rows.select(*values).distinct())
+    a_rows = _records(source, rule, "source").select(*values, F.col(ids.source).alias("source_id"))
+    b_rows = a_rows.withColumnRenamed("source_id", "target_id") if mirrored else _records(
+        target, rule, "target"
+    ).select(*values, F.col(ids.target).alias("target_id"))
+    a = materialize(a_rows.select(*values).distinct(), "tuples")
+    b = a if mirrored else materialize(b_rows.select(*values).distinct(), "tuples")
     pairs = _similar_values(a, b, rule, mirrored)
 
     expanded = a_rows.toDF(*[f"a_{v}" for v in values], "source_id").join(pairs, [f"a_{v}" for v in values])

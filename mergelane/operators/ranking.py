@@ -35,7 +35,7 @@ def with_count(df: DataFrame, keys: Sequence[str], name: str = "match_count") ->
     Counted by a partial aggregate and joined back, so that no task has to hold a whole group.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return lookup(df, counts, list(keys), [name], null_safe=True, rows_per_key=name)
+    return lookup(df, counts, list(keys), [name], null_safe=True)
 
 
 def distinct_entities(df: DataFrame, cols: Sequence[str], fallback: dict[str, str] | None = None) -> DataFrame:

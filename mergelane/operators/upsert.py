@@ -41,7 +41,8 @@ def merge_upsert(
     }
     kept = kept.withColumns(changes).select(*target.columns)
 
-    known = target.select(*keys).distinct()
+    # Only keys that the source has are made distinct, so a small source moves no row of a large target.
+    known = target.select(*keys).join(source.select(*keys).distinct(), list(keys), "left_semi").distinct()
     inserts = source.join(known, list(keys), "left_anti")
     shared = {c.lower() for c in source.columns}
     inserts = inserts.select(*[

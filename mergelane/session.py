@@ -1,10 +1,8 @@
-"""Session settings, the shared working folder, and plan-size checks."""
+"""Session settings and the shared working folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,44 +27,28 @@ def build_session(app: str = "mergelane", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting gets a temporary folder. On a cluster a folder of
-    one machine would vanish with that machine, so a missing setting is an error there.
+    All executors must share it, so a session without the setting gets a folder in its warehouse,
+    which they share too; never one of a single machine's temporary folders.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
-
-
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="mergelane-")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: cuts lineage, survives lost executors.
 
-    The written files also give the optimizer a true size for the next join.
+    The written files also give the optimizer a true size for the next join. Results may still read
+    them, so they stay until `discard`.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """The size of the tables `df` reads, by Spark's statistics; nothing is computed.
-
-    Used to tell small inputs from large ones. The estimate for a whole plan would not do: it takes a
-    join for the product of its sides. Data without statistics counts as very large.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (0 when broadcasting is off)."""
-    jconf = spark._jsparkSession.sessionState().conf()
-    return max(int(jconf.autoBroadcastJoinThreshold()), 0)
+def discard(table: DataFrame) -> None:
+    """Empty a table that `materialize` wrote, and that nothing will read any more."""
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)

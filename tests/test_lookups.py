@@ -1,3 +1,5 @@
+from contextlib import contextmanager
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,15 +10,31 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.fixture(params=["plain", "spread"])
-def join_form(request, monkeypatch):
-    """Both physical forms of a lookup have to give the same rows."""
-    if request.param == "spread":
-        monkeypatch.setattr(lookups, "SPREAD_MIN_BYTES", 0)
-        monkeypatch.setattr(lookups, "broadcast_limit", lambda spark: -1)
-        monkeypatch.setattr(lookups, "HOT_MIN_ROWS", 3)
-        monkeypatch.setattr(lookups, "HOT_MAX_KEYS", 2)
-    return request.param
+@contextmanager
+def conf(spark, **settings):
+    settings = {f"spark.sql.{k}": v for k, v in settings.items()}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+NO_BROADCAST = {"autoBroadcastJoinThreshold": "-1", "adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture(params=["broadcast", "shuffled"])
+def join_form(request, spark):
+    """A lookup gives the same rows whether its right side is broadcast or not."""
+    if request.param == "broadcast":
+        yield
+    else:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        yield
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.fixture
@@ -59,30 +77,51 @@ def test_lookup_filter_and_expressions(join_form, skewed, dimension):
         lookups.lookup(skewed, dimension, ["k"], ["k"])
 
 
-def test_spread_form_splits_the_hot_keys(spark, monkeypatch):
-    """Hot and null keys do not meet in one shuffle partition; the broadcast side stays bounded."""
-    monkeypatch.setattr(lookups, "SPREAD_MIN_BYTES", 0)
-    monkeypatch.setattr(lookups, "broadcast_limit", lambda spark: -1)
-    monkeypatch.setattr(lookups, "HOT_MIN_ROWS", 100)
-    left = spark.range(4000).withColumn(
-        "k", F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 4 == 1, F.lit(None)).otherwise(F.col("id"))
-    )
+def test_null_keys_are_spread(spark):
+    """Rows with null keys do not meet in one shuffle partition."""
+    left = spark.range(4000).withColumn("k", F.when(F.col("id") % 2 == 1, F.col("id")))
     right = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k) for k in settings}
+    with conf(spark, **{"adaptive.enabled": "false", "autoBroadcastJoinThreshold": "-1"}):
+        out = lookups.lookup(left, right, ["k"], ["v"])
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 1000
+    assert out.filter(~F.col("v").eqNullSafe(F.col("k") * 2)).isEmpty() and out.count() == 4000
+
+
+def test_hot_keys_are_split(spark):
+    """However many keys are hot: AQE cuts their partitions, as the lookup is a plain left join."""
+    left = spark.range(0, 400_000, 1, 4).withColumn("k", F.when(F.col("id") % 4 > 0, F.lit(7)).otherwise(F.col("id") % 2000))
+    left = left.withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+    right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    settings = {
+        "autoBroadcastJoinThreshold": "-1", "adaptive.autoBroadcastJoinThreshold": "-1", "adaptive.skewJoin.enabled": "true",
+        "adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k", "adaptive.skewJoin.skewedPartitionFactor": "2",
+        "adaptive.advisoryPartitionSizeInBytes": "200k",
+    }
+    old = {k: spark.conf.get(f"spark.sql.{k}", None) for k in settings}
     for k, v in settings.items():
-        spark.conf.set(k, v)
+        spark.conf.set(f"spark.sql.{k}", v)
     try:
         out = lookups.lookup(left, right, ["k"], ["v"])
-        sizes = out.groupBy(F.spark_partition_id()).count().collect()
-        plan = out._jdf.queryExecution().executedPlan().toString()
+        # All columns are used, so that the shuffled rows have their size.
+        used = F.count_if(F.length("text") + F.coalesce("v", F.lit(0)) >= 0).alias("count")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).agg(used).collect()]
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
-    assert max(r["count"] for r in sizes) < 1000
-    assert plan.count("TakeOrderedAndProject") >= 1
-    wrong = out.filter((F.col("k").isNotNull() & ~F.col("v").eqNullSafe(F.col("k") * 2)) | (F.col("k").isNull() & F.col("v").isNotNull()))
-    assert wrong.isEmpty() and out.count() == 4000
+            spark.conf.unset(f"spark.sql.{k}") if v is None else spark.conf.set(f"spark.sql.{k}", v)
+    assert sum(sizes) == 400_000 and max(sizes) < 150_000
+
+
+@pytest.mark.parametrize(("name", "scans", "exchanges"), [("v_sales", 8, 23), ("uom_convert", 5, 15), ("cluster_occurrence", 4, 10)])
+def test_chained_lookups_read_each_table_once(spark, name, scans, exchanges):
+    """Plans grow with the number of lookups, not with a power of it."""
+    import __spark_entry__ as driver
+
+    with conf(spark, **NO_BROADCAST):
+        plan = driver.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+        executed = driver.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= scans
+    assert executed.count("Exchange hashpartitioning") <= exchanges
 
 
 def test_zero_key_join(join_form, spark):

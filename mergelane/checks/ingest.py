@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergelane.checks.registry import Tables, query
@@ -156,3 +156,26 @@ def append_rows(t: Tables) -> DataFrame:
     later = audit.ingest_audit(lines, _RUN, datetime(2024, 6, 1))
     later = later.withColumns({"timestamp": F.to_date("timestamp"), "runstarttime": F.to_date("runstarttime")})
     return tables.append_rows(_audit(t), later)
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS "number", c_name || ';' || chr(10) || c_mktsegment AS "name",
+       CASE WHEN c_nationkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS nation, 'nation ' || c_nationkey AS full_file_path
+FROM customer
+""")
+def csv_layout(t: Tables) -> DataFrame:
+    """Customers as csv files, one a nation, of two layouts, with separators and line breaks inside quotes."""
+    even = F.col("c_nationkey") % 2 == 0
+    key, name, nation = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string")
+    placed = t.customer.withColumn("at", 2 * F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")))
+    at = F.col("at")
+    first = F.when(even, F.concat(key, F.lit(';"'), name, F.lit(";"))).otherwise(F.concat(F.lit('"'), name, F.lit(";")))
+    second = F.concat("c_mktsegment", F.lit('";'), F.when(even, nation).otherwise(key))
+    file = F.concat(F.lit("nation "), nation).alias("full_file_path")
+    line = lambda at, text: F.struct(at.cast("long").alias("line_no"), text.alias("line"))
+    rows = placed.select(file, F.explode(F.array(line(at - 1, first), line(at, second))).alias("l"))
+    headers = t.customer.select(
+        file, line(F.lit(0), F.when(even, "Number;Name;Nation").otherwise("name;NUMBER")).alias("l")
+    ).distinct()
+    lines = rows.unionByName(headers).select("full_file_path", "l.*")
+    return files.parse_csv_lines(lines, sep=";", multi_line=True).select("number", "name", "nation", "full_file_path")

@@ -11,7 +11,6 @@ from mergelane.functions import text
 from mergelane.operators import lookups, quantity, ranking
 from mergelane.operators.mapping import GOLDEN_SCHEMA, map_columns
 from mergelane.plans import sales, views
-from mergelane.sources.files import spread_rows
 
 
 @query("""
@@ -198,7 +197,7 @@ def v_part_label(t: Tables) -> DataFrame:
 
 
 def _golden_sales(t: Tables) -> DataFrame:
-    lines = spread_rows(t.lineitem).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     as_text = lambda c: F.col(c).cast("string")
     return map_columns(
         lines,
@@ -227,7 +226,7 @@ def _accounts(t: Tables) -> DataFrame:
 
 def _material_records(t: Tables) -> DataFrame:
     """Which partner calls which material what; several materials per name where prices differ."""
-    return spread_rows(t.lineitem.select("l_partkey", "l_suppkey", "l_orderkey")).select(
+    return t.lineitem.select("l_partkey", "l_suppkey", "l_orderkey").select(
         F.lpad(F.col("l_partkey").cast("string"), 18, "0").alias("cumi_customermaterialnumber_id"),
         F.lpad(F.col("l_suppkey").cast("string"), 10, "0").alias("cumi_customernumber_id"),
         F.concat(F.lit("M"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")).alias("cumi_material_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,15 @@ def ingest_partner(
     return map_columns(raw, {"full_file_path": clean_path("full_file_path"), **mapping}, schema)
 
 
-def consolidate(spark: SparkSession, database: str, schema: str = GOLDEN_SCHEMA) -> DataFrame:
-    """The tables of all partners as one, in `schema`; tables that cannot be read are left out."""
-    union, _ = union_tables(spark, list_tables(spark, database), schema)
+def consolidate(spark: SparkSession, database: str, schema: str = GOLDEN_SCHEMA, skip_unreadable: bool = False) -> DataFrame:
+    """The tables of all partners as one, in `schema`.
+
+    Tables that cannot be read are an error; with `skip_unreadable` they are left out, with a warning
+    that names them.
+    """
+    union, unreadable = union_tables(spark, list_tables(spark, database), schema)
+    if unreadable and not skip_unreadable:
+        raise ValueError(f"cannot read {', '.join(unreadable)}")
+    if unreadable:
+        warnings.warn(f"left out, as they cannot be read: {', '.join(unreadable)}", stacklevel=2)
     return conform(union, schema)

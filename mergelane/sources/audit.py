@@ -25,22 +25,25 @@ def ingest_audit(
     section: str | None = None,
     output_path: str | None = None,
     ignore: Sequence[str] = (),
+    sources: DataFrame | None = None,
 ) -> DataFrame:
     """One audit row per source path and section of `df`.
 
-    The column count leaves out the path, section and `ignore` columns, which the reader added.
+    `sources` lists what was read (the same path, section and output columns, one row each): a file or
+    section without rows then has a row of its own, with a count of 0. The column count leaves out the
+    path, section and `ignore` columns, which the reader added.
     """
     added = {path, section, output_path, *ignore}
     width = sum(c not in added for c in df.columns)
     sheet = F.col(section) if section else F.lit(None).cast("string")
-    target = F.col(output_path) if output_path else F.col(path)
-    return (
-        df.groupBy(F.col(path).alias("source_path"), sheet.alias("sheet_name"),
-                   clean_output_path(target).alias("output_path"))
-        .agg(F.count(F.lit(1)).cast("int").alias("row_count"))
-        .withColumns({
-            "column_count": F.lit(width),
-            "timestamp": F.lit(now),
-            "runstarttime": F.lit(run_start),
-        })
-    )
+    keys = [
+        F.col(path).alias("source_path"), sheet.alias("sheet_name"),
+        clean_output_path(F.col(output_path or path)).alias("output_path"),
+    ]
+    rows = df.select(*keys, F.lit(1).alias("__n"))
+    if sources is not None:
+        rows = rows.unionByName(sources.select(*keys, F.lit(0).alias("__n")))
+    counts = rows.groupBy("source_path", "sheet_name", "output_path").agg(F.sum("__n").cast("int").alias("row_count"))
+    return counts.withColumns({
+        "column_count": F.lit(width), "timestamp": F.lit(now), "runstarttime": F.lit(run_start),
+    })

@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mergelane.operators.lookups import lookup
 from mergelane.operators.mapping import header_names
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet directory, schema as it is."""
-    return spark.read.parquet(path)
-
-
-def spread_rows(df: DataFrame) -> DataFrame:
-    """`df` spread over all cores when its files split into fewer tasks than that; else unchanged.
-
-    For CPU-heavy work on few unsplittable files (one row group, gzip). Large inputs have more splits
-    than the cluster has cores and pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """A parquet directory, schema as it is; with `merge_schema`, the union of its files' columns."""
+    return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -37,38 +26,35 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 CHARSETS = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "utf8": "UTF-8", "ascii": "US-ASCII"}
 
 
-def _number_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Number the lines of every file's first block; lines of later blocks get null.
+# Different header lines that the files of one layout may have.
+MAX_LAYOUTS = 10_000
+
+
+def read_lines(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", glob: str | None = None, number_all: bool = False
+) -> DataFrame:
+    """full_file_path, line and line_no (from 0 in its file) of text files.
 
-    Lines reach a task in file order, block after block, so a running count per block is enough.
+    Large files are read in blocks by many tasks, and only the lines of a file's first block have a
+    number; with `number_all` all have, for which every file is sorted.
     """
-    last, count = None, 0
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        starts = (pdf["full_file_path"] != pdf["full_file_path"].shift()) | (
-            pdf["block_start"] != pdf["block_start"].shift()
-        )
-        number = pdf.groupby(starts.cumsum()).cumcount()
-        if (pdf["full_file_path"].iloc[0], pdf["block_start"].iloc[0]) == last:
-            number = number.where(starts.cumsum() > 1, number + count)
-        last, count = (pdf["full_file_path"].iloc[-1], pdf["block_start"].iloc[-1]), number.iloc[-1] + 1
-        pdf["line_no"] = number.astype("Int64").where(pdf["block_start"] == 0)
-        yield pdf.drop(columns="block_start")
-
-
-def _lines(spark: SparkSession, path: str, encoding: str, glob: str | None) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    text = F.decode(F.col("value").cast("binary"), CHARSETS.get(encoding.lower(), encoding))
+    # Row ids grow by one from line to line of a block.
     raw = reader.text(path).select(
         F.col("_metadata.file_path").alias("full_file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.col("value").cast("binary").alias("line"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.regexp_replace(text, "[\\r\\x{FEFF}]", "").alias("line"),
     )
-    numbered = raw.mapInPandas(_number_lines, "full_file_path string, line binary, line_no long")
-    text = F.decode(F.col("line"), CHARSETS.get(encoding.lower(), encoding))
-    return numbered.withColumn("line", F.regexp_replace(text, "[\\r\\x{FEFF}]", ""))
+    if number_all:
+        number = F.row_number().over(Window.partitionBy("full_file_path").orderBy("block", "row")) - 1
+        return raw.select("full_file_path", "line", number.cast("long").alias("line_no"))
+    first = raw.filter("block = 0").groupBy("full_file_path").agg(F.min("row").alias("first"))
+    number = F.when(F.col("block") == 0, F.col("row") - F.col("first"))
+    return lookup(raw, first, ["full_file_path"], ["first"]).select("full_file_path", "line", number.alias("line_no"))
 
 
 def read_csv_layout(
@@ -79,24 +65,70 @@ def read_csv_layout(
     encoding: str = "UTF-8",
     on_bad: str = "skip",
     glob: str | None = None,
+    multi_line: bool = False,
+    on_short: str = "fail",
 ) -> DataFrame:
     """CSV files whose header is line `header_row` (from 0) and may differ from file to file.
 
-    The result has the union of all normalised header names as text columns, null where a file lacks
-    the column, plus ``full_file_path``. Blank lines are skipped. A line with more filled cells than
-    its header is skipped, or with ``on_bad="fail"`` fails the job; a shorter line ends in nulls.
-    Large files are read in blocks by many tasks. Cells may hold quoted separators but no line breaks.
+    See `parse_csv_lines` for the result. A file without a line `header_row` is an error that names it; with
+    ``on_short="skip"`` it gives no rows. With `multi_line`, quoted cells may hold line breaks; each file is then sorted
+    as a whole instead of being read in blocks.
+    """
+    lines = read_lines(spark, path, encoding, glob, number_all=multi_line)
+    if on_short == "fail":
+        headed = _records(lines, multi_line).filter(F.col("line_no") == header_row).select("full_file_path")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        files = (files.option("pathGlobFilter", glob) if glob else files).load(path)
+        every = files.select(F.col("_metadata.file_path").alias("full_file_path"))
+        short = [r.full_file_path for r in every.join(headed, "full_file_path", "left_anti").limit(5).collect()]
+        if short:
+            raise ValueError(f"no line {header_row} in {', '.join(short)}")
+    return parse_csv_lines(lines, header_row, sep, on_bad, multi_line)
+
+
+def _records(lines: DataFrame, multi_line: bool) -> DataFrame:
+    """Lines as csv records: with `multi_line`, a line that ends inside quotes goes on in the next one.
+
+    A record is inside quotes where an odd number of quotes stands before it in its file.
+    """
+    if not multi_line:
+        return lines
+    order = Window.partitionBy("full_file_path").orderBy("line_no")
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    before = F.coalesce(F.sum(quotes).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = lines.withColumn("__starts", F.when(before % 2 == 0, 1).otherwise(0))
+    numbered = starts.withColumn("__record", F.sum("__starts").over(order) - 1)
+    parts = F.sort_array(F.collect_list(F.struct("line_no", "line")))
+    return numbered.groupBy("full_file_path", F.col("__record").alias("line_no")).agg(
+        F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line")
+    )
+
+
+def parse_csv_lines(
+    lines: DataFrame, header_row: int = 0, sep: str = ",", on_bad: str = "skip", multi_line: bool = False
+) -> DataFrame:
+    """Numbered lines of csv files (full_file_path, line, line_no) to one table.
+
+    The header of a file is its line `header_row`; lines before it are left out, as are files without it. Lines far behind
+    the header need no number, unless `multi_line` joins lines inside quotes. The result has the union
+    of all normalised header names as text columns, null where a file lacks the column, plus
+    ``full_file_path``. Blank lines are skipped. A line with more filled cells than its header is
+    skipped, or with ``on_bad="fail"`` fails the job; a shorter line ends in nulls.
 
-    One small job reads the distinct header lines, which become the column names.
+    One small job reads the distinct header lines, at most MAX_LAYOUTS, which become the column names.
     """
     if on_bad not in ("skip", "fail"):
         raise ValueError(f"on_bad is 'skip' or 'fail', not {on_bad!r}")
-    lines = _lines(spark, path, encoding, glob)
+    spark = lines.sparkSession
+    lines = _records(lines, multi_line)
     header_lines = lines.filter(F.col("line_no") == header_row).select("full_file_path", "line")
-    layouts = [r.line for r in header_lines.select("line").distinct().collect()]
+    layouts = [r.line for r in header_lines.select("line").distinct().limit(MAX_LAYOUTS + 1).collect()]
     if not layouts:
-        raise ValueError(f"no file under {path} has a line {header_row}")
-    options = {"sep": sep, "mode": "PERMISSIVE"}
+        raise ValueError(f"no file has a line {header_row}")
+    if len(layouts) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} different lines {header_row}: is that the header?")
+    # A quote inside a quoted cell is doubled.
+    options = {"sep": sep, "mode": "PERMISSIVE", "escape": '"', **({"multiLine": "true"} if multi_line else {})}
 
     def cells(line: Column, width: int) -> Column:
         parsed = F.from_csv(line, ", ".join(f"c{i} string" for i in range(width)), options)

@@ -13,10 +13,21 @@ REQUEST_LOG = (
 )
 
 
+def _items(payload: str, schema: str) -> Column:
+    """The list ``value`` of a page. A page that does not parse, or has no list, fails the job."""
+    page = F.from_json(payload, f"struct<value: array<{schema}>>", {"mode": "FAILFAST"})
+    text = F.coalesce(F.left(F.col(payload), F.lit(80)), F.lit("null"))
+    problem = F.raise_error(F.concat(F.lit("no list of items in the page "), text))
+    return F.when(page["value"].isNotNull(), page["value"]).otherwise(problem.cast(f"array<{schema}>"))
+
+
 def column_map(df: DataFrame, payload: str) -> dict[str, str]:
-    """{display name: internal name} from the columns page of a list; one row per list column."""
-    page = F.from_json(payload, "struct<value: array<struct<displayName: string, name: string>>>")
-    rows = df.select(F.explode(page["value"]).alias("c")).select("c.displayName", "c.name").collect()
+    """{display name: internal name} from the columns page of a list; one row per list column.
+
+    As many rows as the list has columns come to the driver. A page that does not parse is an error.
+    """
+    items = _items(payload, "struct<displayName: string, name: string>")
+    rows = df.select(F.explode(items).alias("c")).select("c.displayName", "c.name").distinct().collect()
     return {r.displayName: r.name for r in rows}
 
 
@@ -26,14 +37,23 @@ def json_pages_to_table(
     """Item pages, one JSON text per row, to one row per item.
 
     `mapping` is {output column: field name}; fields an item lacks are null, other fields are
-    dropped, all values are text, and the columns come sorted by name behind those of `keep`.
+    dropped, all values are text, and the columns come sorted by name behind those of `keep`. A page
+    that does not parse, is null or has no list of items fails the job; `unreadable_pages` finds them.
     """
-    page = F.from_json(payload, "struct<value: array<struct<fields: map<string, string>>>>")
-    items = df.select(*keep, F.explode(page["value"]).alias("item"))
+    items = df.select(*keep, F.explode(_items(payload, _ITEM)).alias("item"))
     fields = F.col("item.fields")
     return items.select(*keep, *[_field(fields, mapping[n]).alias(n) for n in sorted(mapping)])
 
 
+_ITEM = "struct<fields: map<string, string>>"
+
+
+def unreadable_pages(df: DataFrame, payload: str) -> DataFrame:
+    """The rows of `df` whose page does not parse, is null or has no list of items."""
+    page = F.from_json(payload, f"struct<value: array<{_ITEM}>>")
+    return df.filter(page["value"].isNull())
+
+
 def _field(fields: Column, name: str) -> Column:
     return F.try_element_at(fields, F.lit(name))
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from mergelane.operators.mapping import empty_table, union_by_name
+from mergelane.operators.upsert import merge_upsert
 
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:
@@ -37,42 +38,65 @@ def union_tables(
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", merge_schema: bool = False) -> None:
-    """Overwrite or append. Appending with `merge_schema` keeps columns only one side has.
+    """Overwrite or append.
 
-    A parquet table cannot gain columns by appending, so the union is written as the next version of
-    the table (`write_version`).
+    Appended columns that the table lacks are an error, or with `merge_schema` are added to it, null in
+    its old rows. Columns that `df` lacks are null in the new rows.
     """
     spark = df.sparkSession
-    if mode == "append" and spark.catalog.tableExists(name):
-        current = spark.table(name)
-        if merge_schema and {c.lower() for c in df.columns} - {c.lower() for c in current.columns}:
-            write_version(union_by_name([current, df]), name)
-            return
-        df = union_by_name([current.limit(0), df]).select(*current.columns)
-        df.write.insertInto(name)
+    recover_table(spark, name)
+    if mode != "append" or not spark.catalog.tableExists(name):
+        df.write.mode(mode).saveAsTable(name)
         return
-    df.write.mode(mode).saveAsTable(name)
+    known = {c.lower() for c in spark.table(name).columns}
+    new = [f for f in df.schema if f.name.lower() not in known]
+    if new and not merge_schema:
+        raise ValueError(f"{name} has no columns {[f.name for f in new]}; add them with merge_schema")
+    if new:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+    current = spark.table(name)
+    union_by_name([current.limit(0), df]).select(*current.columns).write.insertInto(name)
+
+
+def recover_table(spark: SparkSession, name: str) -> None:
+    """Undo or finish a `write_version` of `name` that was stopped; does nothing otherwise."""
+    fresh, old = f"{name}__new", f"{name}__old"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(old):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
 
 
 def write_version(df: DataFrame, name: str) -> None:
     """Replace table `name` by `df`, also when `df` reads `name`.
 
     The rows go to a table of their own first, so a lost job leaves the old table untouched; only the
-    finished table takes over the name.
+    finished table takes over the name. A stop between any two statements keeps the old or the new
+    rows whole: the next write, or `recover_table`, puts the old table back in place if its name is free.
     """
     spark = df.sparkSession
     fresh, old = f"{name}__new", f"{name}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    recover_table(spark, name)
     df.write.saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
+def upsert_table(name: str, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
+    """Merge `source` into table `name` (see `merge_upsert`), as its next version; returns the table."""
+    spark = source.sparkSession
+    recover_table(spark, name)
+    write_version(merge_upsert(spark.table(name), source, keys, update_cols), name)
+    return spark.table(name)
+
+
 def ensure_table(spark: SparkSession, name: str, schema: str | T.StructType) -> DataFrame:
     """The table, created empty with `schema` if it does not exist."""
+    recover_table(spark, name)
     empty_table(spark, schema).write.mode("ignore").saveAsTable(name)
     return spark.table(name)
 

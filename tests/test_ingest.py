@@ -84,7 +84,23 @@ def test_csv_layout_header_row_encoding_and_bad_lines(spark, tmp_path):
     with pytest.raises(Exception, match="more cells than the header"):
         layout(spark, tmp_path, header_row=2, encoding="ISO-8859-1", on_bad="fail")
     with pytest.raises(ValueError, match="no file"):
-        layout(spark, tmp_path, header_row=50)
+        layout(spark, tmp_path, header_row=50, on_short="skip")
+
+
+def test_csv_layout_names_files_without_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("preamble\nid,name\n1,x\n")
+    (tmp_path / "short.csv").write_text("one line only\n")
+    (tmp_path / "empty.csv").write_text("")
+    with pytest.raises(ValueError, match="empty.csv|short.csv"):
+        layout(spark, tmp_path, header_row=1)
+    assert layout(spark, tmp_path, header_row=1, on_short="skip")[1] == [("1", "x", "a.csv")]
+
+
+def test_csv_layout_with_line_breaks_in_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,"long\nname"\n1,"two\nlines, ""quoted"""\n2,plain\n\n3,"a\n\nb"\n')
+    columns, rows = layout(spark, tmp_path, multi_line=True)
+    assert columns == ["id", "long_name", "full_file_path"]
+    assert [r[:2] for r in rows] == [("1", 'two\nlines, "quoted"'), ("2", "plain"), ("3", "a\n\nb")]
 
 
 def test_csv_layout_reads_large_files_in_blocks(spark, tmp_path):
@@ -133,6 +149,25 @@ def test_paged_json(spark):
     assert paged.failed_request(spark, "timeout").first()[2:] == (-1, None, None, "timeout")
 
 
+@pytest.mark.parametrize("bad", ['{"value": [{"fields": {"t": "a"', '{"values": []}', None, "<html>"])
+def test_unreadable_pages_do_not_vanish(spark, bad):
+    df = spark.createDataFrame([('{"value": [{"fields": {"t": "a"}}]}',), (bad,)], "p string")
+    with pytest.raises(Exception, match="MALFORMED|no list of items|Malformed"):
+        paged.json_pages_to_table(df, "p", {"T": "t"}).collect()
+    assert [r.p for r in paged.unreadable_pages(df, "p").collect()] == [bad]
+    assert paged.unreadable_pages(df.limit(1), "p").count() == 0
+
+
+def test_audit_of_empty_sources(spark):
+    df = spark.createDataFrame([("a", "s1", 1), ("a", "s1", 2)], "f string, s string, v int")
+    read = spark.createDataFrame([("a", "s1"), ("a", "s2"), ("b", "s1")], "f string, s string")
+    run, now = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    found = audit.ingest_audit(df, run, now, path="f", section="s", sources=read).collect()
+    assert sorted((r.source_path, r.sheet_name, r.row_count, r.column_count) for r in found) == [
+        ("a", "s1", 2, 1), ("a", "s2", 0, 1), ("b", "s1", 0, 1),
+    ]
+
+
 def test_audit(spark):
     df = spark.createDataFrame([("a//b c", "s1", 1), ("a//b c", "s1", 2), ("d", "s2", 3)], "f string, s string, v int")
     run, now = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -170,6 +205,65 @@ def test_tables(spark):
     assert tables.ensure_table(spark, "bronze.t_new", "a int").collect() == [(5,)]
 
 
+def test_append_keeps_every_column(spark):
+    name = "bronze.t_extra"
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
+    tables.write_table(spark.createDataFrame([(1, "x")], "id int, a string"), name)
+    more = spark.createDataFrame([(2, "y", 7)], "id int, a string, extra int")
+    with pytest.raises(ValueError, match="extra"):
+        tables.write_table(more, name, mode="append")
+    assert spark.table(name).collect() == [(1, "x")]
+    tables.write_table(more, name, mode="append", merge_schema=True)
+    assert sorted(spark.table(name).collect()) == [(1, "x", None), (2, "y", 7)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+class Stopped(Exception):
+    pass
+
+
+class Stopping:
+    """A session that stops behind its n-th statement."""
+
+    def __init__(self, spark, n):
+        self.spark, self.left = spark, n
+
+    def __getattr__(self, name):
+        return getattr(self.spark, name)
+
+    def sql(self, text):
+        out = self.spark.sql(text)
+        self.left -= 1
+        if not self.left:
+            raise Stopped
+        return out
+
+
+class Frame:
+    """A DataFrame that belongs to such a session."""
+
+    def __init__(self, df, session):
+        self.write, self.sparkSession = df.write, session
+
+
+@pytest.mark.parametrize("n", range(1, 7))
+def test_versions_survive_a_stop_behind_any_statement(spark, n):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
+    name = f"bronze.t_stop{n}"
+    ids = lambda *i: spark.createDataFrame([(x,) for x in i], "id int")
+    tables.write_table(ids(1, 2), name)
+    try:
+        tables.write_version(Frame(ids(9), Stopping(spark, n)), name)
+    except Stopped:
+        pass
+    tables.write_table(ids(3), name, mode="append")
+    assert sorted(r.id for r in spark.table(name).collect()) in ([1, 2, 3], [3, 9])
+    tables.write_version(spark.table(name).unionByName(ids(4)), name)
+    assert sorted(r.id for r in spark.table(name).collect()) in ([1, 2, 3, 4], [3, 4, 9])
+    assert [t.name for t in spark.catalog.listTables("bronze") if f"t_stop{n}_" in t.name] == []
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_comments_and_views(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     tables.write_table(tables.with_comments(df, {"a": "the 'first'"}), "commented")

@@ -66,6 +66,25 @@ def match_exact_all(t: Tables) -> DataFrame:
 
 # --- fuzzy -----------------------------------------------------------------------------------------
 
+
+@query("""
+WITH source AS (SELECT p_partkey // 3 AS id, p_name, p_brand FROM part WHERE p_partkey % 3 = 0),
+scored AS (
+  SELECT s.id, t.p_partkey // 3 AS m,
+    1 - levenshtein(lower(s.p_name), lower(t.p_name))::DOUBLE / greatest(length(s.p_name), length(t.p_name)) AS score
+  FROM source s JOIN part t ON s.p_brand = t.p_brand AND s.id <> t.p_partkey // 3),
+best AS (SELECT id, m, score FROM scored WHERE score >= 0.5
+         QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, m) = 1)
+SELECT source.id, m AS near, score FROM source LEFT JOIN best USING (id)
+""")
+def match_fuzzy_repeated_ids(t: Tables) -> DataFrame:
+    """Targets whose ids stand on three rows each; a record is never its own match."""
+    parts = t.part.select(F.floor(F.col("p_partkey") / 3).alias("id"), "p_name", "p_brand", "p_partkey")
+    rule = FuzzyRule("near", [Pair("p_name", "p_name")], [Pair("p_brand", "p_brand")], 0.5, score="score")
+    source = parts.filter(F.col("p_partkey") % 3 == 0).drop("p_partkey")
+    return matching.fuzzy_best(source, parts, rule, Ids("id", "id")).select("id", "near", "score")
+
+
 _FUZZY = [Pair("p_name", "p_name", weight=0.5), Pair("p_type", "p_type", weight=0.5)]
 _SIMILAR = FuzzyRule(
     "similar_part", _FUZZY, [Pair("p_brand", "p_brand"), Pair("p_size", "p_size")], 0.75, score="score", details="details"
@@ -104,6 +123,22 @@ def match_fuzzy(t: Tables) -> DataFrame:
     return matching.fuzzy_pairs(parts, parts, _SIMILAR_IN_LINE, _SELF).select("source_id", "target_id", "score")
 
 
+@query("""
+WITH names AS (SELECT o_orderkey, 'Supplier#' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS name FROM orders)
+SELECT count(*) AS pairs, CAST(sum(o_orderkey * 31 + s_suppkey) AS BIGINT) AS keys
+FROM names JOIN supplier ON 1 - levenshtein(lower(name), lower(s_name))::DOUBLE / greatest(length(name), length(s_name)) >= 0.9
+""")
+def match_fuzzy_one_block(t: Tables) -> DataFrame:
+    """All orders and suppliers in one block, which is split into strips."""
+    name = F.concat(F.lit("Supplier#"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"))
+    orders = t.orders.select("o_orderkey", name.alias("name"), F.lit("all").alias("block"))
+    rule = FuzzyRule("near", [Pair("name", "s_name")], [Pair("block", "block")], 0.9)
+    suppliers = t.supplier.select("s_suppkey", "s_name", F.lit("all").alias("block"))
+    pairs = matching.fuzzy_pairs(orders, suppliers, rule, Ids("o_orderkey", "s_suppkey", same_allowed=True))
+    keys = (F.col("source_id") * 31 + F.col("target_id")).cast("long")
+    return pairs.agg(F.count(F.lit(1)).alias("pairs"), F.sum(keys).alias("keys"))
+
+
 @query(f"WITH {_SIMILAR_SQL} SELECT p_partkey, similar_part, score FROM part LEFT JOIN best ON p_partkey = source_id")
 def match_fuzzy_best(t: Tables) -> DataFrame:
     parts = _parts(t)
@@ -355,9 +390,14 @@ def merge_upsert(t: Tables) -> DataFrame:
 # --- the customer identity flow --------------------------------------------------------------------
 
 
-def _postal_code() -> Column:
-    """A few neighbours per code, at any number of customers."""
-    return (F.lit(1000) + F.floor(F.col("c_custkey") / 5)).cast("string")
+def _postal_code(letters: str) -> Column:
+    """A few neighbours per code, at any number of customers; letters of either case."""
+    return F.concat((F.lit(1000) + F.floor(F.col("c_custkey") / 5)).cast("string"), F.lit(f" {letters}"))
+
+
+def _place(number: Column, prefix: Column) -> Column:
+    """Every seventh customer has a place, which up to three of them share."""
+    return F.when(number % 7 == 0, F.concat(prefix, F.floor(number / 21).cast("string")))
 
 
 def _sellout_customers(t: Tables) -> DataFrame:
@@ -370,18 +410,22 @@ def _sellout_customers(t: Tables) -> DataFrame:
         F.when(status == "P", F.concat(key, F.lit("-p"))).otherwise(key).alias("customer_number"),
         F.concat(F.lit("Street "), F.col("c_nationkey").cast("string")).alias("customer_address"),
         F.lit("City").alias("customer_city"),
-        _postal_code().alias("customer_postal_code"),
+        _postal_code("ab").alias("customer_postal_code"),
         F.lit("BE").alias("customer_country"),
         F.when(status != "O", shop).alias("customer_name"),
         shop.alias("owner_name"),
         F.concat(F.lit("W"), status).alias("wholesaler_name"),
-        F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("BE"), F.lpad(key, 10, "0"))).alias("vat_number"),
+        F.when(
+            F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"), F.concat(F.lit("BE"), F.lpad(key, 10, "0"))
+        ).alias("vat_number"),
         status.alias("wholesaler_id"),
     )
 
 
 def _crm_accounts(t: Tables) -> DataFrame:
     key = F.col("c_custkey").cast("string")
+    vat = F.concat(F.lit("be"), F.lpad(key, 10, "0"))
+    by_tax = F.col("c_mktsegment") == "AUTOMOBILE"
     raw = t.customer.select(
         F.concat(F.lit("A"), F.lpad(key, 9, "0")).alias("c4cu_account_id"),
         F.concat(F.lit(" Shop "), "c_name").alias("c4cu_account_desc"),
@@ -390,11 +434,14 @@ def _crm_accounts(t: Tables) -> DataFrame:
         F.lit("Street").alias("c4cu_streetaddress_id"),
         F.col("c_nationkey").cast("string").alias("c4cu_housenumber_id"),
         F.lit(" ").alias("c4cu_city_id"),
-        _postal_code().alias("c4cu_postalcode_id"),
-        F.concat(F.lit("be"), F.lpad(key, 10, "0")).alias("c4cu_vatregistration_id"),
-        F.lit("").alias("c4cu_taxnumber4_id"),
+        _postal_code("AB").alias("c4cu_postalcode_id"),
+        F.when(by_tax, "").otherwise(vat).alias("c4cu_vatregistration_id"),
+        F.when(by_tax, vat).otherwise("").alias("c4cu_taxnumber4_id"),
     )
-    return identity.prepare_accounts(raw, "Belgium").withColumn("place_id", F.lit(None).cast("string"))
+    number = F.substring("c4cu_account_id", 2, 9).cast("long")
+    # Place ids are compared as they are: a lower-case one is another place.
+    prefix = F.when(number % 2 == 0, "Pl").otherwise("pl")
+    return identity.prepare_accounts(raw, "Belgium").withColumn("place_id", _place(number, prefix))
 
 
 def _relationships(t: Tables) -> DataFrame:
@@ -408,16 +455,20 @@ def _relationships(t: Tables) -> DataFrame:
 
 
 def _identities(t: Tables) -> DataFrame:
-    entities = identity.customer_entities(_sellout_customers(t)).withColumn("place_id", F.lit(None).cast("string"))
+    number = F.regexp_extract("customer_number", "^[0-9]+", 0).cast("long")
+    place = F.when(F.col("vat_number").isNull(), _place(number, F.lit("Pl")))
+    entities = identity.customer_entities(_sellout_customers(t)).withColumn("place_id", place)
     return identity.match_internal(entities)
 
 
 _IDENTITY_SQL = """
 raw AS (
   SELECT DISTINCT CASE WHEN o_orderstatus = 'P' THEN c_custkey || '-p' ELSE CAST(c_custkey AS VARCHAR) END AS customer_number,
-    'Street ' || c_nationkey AS customer_address, CAST(1000 + c_custkey // 5 AS VARCHAR) AS zip,
+    'Street ' || c_nationkey AS customer_address, CAST(1000 + c_custkey // 5 AS VARCHAR) || ' ab' AS zip,
+    CASE WHEN c_mktsegment NOT IN ('BUILDING', 'AUTOMOBILE') AND c_custkey % 7 = 0 THEN 'Pl' || c_custkey // 21 END AS place,
     'Shop ' || CASE WHEN o_orderstatus = 'F' THEN upper(c_name) ELSE c_name END AS shop,
-    CASE WHEN c_mktsegment = 'BUILDING' THEN 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS vat, o_orderstatus AS w
+    CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS vat,
+    o_orderstatus AS w
   FROM orders JOIN customer ON o_custkey = c_custkey),
 people AS (
   SELECT *, sha256('{"c0":"' || customer_number || '","c1":"' || customer_address || '","c2":"City","c3":"' || zip
@@ -425,6 +476,7 @@ people AS (
     || coalesce('"' || vat || '"', 'null') || ',"c9":"' || w || '"}') AS id FROM raw),
 by_number AS (SELECT a.id, min(b.id) AS m FROM people a JOIN people b ON a.customer_number = b.customer_number AND a.id <> b.id GROUP BY 1),
 by_vat AS (SELECT a.id, min(b.id) AS m FROM people a JOIN people b ON a.vat = b.vat AND a.id <> b.id GROUP BY 1),
+by_place AS (SELECT a.id, min(b.id) AS m FROM people a JOIN people b ON a.place = b.place AND a.id <> b.id GROUP BY 1),
 scored AS (
   SELECT a.id, b.id AS m,
     0.5::DOUBLE * (1 - levenshtein(lower(a.shop), lower(b.shop))::DOUBLE / greatest(length(a.shop), length(b.shop)))
@@ -434,12 +486,13 @@ scored AS (
 by_name AS (SELECT * FROM scored WHERE score >= 0.75 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, m) = 1),
 links AS (
   SELECT id AS a, m AS b FROM by_number UNION SELECT id, m FROM by_vat UNION SELECT id, m FROM by_name
+  UNION SELECT id, m FROM by_place UNION SELECT m, id FROM by_place
   UNION SELECT m, id FROM by_number UNION SELECT m, id FROM by_vat UNION SELECT m, id FROM by_name),
 reach(n, r) AS (SELECT id, id FROM people UNION SELECT reach.n, links.b FROM reach JOIN links ON reach.r = links.a),
 clustered AS (
-  SELECT people.*, c.cluster, by_number.m AS number_match, by_vat.m AS vat_match, by_name.m AS name_match, score
+  SELECT people.*, c.cluster, by_number.m AS number_match, by_vat.m AS vat_match, by_name.m AS name_match, by_place.m AS place_match, score
   FROM people JOIN (SELECT n, min(r) AS cluster FROM reach GROUP BY 1) c ON id = n
-  LEFT JOIN by_number USING (id) LEFT JOIN by_vat USING (id) LEFT JOIN by_name USING (id))
+  LEFT JOIN by_number USING (id) LEFT JOIN by_vat USING (id) LEFT JOIN by_name USING (id) LEFT JOIN by_place USING (id))
 """
 
 
@@ -447,14 +500,14 @@ clustered AS (
 WITH RECURSIVE {_IDENTITY_SQL}
 SELECT id AS unique_id, customer_number, shop AS customer_name, 'W' || w AS wholesaler_name,
        number_match AS int_customer_number_match, vat_match AS int_vat_number_match,
-       name_match AS int_levenstein_name_address, score AS levenstein_score, cluster AS dim_sellout_cust_id
+       place_match AS int_place_id_match, name_match AS int_levenstein_name_address, score AS levenstein_score, cluster AS dim_sellout_cust_id
 FROM clustered
 """)
 def customer_clusters(t: Tables) -> DataFrame:
     """Entities of the sales rows, matched by four rules and clustered."""
-    return _identities(t).select(
+    return identity.internal_table(_identities(t)).select(
         "unique_id", "customer_number", "customer_name", "wholesaler_name", "int_customer_number_match",
-        "int_vat_number_match", "int_levenstein_name_address", "levenstein_score", "dim_sellout_cust_id",
+        "int_vat_number_match", "int_place_id_match", "int_levenstein_name_address", "levenstein_score", "dim_sellout_cust_id",
     )
 
 
@@ -466,17 +519,24 @@ _LINKED_SQL = f"""
 {_IDENTITY_SQL},
 accounts AS (
   SELECT 'A' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS account, 'shop ' || lower(c_name) AS shop, 'Street ' || c_nationkey AS street,
-         CAST(1000 + c_custkey // 5 AS VARCHAR) AS zip, 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS vat
+         CAST(1000 + c_custkey // 5 AS VARCHAR) || ' ab' AS zip,
+         CASE WHEN c_custkey % 7 = 0 AND c_custkey % 2 = 0 THEN 'Pl' || c_custkey // 21 END AS place,
+         CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS vat,
+         CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'BE' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS tax
   FROM customer WHERE c_mktsegment <> 'MACHINERY'),
 partners AS (SELECT 'B' || c_custkey AS account, CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS number
              FROM customer WHERE c_mktsegment = 'FURNITURE'),
 hits AS (
-  SELECT id, account, 0 AS priority FROM clustered JOIN partners ON customer_number = number AND w = 'F' AND number <> ''
-  UNION ALL SELECT id, account, 1 FROM clustered JOIN accounts USING (vat)
-  UNION ALL SELECT id, account, 4 FROM clustered c JOIN accounts a ON c.zip = a.zip AND
-    0.5::DOUBLE * (1 - levenshtein(lower(c.shop), a.shop)::DOUBLE / greatest(length(c.shop), length(a.shop)))
-    + 0.5::DOUBLE * (1 - levenshtein(lower(c.customer_address), lower(a.street))::DOUBLE
-                         / greatest(length(c.customer_address), length(a.street))) >= 0.7),
+  SELECT id, account, 0 AS priority, NULL::DOUBLE AS score FROM clustered JOIN partners ON customer_number = number AND w = 'F' AND number <> ''
+  UNION ALL SELECT id, account, 1, NULL FROM clustered c JOIN accounts a ON c.vat = a.vat
+  UNION ALL SELECT id, account, 2, NULL FROM clustered c JOIN accounts a ON c.vat = a.tax
+  UNION ALL SELECT id, account, 3, NULL FROM clustered c JOIN accounts a ON c.place = a.place
+  UNION ALL SELECT id, account, 4, alike FROM (
+    SELECT id, account,
+      0.5::DOUBLE * (1 - levenshtein(lower(c.shop), a.shop)::DOUBLE / greatest(length(c.shop), length(a.shop)))
+      + 0.5::DOUBLE * (1 - levenshtein(lower(c.customer_address), lower(a.street))::DOUBLE
+                           / greatest(length(c.customer_address), length(a.street))) AS alike
+    FROM clustered c JOIN accounts a ON c.zip = a.zip) WHERE alike >= 0.7),
 won AS (SELECT DISTINCT id, account FROM hits QUALIFY priority = min(priority) OVER (PARTITION BY id)),
 linked AS (
   SELECT clustered.*, account AS direct, min(account) OVER (PARTITION BY cluster) AS filled
@@ -485,7 +545,7 @@ occurrences AS (SELECT cluster, CAST(count(DISTINCT direct) AS INTEGER) AS n FRO
 shown AS (
   SELECT id, cluster, direct, filled, w, customer_number AS "Id at Wholesaler", customer_address AS "Customer Address",
     'City' AS "Customer City", zip AS "Customer Postal Code", 'BE' AS "Customer Country", shop AS "Customer Name",
-    'W' || w AS "Wholesaler Name", vat AS "Vat Number", w AS "Wholesaler Id", CAST(NULL AS VARCHAR) AS "Place Id",
+    'W' || w AS "Wholesaler Name", vat AS "Vat Number", w AS "Wholesaler Id", place AS "Place Id",
     n AS "Occurrence", customer_number || w AS "Id at Wholesaler + Wholesaler Id"
   FROM linked JOIN occurrences USING (cluster))
 """
@@ -508,3 +568,26 @@ QUALIFY row_number() OVER (PARTITION BY cluster, lpad(direct, 10, '0') ORDER BY
 """)
 def v_customers_with_duplicates(t: Tables) -> DataFrame:
     return views.customers_with_duplicates_view(_linked(t))
+
+
+@query(f"""
+WITH RECURSIVE {_LINKED_SQL},
+wide AS (
+  SELECT c.id AS unique_id, c.cluster AS dim_sellout_cust_id, p.account AS ext_BPR_match, v.account AS ext_Tax_Number_4_match,
+    x.account AS ext_vat_number_match, g.account AS ext_place_id_match, n.account AS ext_levenstein_name_address,
+    n.score AS ext_levenstein_score, coalesce(p.account, v.account, x.account, g.account, n.account) AS direct_c4S_account_id
+  FROM clustered c
+  LEFT JOIN hits p ON c.id = p.id AND p.priority = 0 LEFT JOIN hits v ON c.id = v.id AND v.priority = 1
+  LEFT JOIN hits x ON c.id = x.id AND x.priority = 2 LEFT JOIN hits g ON c.id = g.id AND g.priority = 3
+  LEFT JOIN hits n ON c.id = n.id AND n.priority = 4)
+SELECT *, min(direct_c4S_account_id) OVER (PARTITION BY dim_sellout_cust_id) AS C4S_account_id,
+  CAST(count(DISTINCT direct_c4S_account_id) OVER (PARTITION BY dim_sellout_cust_id) AS INTEGER) AS customer_number_Occurrence
+FROM wide
+""")
+def match_external(t: Tables) -> DataFrame:
+    """All external rules side by side, in the columns of the table of matched customers."""
+    wide = identity.match_external(_identities(t), _crm_accounts(t), _relationships(t))
+    return identity.external_table(wide).select(
+        "unique_id", "dim_sellout_cust_id", *identity.ACCOUNT_PRIORITY, "ext_levenstein_score", "direct_c4S_account_id",
+        "C4S_account_id", "customer_number_Occurrence",
+    )

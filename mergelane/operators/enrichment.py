@@ -14,6 +14,7 @@ from mergelane.functions.dates import since_month_start
 from mergelane.functions.text import as_column, mask_query_param
 from mergelane.operators.lookups import lookup
 from mergelane.operators.upsert import merge_upsert
+from mergelane.session import materialize
 
 # The table of answers.
 CACHE_SCHEMA = (
@@ -104,7 +105,8 @@ def enrich(df: DataFrame, provider: Provider, schema: str, now: datetime, tasks:
     """`df` with the answers of `provider`: the columns of `schema` plus ``api_execution_timestamp``.
 
     Every distinct (api_name, payload_string) is asked once, in batches, by `tasks` tasks at a time
-    (Spark's choice if unset). Columns of the same names are replaced.
+    (Spark's choice if unset). The answers are written to the shared folder at once, so that whatever
+    reads the result, however often, asks nobody again. Columns of the same names are replaced.
     """
     answer = T.StructType.fromDDL(schema)
     keys = ["api_name", "payload_string"]
@@ -118,7 +120,7 @@ def enrich(df: DataFrame, provider: Provider, schema: str, now: datetime, tasks:
     questions = df.select(*keys).distinct()
     if tasks:
         questions = questions.repartition(tasks, *keys)
-    answers = questions.mapInPandas(ask, asked).withColumn("api_execution_timestamp", F.lit(now))
+    answers = materialize(questions.mapInPandas(ask, asked), "answers").withColumn("api_execution_timestamp", F.lit(now))
     cols = [*answer.names, "api_execution_timestamp"]
     return lookup(df.drop(*cols), answers, keys, cols)
 

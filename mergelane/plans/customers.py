@@ -9,7 +9,8 @@ from mergelane.functions import text
 from mergelane.operators.clusters import cluster_occurrence, fill_in_cluster, first_rule_wins, unify_ids
 from mergelane.operators.enrichment import address_payload
 from mergelane.operators.lookups import join_all, lookup
-from mergelane.operators.matching import ExactRule, FuzzyRule, Ids, Pair, apply_matching, matched_pairs
+from mergelane.operators.mapping import conform
+from mergelane.operators.matching import Ids, Rule, apply_matching, matched_pairs, rule_from_dict
 from mergelane.operators.ranking import distinct_entities
 from mergelane.session import materialize
 
@@ -55,42 +56,49 @@ def prepare_accounts(accounts: DataFrame, country: str, api_name: str = "address
     )
 
 
-def _exact(result: str, source: str, target: str | None = None, loose: bool = True) -> ExactRule:
-    return ExactRule(result, [Pair(source, target or source, ignore_case=loose, trim=loose)])
+def _column(source: str, target: str | None = None, **more: object) -> dict:
+    return {"source_column": source, "target_column": target or source, **more}
 
 
+def _rule(kind: str, result: str, *columns: dict, loose: bool = True, **more: object) -> Rule:
+    """A rule by way of its dictionary form; `loose` ignores case and outer blanks in all columns."""
+    return rule_from_dict({
+        "match_type": kind, "result_column": result, "columns": columns, "trim": loose, "case_insensitive": loose, **more,
+    })
+
+
+def _half(source: str, target: str | None = None) -> dict:
+    return _column(source, target, match="fuzzy", weight=0.5)
+
+
+# The rules among customers, from customers to accounts, and to business partner relationships.
 INTERNAL_RULES = (
-    _exact("int_customer_number_match", "customer_number"),
-    _exact("int_vat_number_match", "vat_number"),
-    _exact("int_place_id_match", "place_id"),
-    FuzzyRule(
-        "int_levenstein_name_address",
-        fuzzy=[Pair("customer_name", "customer_name", weight=0.5),
-               Pair("customer_address", "customer_address", weight=0.5)],
-        block=[Pair("customer_postal_code", "customer_postal_code")],
-        min_score=0.75, score="levenstein_score", details="match_details",
+    _rule("exact", "int_customer_number_match", _column("customer_number")),
+    _rule("exact", "int_vat_number_match", _column("vat_number")),
+    _rule("exact", "int_place_id_match", _column("place_id")),
+    _rule(
+        "levenstein", "int_levenstein_name_address",
+        _half("customer_name"), _half("customer_address"), _column("customer_postal_code"),
+        min_score=0.75, score_column="levenstein_score", comparison_details_column="match_details",
     ),
 )
-
 EXTERNAL_RULES = (
-    _exact("ext_Tax_Number_4_match", "vat_number", "c4cu_vatregistration_id"),
-    _exact("ext_vat_number_match", "vat_number", "c4cu_taxnumber4_id"),
-    _exact("ext_place_id_match", "place_id", loose=False),
-    FuzzyRule(
-        "ext_levenstein_name_address",
-        fuzzy=[Pair("customer_name", "c4cu_account_desc", weight=0.5),
-               Pair("customer_address", "c4cu_street_house_number", weight=0.5)],
-        block=[Pair("customer_postal_code", "c4cu_postalcode_id", ignore_case=False)],
-        min_score=0.7, score="ext_levenstein_score", details="ext_match_details",
+    _rule("exact", "ext_Tax_Number_4_match", _column("vat_number", "c4cu_vatregistration_id")),
+    _rule("exact", "ext_vat_number_match", _column("vat_number", "c4cu_taxnumber4_id")),
+    _rule("exact", "ext_place_id_match", _column("place_id"), loose=False),
+    _rule(
+        "levenstein", "ext_levenstein_name_address",
+        _half("customer_name", "c4cu_account_desc"), _half("customer_address", "c4cu_street_house_number"),
+        _column("customer_postal_code", "c4cu_postalcode_id"),
+        min_score=0.7, score_column="ext_levenstein_score", comparison_details_column="ext_match_details",
     ),
 )
+RELATIONSHIP_RULE = _rule(
+    "exact", "ext_BPR_match",
+    _column("customer_number", "c4cu_numberatwholesaler_id"), _column("wholesaler_id", "c4cu_businesspartner2_id"),
+)
 
-RELATIONSHIP_RULE = ExactRule(
-    "ext_BPR_match",
-    [Pair("customer_number", "c4cu_numberatwholesaler_id"), Pair("wholesaler_id", "c4cu_businesspartner2_id")],
-)
-
-# Order of trust among the external results.
+# Order of trust among the external results.
 ACCOUNT_PRIORITY = (
     "ext_BPR_match", "ext_Tax_Number_4_match", "ext_vat_number_match", "ext_place_id_match",
     "ext_levenstein_name_address",
@@ -157,3 +165,30 @@ def match_external(customers: DataFrame, accounts: DataFrame, relationships: Dat
     direct = materialize(direct, "linked")
     filled = fill_in_cluster(direct, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id")
     return cluster_occurrence(filled, "dim_sellout_cust_id", "C4S_account_id", "direct_c4S_account_id")
+
+
+# The tables of matched customers. Results are text; keys are the text keys of `customer_entities`.
+INTERNAL_TABLE = (
+    ", ".join(f"{c} string" for c in ENTITY_COLUMNS)
+    + ", unique_id string NOT NULL, payload struct<address: struct<regionCode: string, addressLines: array<string>, "
+    "locality: string, postalCode: string>>, api_url string, payload_string string, api_name string, run_id long, "
+    "browser_url string, place_id string, int_customer_number_match string, int_vat_number_match string, "
+    "int_place_id_match string, int_levenstein_name_address string, levenstein_score double, match_details string, "
+    "dim_sellout_cust_id string"
+)
+EXTERNAL_TABLE = (
+    INTERNAL_TABLE
+    + ", ext_BPR_match string, ext_Tax_Number_4_match string, ext_vat_number_match string, ext_place_id_match string, "
+    "ext_levenstein_name_address string, ext_levenstein_score double, ext_match_details string, "
+    "direct_c4S_account_id string, C4S_account_id string, customer_number_Occurrence int"
+)
+
+
+def internal_table(matched: DataFrame) -> DataFrame:
+    """The result of `match_internal` in the columns and types of its table; a row without a key fails the job."""
+    return conform(matched, INTERNAL_TABLE)
+
+
+def external_table(matched: DataFrame) -> DataFrame:
+    """The result of `match_external` in the columns and types of its table; a row without a key fails the job."""
+    return conform(matched, EXTERNAL_TABLE)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from mergelane.checks.registry import Tables, query
 from mergelane.functions import text
 from mergelane.operators import mapping
+from mergelane.session import shared_folder
 from mergelane.sources import audit, files, paged, tables
 
 _PARTNER = "origin string, name string, nation string, balance double, segment string, remark string"
@@ -179,3 +181,46 @@ def csv_layout(t: Tables) -> DataFrame:
     ).distinct()
     lines = rows.unionByName(headers).select("full_file_path", "l.*")
     return files.parse_csv_lines(lines, sep=";", multi_line=True).select("number", "name", "nation", "full_file_path")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, c_nationkey FROM customer")
+def csv_roundtrip(t: Tables) -> DataFrame:
+    """Customers written as csv and read back with a schema."""
+    path = f"{shared_folder(t.spark)}/csv-{uuid.uuid4().hex}"
+    t.customer.select("c_custkey", "c_name", "c_acctbal", "c_nationkey").write.option("header", True).csv(path)
+    return files.read_csv(t.spark, path, "c_custkey long, c_name string, c_acctbal double, c_nationkey int")
+
+
+@query("""
+SELECT c_custkey AS "key", c_name AS "name", c_nationkey AS nation, CAST(NULL AS DOUBLE) AS balance FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT c_custkey, NULL, c_nationkey, c_acctbal FROM customer WHERE c_custkey % 2 = 1
+""")
+def merged_schema(t: Tables) -> DataFrame:
+    """Parquet files of two schemas in one folder, read as one table."""
+    path = f"{shared_folder(t.spark)}/merged-{uuid.uuid4().hex}"
+    key, nation = F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("nation")
+    even = t.customer.filter("c_custkey % 2 = 0").select(key, F.col("c_name").alias("name"), nation)
+    odd = t.customer.filter("c_custkey % 2 = 1").select(key, nation, F.col("c_acctbal").alias("balance"))
+    even.write.parquet(path)
+    odd.write.mode("append").parquet(path)
+    return files.read_parquet(t.spark, path, merge_schema=True).select("key", "name", "nation", "balance")
+
+
+@query("SELECT n_nationkey AS \"nation_key\", n_name AS \"nation_name\", n_regionkey AS \"unnamed_2\", n_regionkey AS \"nation_key_1\" FROM nation")
+def normalized_headers(t: Tables) -> DataFrame:
+    raw = t.nation.select(
+        F.col("n_nationkey").alias("Nation.Key"), F.col("n_name").alias(" Nation-Name: "), F.col("n_regionkey").alias(" "),
+        F.col("n_regionkey").alias("nation key"),
+    )
+    return mapping.normalize_headers(raw)
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS "name", NULL::DOUBLE AS balance FROM customer
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), NULL, s_acctbal FROM supplier
+""")
+def union_conform(t: Tables) -> DataFrame:
+    """Two sources with other columns and types, brought to one schema; columns outside of it go."""
+    customers = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), "c_mktsegment")
+    suppliers = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance"))
+    return mapping.union_conform(t.spark, [customers, suppliers], "id string, name string, balance double")

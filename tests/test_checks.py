@@ -13,7 +13,7 @@ def duck():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.QUERIES))
 def test_query(spark, duck, name):
     found = driver.queries()[name](spark, FOLDER)
     sql = driver.oracle_sql().get(name)

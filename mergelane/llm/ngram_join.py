@@ -8,13 +8,16 @@ frequency, so that those of one set only come first and make no candidates.
 1. One pass forms the sets. Texts with equal sets are one set from here on.
 2. Frequencies are counted over a fixed share of the token space, which holds the prefix of nearly every set;
    a set that has too few tokens in it also gives all others, which go behind. So the order is one for
-   all sets, and a set knows it for its own prefix, though most tokens are never shuffled.
-3. Sets with the same prefix and size are one group. Group pairs are filtered by size and position.
-   First every group meets one hub per token, and every member the hub of its group; these pairs are
-   verified on the whole sets.
-4. What these links have not joined yet meets in full: members of different components that share a
-   prefix token, filtered and verified alike. So no link between different components is missed,
-   and a group of thousands of near copies is not expanded into its pairs.
+   all sets, and a set knows it for its own prefix, though most tokens are never shuffled. Sets whose
+   prefix no other set shares link with nothing. The others, few in most corpora, do the same again among
+   themselves, over a larger share.
+3. Sets with the same prefix and size are one group. The groups of a token form a list. The pairs of a
+   short list are filtered by size and position, expanded to their members, and verified on the whole sets.
+4. In a long list every member meets one hub, the set that meets the most others over its lists, which leaves
+   their symmetric difference. Sets that both link to the hub are joined already. For two others the
+   differences have to share half of one of them, so a second prefix join, over the differences,
+   finds and verifies the links that are left; a group of thousands of near copies is never expanded into
+   its pairs, and no link between different components is missed.
 
 Every step is a join or an aggregation that Spark splits; no task holds a list of candidates.
 """
@@ -34,12 +37,21 @@ from mergelane.llm.shingles import BATCH_BYTES, set_digests, shingle_sets
 from mergelane.operators.clusters import connected_components
 from mergelane.session import materialize
 
-# Share of the token space over which frequencies are counted for all sets.
-REGION = 1 / 6
+# The share of the token space over which frequencies are counted, as a multiple of a prefix' share of its set: first
+# for all sets, then for those that may still link to others. With a larger share more tokens are
+# shuffled, and more sets turn out to have too many tokens of their own.
+REGIONS = (1.6, 5.0)
+# Lists of a token with up to this many sets are compared pair by pair.
+SHORT_LIST = 16
 # Bits of the table that tells tasks which sets to bring for verification: at most 16 MB, whatever the input.
 MOST_BITS = 1 << 27
 
 
+def _edge(threshold: Fraction, region: float) -> int:
+    """The counted region holds the tokens below this one."""
+    return min((1 << 63) - 1, int(-(1 << 63) + (1 << 64) * min(1.0, region * float(1 - threshold))))
+
+
 def _prefix(n: Column, t: Fraction) -> Column:
     """Tokens in the prefix of a set of n."""
     return n - F.expr(f"({t.numerator} * n + {t.denominator - 1}) div {t.denominator}") + 1
@@ -59,50 +71,58 @@ def _may_be_alike(a: str, b: str, t: Fraction) -> Column:
 def shingled(docs: DataFrame, size: int, threshold: Fraction, id_col: str, text_col: str) -> DataFrame:
     """Per row: id, sid (digest of the set, null if it is empty), n (its size), region, tokens.
 
-    `tokens` are the set's tokens in the counted region, `region` of them, behind which all other
-    tokens follow if the region does not hold the set's prefix.
+    `tokens` are the set's tokens in the first region, `region` of them, behind which all other
+    tokens follow if the region does not hold the set's prefix. Rows whose set the same task has seen before have null.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     num, den = threshold.numerator, threshold.denominator
-    edge = int(-(1 << 63) + (1 << 64) * REGION)
+    edge = _edge(threshold, REGIONS[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in byte_steps(batches, 1, BATCH_BYTES):
             sets = shingle_sets(batch.column(1), size)
             n = np.diff(sets.ends)
+            digest = set_digests(sets)
+            first = np.zeros(len(n), dtype=bool)
+            for i, d in enumerate(digest.tolist()):
+                if n[i] and d not in seen:
+                    seen.add(d)
+                    first[i] = True
             below = np.concatenate([[0], np.cumsum(sets.tokens < edge)])
             region = below[sets.ends[1:]] - below[sets.ends[:-1]]
-            given = np.where(region >= n - (num * n + den - 1) // den + 1, region, n)
+            given = np.where(region >= n - (num * n + den - 1) // den + 1, region, n) * first
             begins = np.cumsum(given) - given
             taken = np.repeat(sets.ends[:-1] - begins, given) + np.arange(given.sum())
-            digest = set_digests(sets)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.append(begins, given.sum()).astype(np.int32)), pa.array(sets.tokens[taken]), mask=pa.array(~first)
+            )
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(digest, mask=n == 0), pa.array(n), pa.array(region),
-                    pa.LargeListArray.from_arrays(
-                        np.append(begins, given.sum()), pa.array(sets.tokens[taken])
-                    ).cast(pa.list_(pa.int64())),
-                ],
+                [batch.column(0), pa.array(digest, mask=n == 0), pa.array(n), pa.array(region), lists],
                 names=["id", "sid", "n", "region", "tokens"],
-            )
+            )
 
     frame = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     return frame.mapInArrow(run, f"id {id_type}, sid long, n long, region long, tokens array<long>")
 
 
-def _postings(sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """token, sid, n, at: the tokens of all prefixes that other sets have too, and their positions (from 1)."""
-    edge = int(-(1 << 63) + (1 << 64) * REGION)
+def _postings(sets: DataFrame, threshold: Fraction, edge: int) -> DataFrame:
+    """token, sid, n, at: the tokens of all prefixes that other prefixes have too, and their positions (from 1).
+
+    `sets` has sid, n, region and tokens; a set may stand there more than once.
+    """
     token = Window.partitionBy("token")
     # One row a set and token, so that a token of several rows is one that several sets have.
     shared = (
         sets.select("sid", F.explode("tokens").alias("token"))
+        .repartition("token")
+        .groupBy("token", "sid").agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("df", F.count(F.lit(1)).over(token))
         .filter("df > 1")
-        .withColumn("other", F.col("token") >= F.lit(edge))
-    )
+        .select("token", "sid", "df", (F.col("token") >= F.lit(edge)).alias("other"))
+    )
     own = Window.partitionBy("sid")
-    sizes = sets.select("sid", "n", "region", F.size("tokens").alias("given"))
+    sizes = sets.groupBy("sid").agg(F.first("n").alias("n"), F.first("region").alias("region"), F.max(F.size("tokens")).alias("given"))
     placed = (
         shared.join(sizes, "sid")
         .withColumn("rank", F.row_number().over(own.orderBy("other", "df", "token")))
@@ -112,13 +132,24 @@ def _postings(sets: DataFrame, threshold: Fraction) -> DataFrame:
     # Unshared tokens stand before the shared ones of their part, the region before the rest.
     lone = F.when(F.col("other"), F.col("given") - F.col("in_all")).otherwise(F.col("region") - F.col("in_region"))
     at = (F.col("rank") + lone).cast("long")
-    return placed.withColumn("at", at).filter(F.col("at") <= _prefix(F.col("n"), threshold)).select("token", "sid", "n", "at")
+    prefixes = placed.withColumn("at", at).filter(F.col("at") <= _prefix(F.col("n"), threshold))
+    # A token in one prefix only makes no candidates.
+    met = prefixes.select("token", "sid", "n", "at").withColumn("prefixes", F.count(F.lit(1)).over(token))
+    return met.filter("prefixes > 1").drop("prefixes")
+
+
+def _of_region(sets: DataFrame, threshold: Fraction, edge: int) -> DataFrame:
+    """Whole sets (sid, tokens) as `_postings` takes them, with the tokens of a region, or all if that is too small."""
+    region = F.size(F.filter("tokens", lambda x: x < F.lit(edge))).cast("long")
+    sized = sets.select("sid", "tokens", F.size("tokens").cast("long").alias("n"), region.alias("region"))
+    given = F.when(F.col("region") >= _prefix(F.col("n"), threshold), F.col("region")).otherwise(F.col("n"))
+    return sized.select("sid", "n", "region", F.slice("tokens", F.lit(1), given.cast("int")).alias("tokens"))
 
 
 def _grouped(postings: DataFrame, threshold: Fraction) -> DataFrame:
     """sid, gid: sets of the same size and prefix have the smallest of their sids as gid.
 
-    A prefix with an unshared token is like no other. The tokens of one set's prefix are collected, never those of several sets.
+    A prefix with a token that no other prefix holds is like no other. The tokens of one set's prefix are collected, never those of several sets.
     """
     prefixes = postings.groupBy("sid").agg(
         F.first("n").alias("n"), F.array_sort(F.collect_list("token")).alias("prefix")
@@ -128,37 +159,102 @@ def _grouped(postings: DataFrame, threshold: Fraction) -> DataFrame:
     return prefixes.join(groups, ["n", "prefix"], "left").select("sid", F.coalesce("gid", "sid").alias("gid"))
 
 
-def _hub_pairs(postings: DataFrame, groups: DataFrame, threshold: Fraction) -> DataFrame:
-    """a, b (a < b): members with their group, and groups with the smallest one of each of their tokens."""
-    heads = postings.join(groups.filter("sid = gid").select("sid"), "sid", "left_semi")
-    hub = heads.groupBy("token").agg(F.min(F.struct("sid", "n", "at")).alias("hub"))
-    lists = heads.alias("m").join(hub.select(F.col("token").alias("of"), "hub"), F.col("of") == F.col("m.token"))
-    stars = lists.filter((F.col("m.sid") != F.col("hub.sid")) & _may_be_alike("m", "hub", threshold)).select(
-        F.col("hub.sid").alias("a"), F.col("m.sid").alias("b")
-    )
-    inside = groups.filter("sid <> gid").select(F.col("gid").alias("a"), F.col("sid").alias("b"))
-    return stars.distinct().unionByName(inside)
+def _lists(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """token, gid, n, at, sets (members of the group), length (members of all groups of the token)."""
+    sizes = groups.groupBy("gid").agg(F.count(F.lit(1)).alias("sets"))
+    heads = postings.join(sizes, F.col("sid") == F.col("gid")).select("token", "gid", "n", "at", "sets")
+    return heads.withColumn("length", F.sum("sets").over(Window.partitionBy("token")))
+
+
+def _short_pairs(lists: DataFrame, groups: DataFrame, threshold: Fraction) -> DataFrame:
+    """a, b (a < b): members of the groups that meet in a short list and may be alike."""
+    short = lists.filter(F.col("length").between(2, SHORT_LIST))
+    x, y = short.alias("x"), short.alias("y")
+    of_two = F.when(F.col("x.gid") == F.col("y.gid"), F.col("x.sets") > 1).otherwise(_may_be_alike("x", "y", threshold))
+    meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") <= F.col("y.gid")) & of_two
+    pairs = x.join(y, meet).select(F.col("x.gid").alias("one"), F.col("y.gid").alias("two")).distinct()
+    member = lambda group, name: groups.select(F.col("gid").alias(group), F.col("sid").alias(name))
+    expanded = pairs.join(member("one", "p"), "one").join(member("two", "q"), "two").filter("p <> q")
+    return expanded.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
 
+def _hub_pairs(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """hub, sid: the members of all groups of a long list with its hub.
 
-def _cross_pairs(postings: DataFrame, labels: DataFrame, threshold: Fraction) -> DataFrame:
-    """a, b (a < b): sets of different components that share a prefix token and may be alike."""
-    labelled = postings.join(labels, postings["sid"] == labels["node"], "left").select(
-        "token", "sid", "n", "at", F.coalesce("label", "sid").alias("part")
+    The hub is the group that meets the most others over all its long lists: of near copies, one with few edits,
+    which holds most of what they have in common. As that goes by the group, a family has few hubs.
+    """
+    long = lists.filter(F.col("length") > SHORT_LIST)
+    weight = long.groupBy("gid").agg(F.sum("length").alias("weight"))
+    ranked = long.join(weight, "gid").select("token", F.struct(-F.col("weight"), -F.col("n"), "gid").alias("place"))
+    hubs = ranked.groupBy(F.col("token").alias("of")).agg(F.min("place").alias("least"))
+    stars = long.join(hubs, F.col("token") == F.col("of")).select(F.col("least.gid").alias("hub"), "gid").distinct()
+    return stars.join(groups, "gid").filter("sid <> hub").select("hub", "sid")
+
+
+def _differences(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """hub, sid, n, hub_n, linked, delta: the symmetric difference of each set and its hub."""
+    own = sets.select("sid", F.col("tokens").alias("x"))
+    hub = sets.select(F.col("sid").alias("hub"), F.col("tokens").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    linked = both * threshold.denominator >= (F.size("x") + F.size("y") - both) * threshold.numerator
+    return pairs.join(own, "sid").join(hub, "hub").select(
+        "hub", "sid", F.size("x").cast("long").alias("n"), F.size("y").cast("long").alias("hub_n"), linked.alias("linked"),
+        F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("delta"),
+    )
+
+
+def _difference_links(stars: DataFrame, threshold: Fraction) -> DataFrame:
+    """src, dst: sets of one hub that link to each other though not both of them link to the hub.
+
+    With the differences a, b of two sets from their hub, their own difference has |a| + |b| - 2 |a and b| tokens,
+    which may be c (n_a + n_b) at most, with c = (1 - t) / (1 + t). Let set A not link to the hub, so that
+    |a| > c (n_a + n_hub). Then they share more than (|b| - c (n_b - n_hub)) / 2 tokens, and also
+    |a| - c (n_a + n_b) of them, where n_b is at most n_a / t. Prefixes leave that many tokens less one out.
+    """
+    c = (1 - threshold) / (1 + threshold)
+    sizes = stars.select("hub", "sid", "n", "hub_n", "linked", F.size("delta").alias("d")).filter("d > 0")
+    token = Window.partitionBy("hub", "token")
+    own = Window.partitionBy("hub", "sid")
+    shared = (
+        stars.select("hub", "sid", F.explode("delta").alias("token"))
+        .withColumn("df", F.count(F.lit(1)).over(token))
+        .filter("df > 1")
     )
-    parts = labelled.groupBy("token", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    num, den = threshold.numerator, threshold.denominator
-    meet = parts.alias("x").join(
-        parts.alias("y"),
-        (F.col("x.token") == F.col("y.token")) & (F.col("x.part") < F.col("y.part"))
-        & (F.col("x.high") * den >= F.col("y.low") * num) & (F.col("y.high") * den >= F.col("x.low") * num),
-    ).select(F.col("x.token").alias("on"), F.col("x.part").alias("one"), F.col("y.part").alias("two"))
-    a, b = labelled.alias("a"), labelled.alias("b")
-    pairs = (
-        meet.join(a, (F.col("on") == F.col("a.token")) & (F.col("one") == F.col("a.part")))
-        .join(b, (F.col("on") == F.col("b.token")) & (F.col("two") == F.col("b.part")))
-        .filter(_may_be_alike("a", "b", threshold))
+    placed = shared.join(sizes, ["hub", "sid"]).withColumns({
+        "rank": F.row_number().over(own.orderBy("df", "token")), "all": F.count(F.lit(1)).over(own),
+    })
+    at = F.col("rank") + F.col("d") - F.col("all")
+    # In integers: x >= p / q is q x >= p. Half of what is left of b, and for sets off the hub what is left of a.
+    half = F.expr(f"({c.denominator} * d - {c.numerator} * greatest(0L, n - hub_n)) div {2 * c.denominator} + 1")
+    most = c * (1 + 1 / threshold)
+    rest = F.greatest(F.lit(1), F.expr(f"({most.denominator} * d - {most.numerator} * n) div {most.denominator}"))
+    prefixed = placed.withColumns({
+        "at": at, "short": at <= F.col("d") - half + 1, "long": at <= F.col("d") - rest + 1,
+    }).filter("short OR (long AND NOT linked)")
+    off = prefixed.filter("NOT linked").alias("x")
+    any_ = prefixed.filter("short").alias("y")
+    # For a pair, the number of tokens that both differences must have is known; its prefixes are as short as that
+    # allows, and behind the shared token there have to be enough more. Unshared tokens are in no other set.
+    need = F.expr(
+        f"greatest(1L, ({c.denominator} * (x.d + y.d) - {c.numerator} * (x.n + y.n) + {2 * c.denominator - 1}) div {2 * c.denominator})"
     )
-    return pairs.select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b")).distinct()
+    after = F.least(F.col("x.d") - F.col("x.at"), F.col("y.d") - F.col("y.at"))
+    meet = (
+        (F.col("x.hub") == F.col("y.hub")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.sid") != F.col("y.sid"))
+        & (F.col("y.linked") | (F.col("x.short") & (F.col("x.sid") < F.col("y.sid"))))
+        & (F.col("x.at") <= F.col("x.d") - need + 1) & (F.col("y.at") <= F.col("y.d") - need + 1)
+        & (F.least("x.rank", "y.rank") + after >= need)
+    )
+    pairs = off.join(any_, meet).select("x.hub", F.col("x.sid").alias("p"), F.col("y.sid").alias("q")).distinct()
+    side = lambda name, more: stars.select(
+        "hub", F.col("sid").alias(name), F.col("n").alias(f"n_{more}"), F.col("delta").alias(more)
+    )
+    known = pairs.join(side("p", "a"), ["hub", "p"]).join(side("q", "b"), ["hub", "q"])
+    apart = F.size("a") + F.size("b") - 2 * F.size(F.array_intersect("a", "b"))
+    total = F.col("n_a") + F.col("n_b")
+    alike = (total - apart) * threshold.denominator >= (total + apart) * threshold.numerator
+    return known.filter(alike).select(F.greatest("p", "q").alias("src"), F.least("p", "q").alias("dst"))
 
 
 def _bit_table(sids: DataFrame) -> np.ndarray:
@@ -226,18 +322,19 @@ def components(
     Jobs run while it is planned. Sets are told apart by 64-bit digests.
     """
     base = materialize(shingled(docs, size, threshold, id_col, text_col), "shingles")
-    sets = base.filter("sid IS NOT NULL").dropDuplicates(["sid"])
-    postings = materialize(_postings(sets, threshold), "postings")
-    # A token in one prefix only makes no candidates.
-    postings = postings.withColumn("prefixes", F.count(F.lit(1)).over(Window.partitionBy("token")))
-    postings = materialize(postings.filter("prefixes > 1").drop("prefixes"), "postings")
-    grouped = materialize(_grouped(postings, threshold), "groups")
-    whole = materialize(_sets_of(docs, grouped.select("sid"), size, text_col), "sets")
-    links = materialize(_links(_hub_pairs(postings, grouped, threshold), whole, threshold), "links")
-    labels = materialize(connected_components(links), "labels")
-    more = materialize(_links(_cross_pairs(postings, labels, threshold), whole, threshold), "links")
-    if not more.isEmpty():
-        labels = connected_components(materialize(links.unionByName(more), "links"))
+    first, second = (_edge(threshold, region) for region in REGIONS)
+    some = _postings(base.filter("tokens IS NOT NULL"), threshold, first)
+    left = materialize(some.select("sid").distinct(), "left")
+    whole = materialize(_sets_of(docs, left, size, text_col), "sets")
+    # What is no candidate of any other set is left out, and frequencies count for the rest alone.
+    postings = materialize(_postings(_of_region(whole, threshold, second), threshold, second), "postings")
+    groups = materialize(_grouped(postings, threshold), "groups")
+    lists = materialize(_lists(postings, groups), "lists")
+    stars = materialize(_differences(_hub_pairs(lists, groups), whole, threshold), "stars")
+    of_hub = stars.filter("linked").select(F.greatest("sid", "hub").alias("src"), F.least("sid", "hub").alias("dst"))
+    links = _links(_short_pairs(lists, groups, threshold), whole, threshold).unionByName(of_hub)
+    links = links.unionByName(_difference_links(stars, threshold)).distinct()
+    labels = connected_components(links)
     parts = labels.select(F.col("node").alias("sid"), "label")
     rows = base.select("id", "sid", "n").join(parts, "sid", "left").withColumn("part", F.coalesce("label", "sid"))
     rows = rows.select("id", "n", "part")

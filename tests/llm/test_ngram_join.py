@@ -11,7 +11,7 @@ from mergelane.llm import ngram_join, shingles
 from mergelane.llm.queries import QUERIES, table
 
 
-def agree(spark, rows, size, threshold, **more):
+def agree(spark, rows, size, threshold, /, **more):
     docs = documents(spark, [t for _, t in rows], [i for i, _ in rows], **more)
     found = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.components(docs, size, threshold).collect()]
     assert sorted(found, key=repr) == sorted(brute.components(rows, size, threshold), key=repr)
@@ -20,13 +20,16 @@ def agree(spark, rows, size, threshold, **more):
 def edited(rng, words, edits):
     words = list(words)
     for _ in range(edits):
-        i = rng.randrange(len(words))
+        i = rng.randrange(len(words) or 1)
         words[i : i + rng.randrange(2)] = [rng.choice("pqrst")] * rng.randrange(3)
     return words
 
 
+@pytest.mark.parametrize("short_list", [1, 16])
 @pytest.mark.parametrize(("size", "threshold"), [(3, Fraction(9, 10)), (2, Fraction(4, 5)), (5, Fraction(1, 2))])
-def test_random_texts(spark, size, threshold):
+def test_random_texts(spark, monkeypatch, size, threshold, short_list):
+    """With pairs from short lists, and with all lists by way of hubs."""
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", short_list)
     rng = random.Random(size)
     rows = []
     for family in range(12):
@@ -46,6 +49,25 @@ def test_chains_of_near_copies(spark):
     agree(spark, rows, 3, Fraction(9, 10))
 
 
+@pytest.mark.parametrize(("short_list", "threshold"), [(1, Fraction(9, 10)), (16, Fraction(9, 10)), (1, Fraction(4, 5))])
+def test_copies_around_the_threshold(spark, monkeypatch, short_list, threshold):
+    """Copies with few edits, some of them shared: links to the hub, past the hub, and between sets off the hub."""
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", short_list)
+    rng = random.Random(5)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}w{rng.randrange(60)}" for _ in range(rng.choice([60, 120, 150]))]
+        edits = [(rng.randrange(len(base)), f"e{family}x{k}") for k in range(12)]
+        for k in range(50):
+            words = list(base)
+            for at, word in rng.sample(edits, rng.randrange(0, 8)):
+                words[at] = word
+            for _ in range(rng.randrange(0, 3)):
+                words[rng.randrange(len(words))] = f"own{family}y{k}z{rng.randrange(99)}"
+            rows.append((family * 1000 + k, " ".join(words[: len(words) - rng.choice([0, 0, 0, 4])])))
+    agree(spark, rows, 3, threshold)
+
+
 def test_edges(spark):
     rows = [
         (1, None), (2, ""), (3, " \n\t "), (4, "One"), (5, "one"), (6, "one two"), (7, "ONE  two"), (8, "one two three"),

@@ -10,7 +10,7 @@ import pyarrow as pa
 from mergelane.llm.arrow import LOWER, text_bytes
 
 # Bytes of texts that are worked on at once; the arrays for them take some 40 times as much.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 _LOWER = np.frombuffer(LOWER, dtype=np.uint8)
 _BLANK = np.zeros(256, dtype=bool)

@@ -13,14 +13,14 @@ def rows(df):
 @contextmanager
 def conf(spark, **settings):
     settings = {f"spark.sql.{k}": v for k, v in settings.items()}
-    old = {k: spark.conf.get(k) for k in settings}
+    old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         yield
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 NO_BROADCAST = {"autoBroadcastJoinThreshold": "-1", "adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -98,17 +98,11 @@ def test_hot_keys_are_split(spark):
         "adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k", "adaptive.skewJoin.skewedPartitionFactor": "2",
         "adaptive.advisoryPartitionSizeInBytes": "200k",
     }
-    old = {k: spark.conf.get(f"spark.sql.{k}", None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(f"spark.sql.{k}", v)
-    try:
+    with conf(spark, **settings):
         out = lookups.lookup(left, right, ["k"], ["v"])
         # All columns are used, so that the shuffled rows have their size.
         used = F.count_if(F.length("text") + F.coalesce("v", F.lit(0)) >= 0).alias("count")
         sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).agg(used).collect()]
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(f"spark.sql.{k}") if v is None else spark.conf.set(f"spark.sql.{k}", v)
     assert sum(sizes) == 400_000 and max(sizes) < 150_000
 
 

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame
 from mergelane.llm.arrow import steps, texts
 
 # Texts and pieces kept in each of two generations of a task's cache.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 120_000
 # Pieces from this many bytes on contract all places of a minimum-rank pair in one round.
 LONG_PIECE = 200
 DUCKDB_MEMORY = "300MB"
 # Texts encoded at once: enough to keep the queries' fixed cost low.
-TEXTS_AT_ONCE = 2048
+TEXTS_AT_ONCE = 1024
 
 _SHORT = """
 WITH RECURSIVE t AS (

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergelane.llm.arrow import steps, texts
@@ -107,6 +107,30 @@ def _slices(docs: DataFrame, slice_bytes: int) -> list[int]:
     return sorted(set(docs.approxQuantile("id", [i / n for i in range(1, n)], 1 / (4 * n))))
 
 
+def _slice_of(ids: pa.Array, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slice of each id, the ids, and which are null. Slices count down, as ids do; null ids are in one behind all others."""
+    empty = ids.is_null().to_numpy(zero_copy_only=False)
+    plain = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    slices = np.where(empty, len(cuts) + 1, len(cuts) - np.searchsorted(cuts, plain, side="right"))
+    return slices, plain, empty
+
+
+def _firsts(ids: DataFrame, cuts: np.ndarray) -> dict[int, int | None]:
+    """The largest id of every slice that has rows: one row a slice comes to the driver."""
+
+    def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slices, plain, empty = _slice_of(batch.column(0), cuts)
+            order = np.lexsort((plain, slices))
+            last = order[np.append(slices[order][1:] != slices[order][:-1], True)] if len(order) else order
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slices[last].astype(np.int32)), pa.array(plain[last], mask=empty[last])], names=["slice", "top"]
+            )
+
+    tops = ids.mapInArrow(largest, "slice int, top long").groupBy("slice").agg(F.max("top").alias("top"))
+    return {r["slice"]: r["top"] for r in tops.collect()}
+
+
 def edit_fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = None, slice_bytes: int = SLICE_BYTES
 ) -> DataFrame:
@@ -125,30 +149,33 @@ def edit_fingerprints(
     size = F.coalesce(docs[size_col].cast("long"), F.lit(0)) if size_col else F.lit(4096)
     bare = docs.select(docs[id_col].cast("long").alias("id"), size.alias("size"))
     frame = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    cuts = _slices(bare, slice_bytes)
-    bounds = F.array(*[F.lit(int(c)) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    # Slices count down, as ids do; null ids fall into the one behind all others.
-    place = F.when(F.col("id").isNull(), len(cuts) + 1).otherwise(
-        F.lit(len(cuts)) - F.size(F.filter(bounds, lambda c: c <= F.col("id")))
-    )
-    firsts = {
-        r["slice"]: r["top"]
-        for r in bare.withColumn("slice", place).groupBy("slice").agg(F.max("id").alias("top")).collect()
-    }  # one row a slice
+    cuts = np.array(_slices(bare, slice_bytes), dtype=np.int64)
+    firsts = _firsts(bare.select("id"), cuts)
     filled = sorted(firsts)
     # The first row of a slice also goes to the filled slice before it, that of the first to the last.
-    before = {s: filled[i - 1] if i else filled[-1] for i, s in enumerate(filled)}
-    first = filled[0] if filled else None
-    copies = F.array().cast("array<struct<slice:int,copy:int>>")
-    for s, top in firsts.items():
-        copy = F.array(F.struct(F.lit(int(before[s])).alias("slice"), F.lit(2 if s == first else 1).alias("copy")))
-        is_top = F.col("id").isNull() if top is None else F.col("id") == F.lit(top)
-        copies = F.when((F.col("slice") == s) & is_top, copy).otherwise(copies)
-    own = F.array(F.struct(F.col("slice"), F.lit(0).alias("copy")))
-    dealt = frame.withColumn("slice", place.cast("int")).withColumn("to", F.explode(F.concat(own, copies)))
-    # Copies stand behind the slice's own rows; those of the whole corpus' first row behind all.
+    before = np.zeros(len(cuts) + 2, dtype=np.int32)
+    top = np.zeros(len(cuts) + 2, dtype=np.int64)
+    for i, s in enumerate(filled):
+        before[s] = filled[i - 1]
+        top[s] = firsts[s] or 0
+    first = filled[0] if filled else 0
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            slices, ids, empty = _slice_of(batch.column(0), cuts)
+            tops = np.flatnonzero(empty | (ids == top[slices]))
+            # Copies stand behind the slice's own rows; those of the whole corpus' first row behind all.
+            for rows, to, copy in (
+                (np.arange(batch.num_rows), slices, np.zeros(batch.num_rows, dtype=np.int32)),
+                (tops, before[slices[tops]], np.where(slices[tops] == first, 2, 1).astype(np.int32)),
+            ):
+                own = batch.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(to.astype(np.int32)), pa.array(copy), *own.columns], names=["slice", "copy", "id", "text"]
+                )
+
     ordered = (
-        dealt.select(F.col("to.slice").alias("slice"), F.col("to.copy").alias("copy"), "id", "text")
+        frame.mapInArrow(deal, "slice int, copy int, id long, text string")
         .repartition(max(1, len(filled)), "slice")
         .sortWithinPartitions("slice", "copy", F.desc_nulls_last("id"), "text")
     )

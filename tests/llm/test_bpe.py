@@ -1,7 +1,6 @@
 import hashlib
 
 import public_tokenizers
-import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from mergelane.checks.cleanse import MESSY_DATES_SQL, messy_dates
 from mergelane.checks.registry import Tables, query
-from mergelane.functions import text
 from mergelane.operators import lookups, quantity, ranking
 from mergelane.operators.mapping import GOLDEN_SCHEMA, map_columns
 from mergelane.plans import sales, views

@@ -1,7 +1,6 @@
 import json
 import random
 
-import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st

@@ -36,8 +36,8 @@ def lookup(
     `right` must have one row per key (see `pick_one`). `right_filter` limits `right` as a one-sided
     ON condition would. `null_safe` lets null keys meet.
 
-    One left join at any size: Catalyst and AQE broadcast a small `right` and split a hot key of
-    `left`. Null keys, which find nothing, are spread over the shuffle.
+    One left join at any size: Catalyst and AQE broadcast a small `right`, and AQE splits the partition of a hot key of
+    `left`, or of its null keys, which find nothing.
     """
     taken = [c for c in cols if c in left.columns]
     if taken:
@@ -52,14 +52,6 @@ def _left_join(left: DataFrame, right: DataFrame, on: Sequence[Key], cols: Seque
     names = [f"__k{i}" for i in range(len(pairs))]
     keyed = left.withColumns({n: l for (l, _), n in zip(pairs, names)})
     dim = right.select(*[r.alias(f"__r{n}") for (_, r), n in zip(pairs, names)], *cols)
-    if not null_safe:
-        # Both sides also meet on a hash of their keys. A row with a null key takes a hash of itself instead,
-        # so such rows do not all come to one task.
-        hashable = [F.col(f"`{c}`") for c, t in left.dtypes if "map<" not in t and "variant" not in t]
-        empty = reduce(lambda a, n: a | F.col(n).isNull(), names, F.lit(False))
-        keyed = keyed.withColumn("__slot", F.when(empty, F.xxhash64(*hashable)).otherwise(F.xxhash64(*names)))
-        dim = dim.withColumn("__r__slot", F.xxhash64(*[f"__r{n}" for n in names]))
-        names = [*names, "__slot"]
     return keyed.join(dim, _meets(names, "__r", null_safe), "left").select(*left.columns, *cols)
 
 
@@ -113,7 +105,7 @@ def join_all(
 ) -> DataFrame:
     """Left join that keeps every match; `right_filter` is a one-sided ON condition.
 
-    Null keys are spread over the shuffle, and AQE splits a hot key of the left.
+    AQE splits the partition of a hot key of the left, or of its null keys.
     """
     if right_filter is not None:
         right = right.filter(right_filter)

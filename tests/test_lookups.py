@@ -77,20 +77,11 @@ def test_lookup_filter_and_expressions(join_form, skewed, dimension):
         lookups.lookup(skewed, dimension, ["k"], ["k"])
 
 
-def test_null_keys_are_spread(spark):
-    """Rows with null keys do not meet in one shuffle partition."""
-    left = spark.range(4000).withColumn("k", F.when(F.col("id") % 2 == 1, F.col("id")))
-    right = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    with conf(spark, **{"adaptive.enabled": "false", "autoBroadcastJoinThreshold": "-1"}):
-        out = lookups.lookup(left, right, ["k"], ["v"])
-        sizes = out.groupBy(F.spark_partition_id()).count().collect()
-    assert max(r["count"] for r in sizes) < 1000
-    assert out.filter(~F.col("v").eqNullSafe(F.col("k") * 2)).isEmpty() and out.count() == 4000
-
-
-def test_hot_keys_are_split(spark):
-    """However many keys are hot: AQE cuts their partitions, as the lookup is a plain left join."""
-    left = spark.range(0, 400_000, 1, 4).withColumn("k", F.when(F.col("id") % 4 > 0, F.lit(7)).otherwise(F.col("id") % 2000))
+@pytest.mark.parametrize("hot", [7, None])
+def test_hot_keys_are_split(spark, hot):
+    """However many keys are hot, or null: AQE cuts their partitions, as the lookup is a plain left join."""
+    key = F.when(F.col("id") % 4 > 0, F.lit(hot).cast("long")).otherwise(F.col("id") % 2000)
+    left = spark.range(0, 400_000, 1, 4).withColumn("k", key)
     left = left.withColumn("text", F.sha2(F.col("id").cast("string"), 256))
     right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     settings = {

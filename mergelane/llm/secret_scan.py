@@ -1,6 +1,6 @@
 """Secret scans: candidates by pattern, and a random forest that removes false positives.
 
-Candidates are words of a text that look like keys: known formats, values that a keyword assigns, and
+Candidates are all parts of a text's words that look like keys: known formats, values that a keyword assigns, and
 long mixed strings. The forest judges them by length, character transitions, share covered by
 dictionary words, path and neighbouring words; it is trained on labelled findings. All of it is
 DataFrame work: texts without anything like a candidate are passed by with one pattern.
@@ -16,19 +16,32 @@ from pyspark.sql import functions as F
 from mergelane.session import materialize
 
 # What a text must hold to be looked at word by word.
-_ANY = r"[0-9][A-Za-z0-9+/_-]{5,}|[A-Za-z0-9+/_-]{6,}[0-9]|[:=][\"'\s]{0,3}[A-Za-z0-9+/_-]{8}"
-# The value of a word: its last run of key characters.
-_VALUE = r"([A-Za-z0-9+/_-]{8,}={0,2})[^A-Za-z0-9+/_=-]*$"
+_ANY = r"[0-9][A-Za-z0-9+/_-]{5}|[A-Za-z0-9+/_-]{6}[0-9]|[:=][\"'\s]{0,3}[A-Za-z0-9+/_-]{8}"
+# A run of key characters, and the last one of a word (by which the tests read words of one value).
+_RUN = r"[A-Za-z0-9+/_-]{8,}={0,2}"
+_VALUE = rf"({_RUN})[^A-Za-z0-9+/_=-]*$"
 _KEYWORDS = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth"
 _KEYED = rf"(?i)(?:{_KEYWORDS})[A-Za-z0-9_-]{{0,20}}[\"']?\s*(?:=|:|=>)\s*[\"']?[A-Za-z0-9+/_-]{{8,}}={{0,2}}[^A-Za-z0-9+/_=-]*$"
-_FORMATS = (
-    r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk[-_][A-Za-z0-9_-]{20,}"
-    r"|AIza[A-Za-z0-9_-]{30,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_.-]{10,})$"
+# A keyword with its sign of assignment and an opening quote.
+_NAMED = rf"(?:{_KEYWORDS})[A-Za-z0-9_-]{{0,20}}[\"']?"
+_LEAD = rf"{_NAMED}\s*(?:=>|=|:)\s*[\"']?"
+_SHAPES = (
+    r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+    r"|sk[-_][A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{30,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_.-]{10,}"
+)
+_FORMATS = rf"^(?:{_SHAPES})$"
+# What is taken out of a word, in this order; group 1 is the value.
+_PARTS = (
+    ("format", rf"(?<![A-Za-z0-9])({_SHAPES})"),
+    ("keyed", rf"(?i:{_LEAD})({_RUN})"),
+    ("run", rf"[\"'`]?({_RUN})"),
 )
 _DOUBTS = r"(?i)example|dummy|sample|placeholder|your|uuid|sha\d*|hash|commit|checksum|version|isbn|phone|order"
 _TEST_PATH = r"(?i)test|example|sample|mock|fixture|docs?\b"
 _CONFIG_PATH = r"(?i)conf|env|settings|secret|deploy|\.ya?ml|\.json|\.properties|\.ini"
 
+# Characters of the words around a candidate that its features see; of a longer word, they see the candidate only.
+CONTEXT = 200
 # Words of the corpus that occur this often are the dictionary.
 DICTIONARY_MIN = 20
 # Labelled findings of each class that a forest is trained on, at most.
@@ -49,12 +62,14 @@ def _word(words: Column, i: Column) -> Column:
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """One row per candidate: the id, ``at`` (word number), rule, value, and its surroundings (word, before, after, path).
+    """One row per candidate: the id, ``at`` (word number), ``part`` (number in the word), rule, value, and its
+    surroundings (word, before, after, path).
 
     Rules: ``format`` (the shape of a known key), ``keyed`` (assigned by a keyword), ``mixed`` (12
     characters or more with a digit), and ``plain``: a hash sample of letter-only words, which are no
     candidates but labelled findings to train with. Null and empty texts have none. Whole texts are
-    read; rows stay apart by (id, at), and repeated rows repeat theirs.
+    read, and all of each word: first its formats, then its assigned values, then the runs of key characters
+    that are left. Rows stay apart by (id, at, part), and repeated rows repeat theirs.
     """
     path = F.coalesce(docs[path_col].cast("string"), F.lit("")) if path_col else F.lit("")
     hit = docs.select(docs[id_col].alias("id"), path.alias("path"), docs[text_col].alias("text")).filter(
@@ -62,28 +77,47 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     )
     split = hit.select("id", "path", F.split("text", r"\s+").alias("words"))
 
-    def found(i: Column) -> Column:
-        word = F.element_at("words", i + 1)
+    def place(i: Column) -> Column:
         before = F.concat_ws(" ", _word(F.col("words"), i - 2), _word(F.col("words"), i - 1))
-        value = F.regexp_extract(word, _VALUE, 1)
-        long = (F.length(value) >= 12) & value.rlike("[0-9]")
-        plain = value.rlike("^[A-Za-z]+$") & (F.pmod(F.xxhash64(value), F.lit(PLAIN_SHARE)) == 0)
-        rule = (
-            F.when(value.rlike(_FORMATS), "format")
-            .when(F.concat_ws(" ", before, word).rlike(_KEYED), "keyed")
-            .when(long, "mixed")
-            .when(plain, "plain")
-        )
         return F.struct(
-            i.cast("long").alias("at"), F.when(F.length(value) > 0, rule).alias("rule"), value.alias("value"),
-            word.alias("word"), before.alias("before"), _word(F.col("words"), i + 1).alias("after"),
+            i.cast("long").alias("at"), F.element_at("words", i + 1).alias("word"),
+            F.substring(before, -CONTEXT, CONTEXT).alias("before"),
+            F.substring(_word(F.col("words"), i + 1), 1, CONTEXT).alias("after"),
         )
 
     places = F.filter(
         F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.length(F.element_at("words", i + 1)) >= 8
     )
-    all_found = F.filter(F.transform(places, found), lambda f: f["rule"].isNotNull())
-    return split.select("id", "path", F.explode(all_found).alias("f")).select(F.col("id").alias(id_col), "path", "f.*")
+    words = split.select("id", "path", F.explode(F.transform(places, place)).alias("w")).select("id", "path", "w.*")
+    # An assignment that begins in the words before is written in front of the word in short.
+    word, before = F.col("word"), F.col("before")
+    parts = words.withColumn(
+        "rest",
+        F.when(before.rlike(rf"(?i){_LEAD}$"), F.concat(F.lit("pwd="), word))
+        .when(word.rlike("^[=:]") & before.rlike(rf"(?i){_NAMED}$"), F.concat(F.lit("pwd"), word))
+        .otherwise(word),
+    )
+    for rule, pattern in _PARTS:
+        found = F.zip_with(
+            F.regexp_extract_all("rest", F.lit(pattern), F.lit(0)),
+            F.regexp_extract_all("rest", F.lit(pattern), F.lit(1)),
+            lambda m, v: F.struct(F.lit(rule).alias("rule"), m.alias("match"), v.alias("value")),  # noqa: B023
+        )
+        parts = parts.withColumn(rule, found).withColumn("rest", F.regexp_replace("rest", pattern, '""'))
+    # The rows of a long word do not repeat it: it may hold thousands of candidates.
+    cut = parts.select(
+        "id", "path", "at", F.when(F.length(word) <= CONTEXT, word).alias("word"), "before", "after",
+        F.concat(*[rule for rule, _ in _PARTS]).alias("parts"),
+    )
+    each = cut.select("id", "path", "at", "word", "before", "after", F.posexplode("parts").alias("part", "p"))
+    value = F.col("p.value")
+    long = (F.length(value) >= 12) & value.rlike("[0-9]")
+    plain = value.rlike("^[A-Za-z]+$") & (F.pmod(F.xxhash64(value), F.lit(PLAIN_SHARE)) == 0)
+    rule = F.when(F.col("p.rule") != "run", F.col("p.rule")).when(long, "mixed").when(plain, "plain")
+    return each.select(
+        F.col("id").alias(id_col), "path", "at", F.col("part").cast("long").alias("part"), rule.alias("rule"),
+        value.alias("value"), F.coalesce("word", "p.match").alias("word"), "before", "after",
+    ).filter(F.col("rule").isNotNull())
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", least: int = DICTIONARY_MIN) -> DataFrame:
@@ -109,6 +143,7 @@ def featured(found: DataFrame, words: DataFrame) -> DataFrame:
     count = lambda c, pattern: F.regexp_count(c, F.lit(pattern))
     yes = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     context = F.concat_ws(" ", "before", "word")
+    lead = F.concat_ws(" ", "before", F.call_function("substring_index", F.col("word"), value, F.lit(1)))
     columns = {
         "length": F.length(value).cast("double"),
         "digits": count(value, "[0-9]") / size,
@@ -123,7 +158,7 @@ def featured(found: DataFrame, words: DataFrame) -> DataFrame:
         "path_depth": (F.size(F.split("path", "/")) - 1).cast("double"),
         "path_test": yes(F.col("path").rlike(_TEST_PATH)),
         "path_config": yes(F.col("path").rlike(_CONFIG_PATH)),
-        "keyed": yes(context.rlike(_KEYED)),
+        "keyed": yes(lead.rlike(rf"(?i){_LEAD}$")),
         "keyword_near": yes(context.rlike(rf"(?i)\b(?:{_KEYWORDS})\b")),
         "doubt_near": yes(F.concat_ws(" ", "before", "after").rlike(_DOUBTS)),
         "quoted": yes(F.col("word").rlike("[\"'`]")),
@@ -197,7 +232,7 @@ def scan(
     docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
     path_col: str | None = "source",
 ) -> DataFrame:
-    """One row per candidate: id, at, rule, value, score, secret (see `findings`, `judged`).
+    """One row per candidate: id, at, part, rule, value, score, secret (see `findings`, `judged`).
 
     `labelled`: findings (columns of `findings`) with a label; without them, `format_labels` of the
     corpus' own findings serve. The dictionary comes from the whole corpus. An empty table, or one
@@ -207,7 +242,7 @@ def scan(
     words = materialize(dictionary(docs, text_col), "dictionary")
     all_featured = materialize(featured(found, words), "featured")
     labels = format_labels(all_featured) if labelled is None else featured(labelled, words)
-    return judged(all_featured, train(labels)).select(id_col, "at", "rule", "value", "score", "secret")
+    return judged(all_featured, train(labels)).select(id_col, "at", "part", "rule", "value", "score", "secret")
 
 
 def redact(docs: DataFrame, secrets: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

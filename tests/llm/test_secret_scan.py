@@ -124,3 +124,27 @@ def test_plan_is_native(spark):
     found = QUERIES["op1_secret_scan"](spark, "/root/testdata/sf0.001")
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+GITHUB = "ghp_" + "x7Ab2" * 6
+# Words with several runs, and the values (with their rules) that must be found in them; written by hand.
+MANY = [
+    (f'{{"aws_key":"{KEY}","n":5}}', {("format", KEY)}),
+    (f"x?key={KEY}&region=us-east-1", {("format", KEY)}),
+    (f"https://u:{GITHUB}@github.com/org/repo", {("format", GITHUB)}),
+    ("1a2b3c4d5e6f,7,9f8e7d6c5b4a,end", {("mixed", "1a2b3c4d5e6f"), ("mixed", "9f8e7d6c5b4a")}),
+    ('{"db_password":"Ab12Cd34Ef56","a":1,"auth_token":"zz99yy88xx77","ok":true}', {("keyed", "Ab12Cd34Ef56"), ("keyed", "zz99yy88xx77")}),
+    ('secret = "q1w2e3r4t5y6";f(0)', {("keyed", "q1w2e3r4t5y6")}),
+    ("".join(f'a{i}="{i:012x}";' for i in range(3000)), {("mixed", f"{i:012x}") for i in range(3000)}),
+]
+
+
+def test_all_runs_of_a_word(spark):
+    docs = documents(spark, [t for t, _ in MANY], **CLASHES)
+    found = ss.findings(docs).filter("rule <> 'plain'")
+    rows = found.collect()
+    for i, (_, expected) in enumerate(MANY):
+        assert {(r.rule, r.value) for r in rows if r.doc_id == i} == expected
+    assert len({(r.doc_id, r.at, r.part) for r in rows}) == len(rows) == sum(len(e) for _, e in MANY)
+    after = {r.doc_id: r.text for r in ss.redact(docs, found.select("doc_id", "value")).collect()}
+    assert after[0] == '{"aws_key":"[SECRET]","n":5}' and after[2] == "https://u:[SECRET]@github.com/org/repo"

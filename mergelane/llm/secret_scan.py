@@ -15,25 +15,31 @@ from pyspark.sql import functions as F
 
 from mergelane.session import materialize
 
-# What a text must hold to be looked at word by word.
-_ANY = r"[0-9][A-Za-z0-9+/_-]{5}|[A-Za-z0-9+/_-]{6}[0-9]|[:=][\"'\s]{0,3}[A-Za-z0-9+/_-]{8}"
-# A run of key characters, and the last one of a word (by which the tests read words of one value).
+# A run of key characters, a JSON web token, and the last of either in a word (by which the tests read words of one value).
 _RUN = r"[A-Za-z0-9+/_-]{8,}={0,2}"
-_VALUE = rf"({_RUN})[^A-Za-z0-9+/_=-]*$"
+_JWT = r"eyJ[A-Za-z0-9_-]{6,}\.eyJ[A-Za-z0-9_.-]{5,}[A-Za-z0-9_-]"
+_VALUE = rf"({_JWT}|{_RUN})[^A-Za-z0-9+/_=-]*$"
 _KEYWORDS = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth"
 _KEYED = rf"(?i)(?:{_KEYWORDS})[A-Za-z0-9_-]{{0,20}}[\"']?\s*(?:=|:|=>)\s*[\"']?[A-Za-z0-9+/_-]{{8,}}={{0,2}}[^A-Za-z0-9+/_=-]*$"
 # A keyword with its sign of assignment and an opening quote.
 _NAMED = rf"(?:{_KEYWORDS})[A-Za-z0-9_-]{{0,20}}[\"']?"
-_LEAD = rf"{_NAMED}\s*(?:=>|=|:)\s*[\"']?"
+_LEAD = rf"{_NAMED}\s*(?:=>|={{1,3}}|:=?)\s*[\"']?"
+# What is assigned: behind a quote all up to a quote or blank, else also up to the next assignment (&a=, ;a=, ,a:).
+_ASSIGNED = r"(?<=[\"'])[^\s\"'`]++|(?:[^\s\"'`&;,]|[&;,](?![A-Za-z0-9_.-]{1,64}[=:]|[\"']))++"
 _SHAPES = (
     r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{10,}"
-    r"|sk[-_][A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{30,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_.-]{10,}"
+    rf"|sk[-_][A-Za-z0-9_-]{{20,}}|AIza[A-Za-z0-9_-]{{30,}}|{_JWT}"
+)
+# What a text must hold to be looked at word by word.
+_ANY = (
+    r"[0-9][A-Za-z0-9+/_-]{5}|[A-Za-z0-9+/_-]{6}[0-9]|[:=][\"'\s]{0,3}[A-Za-z0-9+/_-]{8}"
+    rf"|(?i:{_NAMED})\s*[=:]|(?<![A-Za-z0-9])(?:{_SHAPES})"
 )
 _FORMATS = rf"^(?:{_SHAPES})$"
 # What is taken out of a word, in this order; group 1 is the value.
 _PARTS = (
     ("format", rf"(?<![A-Za-z0-9])({_SHAPES})"),
-    ("keyed", rf"(?i:{_LEAD})({_RUN})"),
+    ("keyed", rf"(?i:{_LEAD})({_ASSIGNED})"),
     ("run", rf"[\"'`]?({_RUN})"),
 )
 _DOUBTS = r"(?i)example|dummy|sample|placeholder|your|uuid|sha\d*|hash|commit|checksum|version|isbn|phone|order"
@@ -68,8 +74,8 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     Rules: ``format`` (the shape of a known key), ``keyed`` (assigned by a keyword), ``mixed`` (12
     characters or more with a digit), and ``plain``: a hash sample of letter-only words, which are no
     candidates but labelled findings to train with. Null and empty texts have none. Whole texts are
-    read, and all of each word: first its formats, then its assigned values, then the runs of key characters
-    that are left. Rows stay apart by (id, at, part), and repeated rows repeat theirs.
+    read, and all of each word: first its formats, then its assigned values of any characters and length (a quoted
+    one ends at a blank, an unquoted one loses closing punctuation), then the runs of key characters that are left. Rows stay apart by (id, at, part), and repeated rows repeat theirs.
     """
     path = F.coalesce(docs[path_col].cast("string"), F.lit("")) if path_col else F.lit("")
     hit = docs.select(docs[id_col].alias("id"), path.alias("path"), docs[text_col].alias("text")).filter(
@@ -85,9 +91,12 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
             F.substring(_word(F.col("words"), i + 1), 1, CONTEXT).alias("after"),
         )
 
-    places = F.filter(
-        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.length(F.element_at("words", i + 1)) >= 8
-    )
+    def looked_at(i: Column) -> Column:
+        word = F.element_at("words", i + 1)
+        last = F.substring(_word(F.col("words"), i - 1), -1, 1)
+        return (F.length(word) >= 8) | word.contains("=") | word.contains(":") | last.isin("=", ":", ">", '"', "'")
+
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), looked_at)
     words = split.select("id", "path", F.explode(F.transform(places, place)).alias("w")).select("id", "path", "w.*")
     # An assignment that begins in the words before is written in front of the word in short.
     word, before = F.col("word"), F.col("before")
@@ -110,10 +119,12 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
         F.concat(*[rule for rule, _ in _PARTS]).alias("parts"),
     )
     each = cut.select("id", "path", "at", "word", "before", "after", F.posexplode("parts").alias("part", "p"))
-    value = F.col("p.value")
+    given, whole = F.col("p.value"), F.col("p.match")
+    bare = (F.col("p.rule") == "keyed") & ~whole.substr(F.length(whole) - F.length(given), F.lit(1)).isin('"', "'")
+    value = F.when(bare, F.regexp_replace(given, r"[,;.:)\]}>]+$", "")).otherwise(given)
     long = (F.length(value) >= 12) & value.rlike("[0-9]")
     plain = value.rlike("^[A-Za-z]+$") & (F.pmod(F.xxhash64(value), F.lit(PLAIN_SHARE)) == 0)
-    rule = F.when(F.col("p.rule") != "run", F.col("p.rule")).when(long, "mixed").when(plain, "plain")
+    rule = F.when(F.col("p.rule") != "run", F.when(value != "", F.col("p.rule"))).when(long, "mixed").when(plain, "plain")
     return each.select(
         F.col("id").alias(id_col), "path", "at", F.col("part").cast("long").alias("part"), rule.alias("rule"),
         value.alias("value"), F.coalesce("word", "p.match").alias("word"), "before", "after",
@@ -248,14 +259,23 @@ def scan(
 def redact(docs: DataFrame, secrets: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with the values of `secrets` (id, value) replaced in the texts of that id; all else stays.
 
-    Texts that hold nothing like a candidate are not shuffled. Longer values are replaced first.
+    Texts that hold nothing like a candidate are not shuffled. Longer values are replaced first; those of
+    less than 8 characters only where a keyword assigns them, as they may be parts of common words.
     """
     values = secrets.groupBy(F.col(id_col).alias("__id")).agg(
         F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False).alias("__values")
     )
     text = F.col(text_col)
     may = F.coalesce(text.rlike(_ANY), F.lit(False))
-    clean = F.aggregate("__values", text, lambda t, v: F.replace(t, v["value"], F.lit(mark)))
+    literal = lambda v: F.concat(F.lit("\\Q"), F.replace(v, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    named = lambda v: F.concat(F.lit(rf"((?i:{_LEAD}))"), literal(v), F.lit("(?![A-Za-z0-9])"))
+    marked = F.lit("$1" + mark.replace("\\", "\\\\").replace("$", "\\$"))
+    clean = F.aggregate(
+        "__values", text,
+        lambda t, v: F.when(v["n"] < 8, F.regexp_replace(t, named(v["value"]), marked)).otherwise(
+            F.replace(t, v["value"], F.lit(mark))
+        ),
+    )
     hit = docs.filter(may).join(values, F.col(id_col).eqNullSafe(F.col("__id")), "left")
     hit = hit.withColumn(text_col, F.when(F.col("__values").isNull(), text).otherwise(clean)).select(*docs.columns)
     return docs.filter(~may).unionByName(hit)

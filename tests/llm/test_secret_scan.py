@@ -148,3 +148,26 @@ def test_all_runs_of_a_word(spark):
     assert len({(r.doc_id, r.at, r.part) for r in rows}) == len(rows) == sum(len(e) for _, e in MANY)
     after = {r.doc_id: r.text for r in ss.redact(docs, found.select("doc_id", "value")).collect()}
     assert after[0] == '{"aws_key":"[SECRET]","n":5}' and after[2] == "https://u:[SECRET]@github.com/org/repo"
+
+
+JWT = "eyJhbGciOiJI.eyJzdWIiOiIx.c2ln"
+# Values with characters of their own, or short ones; written by hand.
+OWN = [
+    (f"{JWT} x", {("format", JWT)}), (f"Bearer {JWT}.", {("format", JWT)}), ("password=Tr0ub4dor&3 end", {("keyed", "Tr0ub4dor&3")}),
+    ("a pwd: hunter2, yes, a hunter2x", {("keyed", "hunter2")}), ("password = 'p@ss,w=rd!' x", {("keyed", "p@ss,w=rd!")}),
+    ("u?password=a$b!c&user=me", {("keyed", "a$b!c")}), ('{"secret":"x.","n":[5]}', {("keyed", "x.")}), ("{token:a}", {("keyed", "a")}),
+    ("password =é9é z", {("keyed", "é9é")}), ("password=" + "a&" * 50_000 + "z", {("keyed", "a&" * 50_000 + "z")}),
+    (r"secret=\Ea\Q$", {("keyed", r"\Ea\Q$")}), ("token: ,) secret", set()), ("sk-" + "abcde" * 5, {("format", "sk-" + "abcde" * 5)}),
+]
+
+
+def test_formats_and_assigned_values_are_whole(spark):
+    docs = documents(spark, [t for t, _ in OWN], **CLASHES)
+    found = ss.findings(docs).filter("rule IN ('format', 'keyed')")
+    rows = found.collect()
+    for i, (_, expected) in enumerate(OWN):
+        assert {(r.rule, r.value) for r in rows if r.doc_id == i} == expected
+    after = {r.doc_id: r.text for r in ss.redact(docs, found.select("doc_id", "value"), "[$1]").collect()}
+    assert [after[i] for i in (0, 1, 2, 3)] == ["[$1] x", "Bearer [$1].", "password=[$1] end", "a pwd: [$1], yes, a hunter2x"]
+    assert [after[i] for i in (4, 5, 7, 8)] == ["password = '[$1]' x", "u?password=[$1]&user=me", "{token:[$1]}", "password =[$1] z"]
+    assert after[9] == "password=[$1]" and after[10] == "secret=[$1]"

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -24,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mergelane.llm.arrow import steps, texts
+from mergelane.session import materialize
 
 # Rules that may travel to every task: at this size a file of some 100 MB.
 MAX_LOCAL_RULES = 1_000_000
-# Rules of a large list in one shard.
+# Rules of a large list, or keys of urls that meet them, in one shard.
 SHARD_RULES = 500_000
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -126,8 +128,9 @@ class _TempArray:
 
 
 def _candidates(host: str, path: str, lengths: Sequence[int]) -> list[str]:
-    """Texts of all rules that could fit, the longest first: per host suffix, the path cut to the rules' lengths."""
-    fits = [suffix + path[:n] for suffix in host_suffixes(host) for n in lengths if n <= len(path)]
+    """Texts of all rules that could fit, the longest first: per host suffix, the path cut to the rules' lengths (ascending)."""
+    own = lengths[: bisect_right(lengths, len(path))]
+    fits = [suffix + path[:n] for suffix in host_suffixes(host) for n in own]
     return sorted(set(fits), key=lambda x: (-len(x), x))
 
 
@@ -182,16 +185,15 @@ def filter_urls_by_table(
     """As `filter_urls`, for rules in a table (verdict, host, path) of any size.
 
     The distinct keys that the urls' hosts and paths could meet are split by digest into shards, each
-    probed in the digest array of its rules. Keys are made distinct before they are shuffled, so a
-    host or path that most urls share is one key. Rules with a null go; of two rules of one text that disagree, block holds.
+    probed in the digest array of its rules; there are as many shards as the larger of the two needs. Keys are made
+    distinct before they are shuffled, so a host or path that most urls share is one key; they are written once. Rules with a null go; of two rules of one text that disagree, block holds.
     """
     id_type = pages.schema[id_col].dataType.simpleString()
     listed = rules.dropna(subset=["verdict", "host", "path"])
-    lengths = sorted(r[0] for r in listed.select(F.length("path")).distinct().limit(4096).collect())
+    lengths = sorted(r[0] for r in listed.select(F.length("path")).distinct().collect())
     texts_ = (
         listed.withColumn("text", F.concat("host", "path")).groupBy("text").agg(F.max("verdict").alias("verdict"))
     )  # "block" is larger than "allow"
-    shards = max(1, -(-texts_.count() // shard_rules))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, 4096):
@@ -207,7 +209,8 @@ def filter_urls_by_table(
 
     urls = pages.select(pages[url_col].alias("url")).distinct()
     split = urls.mapInArrow(parts, "url string, host string, path string, texts array<string>")
-    keys = split.select(F.explode("texts").alias("text")).distinct()
+    keys = materialize(split.select(F.explode("texts").alias("text")).distinct(), "url-keys")
+    shards = max(1, -(-max(keys.count(), texts_.count()) // shard_rules))
     shard = F.pmod(F.xxhash64("text"), F.lit(shards))
 
     def probe(key: pd.DataFrame, listed_: pd.DataFrame) -> pd.DataFrame:

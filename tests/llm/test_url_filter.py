@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -68,3 +70,21 @@ def test_edges(spark):
     assert uf.filter_urls(pages(spark, URLS).limit(0), URL_RULES).count() == 0
     with pytest.raises(ValueError):
         uf.filter_urls(pages(spark, URLS), [uf.Rule("allow", "a", "/"), uf.Rule("block", "a", "/")])
+
+
+def test_large_lists_of_many_path_lengths(spark):
+    rules = spark.range(6_000).selectExpr("'block' AS verdict", "'h' AS host", "concat('/', repeat('x', int(5999 - id))) AS path")
+    urls = ["http://h/" + "x" * n for n in range(40)]
+    found = {r.page_id: (r.rule, r.verdict) for r in uf.filter_urls_by_table(pages(spark, urls), rules).collect()}
+    assert found == {i: (u.removeprefix("http://"), "block") for i, u in enumerate(urls)}
+
+
+@pytest.mark.parametrize("n_urls, n_rules, least", [(500, 1, 50), (1, 500, 50), (1, 1, 1)])
+def test_shards_follow_keys_and_rules(spark, n_urls, n_rules, least):
+    rules = spark.range(n_rules).selectExpr("'block' AS verdict", "concat('h', id, '.com') AS host", "'/a' AS path")
+    urls = [f"http://h{i}.com/a" for i in range(n_urls)]
+    out = uf.filter_urls_by_table(pages(spark, urls), rules, shard_rules=10)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    shards = [int(n) for n in re.findall(r"pmod\(xxhash64\(text#\d+, 42\), (\d+)\)", plan)]
+    assert shards and min(shards) >= least
+    assert sum(r.verdict == "block" for r in out.collect()) == min(n_urls, n_rules)

@@ -12,6 +12,8 @@ from mergelane.llm import (
     bpe,
     fingerprints,
     license_scan,
+    merkle,
+    multi_index,
     ngram_join,
     packing,
     quality,
@@ -19,6 +21,7 @@ from mergelane.llm import (
     token_counts,
     topk_bitslice,
     url_filter,
+    whitening,
 )
 from mergelane.llm.registry import QUERIES, SQL, query  # noqa: F401
 from mergelane.session import materialize, shared_folder
@@ -197,3 +200,105 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_ngram_jaccard")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.components(table(spark, folder, "documents"), size=3, threshold=Fraction(9, 10))
+
+
+# The exact result, which the index reaches where it sees every link.
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
+
+
+@query("op11_multi_index_dedup", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, folder, "embeddings"), threshold=0.9)
+
+
+# Levels are lists per source; crc32 goes through the bits of each byte of the decimal id.
+OP12_SQL = r"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source,
+    list_reduce(list_prepend(4294967295, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+      lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [CAST(k AS BIGINT) for k in range(8)]),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    text
+  FROM documents
+),
+leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(t) || ':' || t, '-')) AS changed,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS r
+  FROM (SELECT *, CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS t FROM hashed)
+),
+trees AS (
+  SELECT source, 0 AS lvl, list(leaf ORDER BY r) AS nodes FROM leaves GROUP BY source
+  UNION ALL
+  SELECT source, lvl + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))
+  FROM trees WHERE len(nodes) > 1
+),
+subroots AS (
+  SELECT source, nodes[1] AS subroot, lvl AS top, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r FROM trees WHERE len(nodes) = 1
+),
+roots AS (
+  SELECT 0 AS lvl, list(subroot ORDER BY r) AS nodes FROM subroots
+  UNION ALL
+  SELECT lvl + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))
+  FROM roots WHERE len(nodes) > 1
+),
+steps AS (
+  SELECT l.doc_id, t.lvl, l.r // CAST(pow(3, t.lvl) AS BIGINT) AS pos, t.nodes
+  FROM leaves l JOIN trees t ON l.source IS NOT DISTINCT FROM t.source AND len(t.nodes) > 1
+  UNION ALL
+  SELECT l.doc_id, s.top + r.lvl, s.r // CAST(pow(3, r.lvl) AS BIGINT), r.nodes
+  FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source, roots r WHERE len(r.nodes) > 1
+),
+sides AS (
+  SELECT doc_id, lvl, array_to_string(nodes[pos // 3 * 3 + 1:pos], '') AS l, array_to_string(nodes[pos + 2:pos // 3 * 3 + 3], '') AS r
+  FROM steps
+),
+proofs AS (SELECT doc_id, list(l ORDER BY lvl) AS ls, list(r ORDER BY lvl) AS rs FROM sides GROUP BY doc_id),
+folds AS (
+  SELECT doc_id, 0 AS k, changed AS node, ls, rs FROM leaves LEFT JOIN proofs USING (doc_id)
+  UNION ALL
+  SELECT doc_id, k + 1, sha256(ls[k + 1] || node || rs[k + 1]), ls, rs FROM folds WHERE k < coalesce(len(ls), 0)
+),
+folded AS (
+  SELECT doc_id, node AS folded_root,
+    sha256(coalesce(array_to_string([ls[i] || rs[i] for i in range(1, len(ls) + 1)], ''), '')) AS proof_sha256
+  FROM folds WHERE k = coalesce(len(ls), 0)
+)
+SELECT l.doc_id, l.leaf, s.subroot, r.nodes[1] AS root, f.proof_sha256, f.folded_root, f.folded_root = r.nodes[1] AS verified
+FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN folded f USING (doc_id),
+  (SELECT nodes FROM roots WHERE len(nodes) = 1) r
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row proved, those with an even checksum of their id from a text that has lost its line breaks."""
+    docs = table(spark, folder, "documents")
+    even = F.crc32(docs["doc_id"].cast("string")) % 2 == 0
+    text = F.when(even, F.replace(docs["text"], F.lit("\n"), F.lit(""))).otherwise(docs["text"])
+    return merkle.manifest(docs, tampered={"text": text})
+
+
+@query("op13_block_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))

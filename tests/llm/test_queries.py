@@ -15,5 +15,5 @@ def test_query(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert driver.queries().keys() >= {*QUERIES, "pipeline"} and driver.oracle_sql().keys() >= SQL.keys()

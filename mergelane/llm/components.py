@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -51,3 +52,15 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = after
     return current.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("label"))
+
+
+def joined(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id that each row and column of a table of links reaches."""
+    most = np.iinfo(np.int64).max
+    a, b = left.copy(), right.copy()
+    while True:
+        new_b = np.minimum(b, np.where(linked, a[:, None], most).min(axis=0, initial=most))
+        new_a = np.minimum(a, np.where(linked, new_b[None, :], most).min(axis=1, initial=most))
+        if (new_a == a).all() and (new_b == b).all():
+            return a, b
+        a, b = new_a, new_b

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mergelane.llm.arrow import steps
-from mergelane.llm.components import components
+from mergelane.llm.components import components, joined
 from mergelane.session import materialize
 
 # Vectors that the index is fitted to, at most about that many; it holds all others as well.
@@ -281,18 +281,6 @@ def _balls(placed: DataFrame, strip: int, threshold: float) -> tuple[DataFrame,
 # --- comparison ------------------------------------------------------------------------------------
 
 
-def _joined(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest uid that each row and column reaches through links."""
-    most = np.iinfo(np.int64).max
-    a, b = left.copy(), right.copy()
-    while True:
-        new_b = np.minimum(b, np.where(linked, a[:, None], most).min(axis=0, initial=most))
-        new_a = np.minimum(a, np.where(linked, new_b[None, :], most).min(axis=1, initial=most))
-        if (new_a == a).all() and (new_b == b).all():
-            return a, b
-        a, b = new_a, new_b
-
-
 def _tile(cell: int, left: dict, right: dict, threshold: float, inner: bool) -> tuple[list, list]:
     """Rows (uid, links, label) of what links in a tile, and pairs (uid, uid) that the members of a ball have to settle."""
     cosine = left["unit"] @ right["unit"].T
@@ -323,7 +311,7 @@ def _tile(cell: int, left: dict, right: dict, threshold: float, inner: bool) ->
     if not len(rows):
         return [], pairs
     some = linked[np.ix_(rows, cols)]
-    one, two = _joined(some, left["uid"][rows], right["uid"][cols])
+    one, two = joined(some, left["uid"][rows], right["uid"][cols])
     counts_one = some @ right["weight"][cols].astype(np.float64)
     counts_two = some.T @ left["weight"][rows].astype(np.float64)
     found = list(zip(left["uid"][rows].tolist(), counts_one.astype(np.int64).tolist(), one.tolist()))

@@ -15,9 +15,11 @@ frequency, so that those of one set only come first and make no candidates.
    short list are filtered by size and position, expanded to their members, and verified on the whole sets.
 4. In a long list every member meets one hub, the set that meets the most others over its lists, which leaves
    their symmetric difference. Sets that both link to the hub are joined already. For two others the
-   differences have to share half of one of them, so a second prefix join, over the differences,
-   finds and verifies the links that are left; a group of thousands of near copies is never expanded into
-   its pairs, and no link between different components is missed.
+   differences have to share half of one of them, so a prefix join over the differences finds them. Its short
+   lists are compared pair by pair, and a long one gets a hub of its own among those that do not link to the first, whose
+   differences are joined the same way. What is in a long list after a few levels, which takes copies around
+   many centres that overlap, is compared in tiles, which give a link or two a set. So a group of
+   thousands of near copies is never expanded into its pairs, and no link between different components is missed.
 
 Every step is a join or an aggregation that Spark splits; no task holds a list of candidates.
 """
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergelane.llm.arrow import byte_steps
+from mergelane.llm.components import components as connected_components
+from mergelane.llm.components import joined
 from mergelane.llm.shingles import BATCH_BYTES, set_digests, shingle_sets
-from mergelane.operators.clusters import connected_components
 from mergelane.session import materialize
 
 # The share of the token space over which frequencies are counted, as a multiple of a prefix' share of its set: first
@@ -43,6 +47,9 @@ from mergelane.session import materialize
 REGIONS = (1.6, 5.0)
 # Lists of a token with up to this many sets are compared pair by pair.
 SHORT_LIST = 16
+# Levels of hubs below the first, and sets of one side of a tile for what is left.
+LEVELS = 3
+STRIP = 1_024
 # Bits of the table that tells tasks which sets to bring for verification: at most 16 MB, whatever the input.
 MOST_BITS = 1 << 27
 
@@ -106,21 +113,26 @@ def shingled(docs: DataFrame, size: int, threshold: Fraction, id_col: str, text_
     return frame.mapInArrow(run, f"id {id_type}, sid long, n long, region long, tokens array<long>")
 
 
+def _of_several(postings: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that postings of more than one set have, and their number of postings as ``df``.
+
+    Counted in the map tasks first; what is joined to it may have keys of any skew, as Spark splits joins.
+    """
+    counts = postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"), F.min("sid").alias("low"), F.max("sid").alias("high"))
+    return counts.filter("low <> high").select(*keys, "df")
+
+
 def _postings(sets: DataFrame, threshold: Fraction, edge: int) -> DataFrame:
     """token, sid, n, at: the tokens of all prefixes that other prefixes have too, and their positions (from 1).
 
     `sets` has sid, n, region and tokens; a set may stand there more than once.
     """
-    token = Window.partitionBy("token")
-    # One row a set and token, so that a token of several rows is one that several sets have.
-    shared = (
-        sets.select("sid", F.explode("tokens").alias("token"))
-        .repartition("token")
-        .groupBy("token", "sid").agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("df", F.count(F.lit(1)).over(token))
-        .filter("df > 1")
-        .select("token", "sid", "df", (F.col("token") >= F.lit(edge)).alias("other"))
-    )
+    every = sets.select("sid", F.explode("tokens").alias("token"))
+    # The order of tokens goes by postings, those of repeated sets included; it is one for all sets.
+    shared = every.join(_of_several(every, ["token"]), "token").select(
+        "token", "sid", "df", (F.col("token") >= F.lit(edge)).alias("other")
+    )
+    shared = shared.repartition("sid").dropDuplicates(["sid", "token"])
     own = Window.partitionBy("sid")
     sizes = sets.groupBy("sid").agg(F.first("n").alias("n"), F.first("region").alias("region"), F.max(F.size("tokens")).alias("given"))
     placed = (
@@ -132,10 +144,10 @@ def _postings(sets: DataFrame, threshold: Fraction, edge: int) -> DataFrame:
     # Unshared tokens stand before the shared ones of their part, the region before the rest.
     lone = F.when(F.col("other"), F.col("given") - F.col("in_all")).otherwise(F.col("region") - F.col("in_region"))
     at = (F.col("rank") + lone).cast("long")
-    prefixes = placed.withColumn("at", at).filter(F.col("at") <= _prefix(F.col("n"), threshold))
+    prefixes = placed.withColumn("at", at).filter(F.col("at") <= _prefix(F.col("n"), threshold)).select("token", "sid", "n", "at")
+    prefixes = materialize(prefixes, "prefixes")
     # A token in one prefix only makes no candidates.
-    met = prefixes.select("token", "sid", "n", "at").withColumn("prefixes", F.count(F.lit(1)).over(token))
-    return met.filter("prefixes > 1").drop("prefixes")
+    return prefixes.join(_of_several(prefixes, ["token"]).select("token"), "token").select("token", "sid", "n", "at")
 
 
 def _of_region(sets: DataFrame, threshold: Fraction, edge: int) -> DataFrame:
@@ -163,7 +175,7 @@ def _lists(postings: DataFrame, groups: DataFrame) -> DataFrame:
     """token, gid, n, at, sets (members of the group), length (members of all groups of the token)."""
     sizes = groups.groupBy("gid").agg(F.count(F.lit(1)).alias("sets"))
     heads = postings.join(sizes, F.col("sid") == F.col("gid")).select("token", "gid", "n", "at", "sets")
-    return heads.withColumn("length", F.sum("sets").over(Window.partitionBy("token")))
+    return heads.join(heads.groupBy("token").agg(F.sum("sets").alias("length")), "token")
 
 
 def _short_pairs(lists: DataFrame, groups: DataFrame, threshold: Fraction) -> DataFrame:
@@ -193,34 +205,35 @@ def _hub_pairs(lists: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _differences(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """hub, sid, n, hub_n, linked, delta: the symmetric difference of each set and its hub."""
+    """hub, sid, n, hub_n, linked, part, delta: the symmetric difference of each set and its hub.
+
+    `pairs` has hub and sid, and the part (sets known to be connected) of both. A set that links to the hub is of the hub's.
+    """
     own = sets.select("sid", F.col("tokens").alias("x"))
     hub = sets.select(F.col("sid").alias("hub"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     linked = both * threshold.denominator >= (F.size("x") + F.size("y") - both) * threshold.numerator
-    return pairs.join(own, "sid").join(hub, "hub").select(
-        "hub", "sid", F.size("x").cast("long").alias("n"), F.size("y").cast("long").alias("hub_n"), linked.alias("linked"),
+    return pairs.join(own, "sid").join(hub, "hub").withColumn("linked", linked).select(
+        "hub", "sid", F.size("x").cast("long").alias("n"), F.size("y").cast("long").alias("hub_n"), "linked",
+        F.when(F.col("linked"), F.col("hub_part")).otherwise(F.col("part")).alias("part"),
         F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("delta"),
     )
 
 
-def _difference_links(stars: DataFrame, threshold: Fraction) -> DataFrame:
-    """src, dst: sets of one hub that link to each other though not both of them link to the hub.
+def _difference_postings(stars: DataFrame, threshold: Fraction) -> DataFrame:
+    """hub, token, sid, n, d, linked, part, at, rank, short: the prefixes of the differences, and the size of their lists.
 
     With the differences a, b of two sets from their hub, their own difference has |a| + |b| - 2 |a and b| tokens,
     which may be c (n_a + n_b) at most, with c = (1 - t) / (1 + t). Let set A not link to the hub, so that
-    |a| > c (n_a + n_hub). Then they share more than (|b| - c (n_b - n_hub)) / 2 tokens, and also
+    |a| > c (n_a + n_hub). Then they share more than (|b| - c (n_b - n_hub)) / 2 tokens (b's short prefix), and also
     |a| - c (n_a + n_b) of them, where n_b is at most n_a / t. Prefixes leave that many tokens less one out.
+    Lists whose sets all link to the hub, or are of one part, give nothing new and go.
     """
     c = (1 - threshold) / (1 + threshold)
-    sizes = stars.select("hub", "sid", "n", "hub_n", "linked", F.size("delta").alias("d")).filter("d > 0")
-    token = Window.partitionBy("hub", "token")
+    sizes = stars.select("hub", "sid", "n", "hub_n", "linked", "part", F.size("delta").alias("d")).filter("d > 0")
     own = Window.partitionBy("hub", "sid")
-    shared = (
-        stars.select("hub", "sid", F.explode("delta").alias("token"))
-        .withColumn("df", F.count(F.lit(1)).over(token))
-        .filter("df > 1")
-    )
+    every = stars.select("hub", "sid", F.explode("delta").alias("token"))
+    shared = every.join(_of_several(every, ["hub", "token"]), ["hub", "token"])
     placed = shared.join(sizes, ["hub", "sid"]).withColumns({
         "rank": F.row_number().over(own.orderBy("df", "token")), "all": F.count(F.lit(1)).over(own),
     })
@@ -232,8 +245,20 @@ def _difference_links(stars: DataFrame, threshold: Fraction) -> DataFrame:
     prefixed = placed.withColumns({
         "at": at, "short": at <= F.col("d") - half + 1, "long": at <= F.col("d") - rest + 1,
     }).filter("short OR (long AND NOT linked)")
-    off = prefixed.filter("NOT linked").alias("x")
-    any_ = prefixed.filter("short").alias("y")
+    prefixed = materialize(prefixed.drop("long", "all", "df", "hub_n"), "prefixed")
+    lists = prefixed.groupBy("hub", "token").agg(
+        F.count(F.lit(1)).alias("length"), F.min("part").alias("low"), F.max("part").alias("high"), F.every("linked").alias("all_linked")
+    )
+    open_ = lists.filter("low <> high AND NOT all_linked").select("hub", "token", "length")
+    return prefixed.join(open_, ["hub", "token"])
+
+
+def _short_difference_links(postings: DataFrame, stars: DataFrame, threshold: Fraction) -> DataFrame:
+    """src, dst: sets of different parts that meet in a short list of differences and link."""
+    c = (1 - threshold) / (1 + threshold)
+    short = postings.filter(F.col("length") <= SHORT_LIST)
+    off = short.filter("NOT linked").alias("x")
+    any_ = short.filter("short").alias("y")
     # For a pair, the number of tokens that both differences must have is known; its prefixes are as short as that
     # allows, and behind the shared token there have to be enough more. Unshared tokens are in no other set.
     need = F.expr(
@@ -241,7 +266,7 @@ def _difference_links(stars: DataFrame, threshold: Fraction) -> DataFrame:
     )
     after = F.least(F.col("x.d") - F.col("x.at"), F.col("y.d") - F.col("y.at"))
     meet = (
-        (F.col("x.hub") == F.col("y.hub")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.sid") != F.col("y.sid"))
+        (F.col("x.hub") == F.col("y.hub")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.part") != F.col("y.part"))
         & (F.col("y.linked") | (F.col("x.short") & (F.col("x.sid") < F.col("y.sid"))))
         & (F.col("x.at") <= F.col("x.d") - need + 1) & (F.col("y.at") <= F.col("y.d") - need + 1)
         & (F.least("x.rank", "y.rank") + after >= need)
@@ -257,6 +282,107 @@ def _difference_links(stars: DataFrame, threshold: Fraction) -> DataFrame:
     return known.filter(alike).select(F.greatest("p", "q").alias("src"), F.least("p", "q").alias("dst"))
 
 
+def _lower_stars(postings: DataFrame) -> DataFrame:
+    """hub, hub_part, sid, part: the sets of each long list of differences with a hub of that list.
+
+    The hub is one that does not link to the list's own, and of these the one that meets the most others over its long
+    lists there, so that few hubs cover the lists of a family.
+    """
+    long = postings.filter(F.col("length") > SHORT_LIST).select("hub", "token", "sid", "part", "linked", "d", "length")
+    weight = long.filter("NOT linked").groupBy("hub", "sid").agg(F.sum("length").alias("weight"))
+    places = long.filter("NOT linked").join(weight, ["hub", "sid"]).select(
+        "hub", "token", F.struct(-F.col("weight"), "d", "sid", "part").alias("place")
+    )
+    chosen = places.groupBy("hub", "token").agg(F.min("place").alias("least"))
+    members = long.join(chosen, ["hub", "token"]).select(
+        F.col("least.sid").alias("to"), F.col("least.part").alias("to_part"), "sid", "part"
+    ).filter("sid <> to")
+    # A set may come over several lists, with what is known of it there.
+    return members.groupBy(F.col("to").alias("hub"), "sid").agg(F.min("to_part").alias("hub_part"), F.min("part").alias("part"))
+
+
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of `a` has in common with each of `b`."""
+    tokens, place = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    size = np.array([len(x) for x in [*a, *b]])
+    owner = np.repeat(np.arange(len(size)), size)
+    first = owner < len(a)
+    wanted = np.flatnonzero(np.bincount(place[first], minlength=len(tokens)) * np.bincount(place[~first], minlength=len(tokens)))
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    for start in range(0, len(wanted), 4096):
+        some = np.full(len(tokens), -1)
+        some[wanted[start : start + 4096]] = np.arange(len(wanted[start : start + 4096]))
+        held = some[place]
+        sides = []
+        for mine, n, less in ((first, len(a), 0), (~first, len(b), len(a))):
+            at = np.flatnonzero(mine & (held >= 0))
+            side = np.zeros((n, 4096), dtype=np.float32)
+            side[owner[at] - less, held[at]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _tile_links(postings: DataFrame, stars: DataFrame, threshold: Fraction) -> DataFrame:
+    """src, dst: what connects the sets of each long list, from those that do not link to its hub to all of it.
+
+    The sets of a list are dealt to strips by a hash, and each strip of the ones off the hub meets each strip of the list in a tile.
+    """
+    long = postings.filter(F.col("length") > SHORT_LIST)
+    off = F.count(F.when(~F.col("linked"), 1))
+    counts = long.groupBy("hub", "token").agg(
+        F.ceil(off / STRIP).alias("high"), F.ceil(F.count(F.lit(1)) / STRIP).alias("wide")
+    )
+    tile = lambda r, c, left: F.struct(r.alias("r"), c.alias("c"), F.lit(left).alias("left"))
+    deal = F.xxhash64("sid")
+    row, col = F.pmod(deal, F.col("high")), F.pmod(deal, F.col("wide"))
+    across = F.transform(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1), lambda c: tile(row, c, True))
+    down = F.transform(F.sequence(F.lit(0).cast("long"), F.col("high") - 1), lambda r: tile(r, col, False))
+    places = F.when(F.col("linked"), down).otherwise(F.concat(across, down))
+    held = long.select("hub", "token", "sid", "linked", "part", "n").join(counts, ["hub", "token"])
+    dealt = held.select("hub", "token", "sid", "part", "n", F.explode(places).alias("t")).select("hub", "token", "sid", "part", "n", "t.*")
+    dealt = dealt.join(stars.select("hub", "sid", "delta"), ["hub", "sid"])
+
+    def run(table: pa.Table) -> pa.Table:
+        left = table.column("left").to_numpy()
+        sid, part, n = (table.column(c).to_numpy() for c in ("sid", "part", "n"))
+        delta = table.column("delta").combine_chunks()
+        ends, values = delta.offsets.to_numpy(), delta.values.to_numpy()
+        one, two = np.flatnonzero(left), np.flatnonzero(~left)
+        src, dst = [], []
+        if len(one) and len(two):
+            sets = [values[ends[i] : ends[i + 1]] for i in range(len(sid))]
+            size = np.diff(ends).astype(np.int64)
+            apart = size[one][:, None] + size[two][None, :] - 2 * _overlaps([sets[i] for i in one], [sets[i] for i in two])
+            total = n[one][:, None] + n[two][None, :]
+            alike = (total - apart) * threshold.denominator >= (total + apart) * threshold.numerator
+            alike &= part[one][:, None] != part[two][None, :]
+            for mine, label in zip((one, two), joined(alike, sid[one], sid[two])):
+                new = label != sid[mine]
+                src += sid[mine][new].tolist()
+                dst += label[new].tolist()
+        return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
+
+    return dealt.groupBy("hub", "token", "r", "c").applyInArrow(run, "src long, dst long")
+
+
+def _star_links(stars: DataFrame, whole: DataFrame, threshold: Fraction) -> DataFrame:
+    """src, dst: what links in the stars of all long lists: one link a member and level, those of short lists, and of tiles."""
+    found = []
+    for level in range(LEVELS + 1):
+        own = stars.filter("linked").select(F.greatest("sid", "hub").alias("src"), F.least("sid", "hub").alias("dst"))
+        postings = materialize(_difference_postings(stars, threshold), "differences")
+        links = own.unionByName(_short_difference_links(postings, stars, threshold))
+        if level == LEVELS:
+            links = links.unionByName(_tile_links(postings, stars, threshold))
+        found.append(materialize(links.distinct(), "found"))
+        below = materialize(_lower_stars(postings), "below") if level < LEVELS else None
+        if below is None or below.isEmpty():
+            break
+        stars = materialize(_differences(below, whole, threshold), "stars")
+    return reduce(DataFrame.unionByName, found)
+
+
 def _bit_table(sids: DataFrame) -> np.ndarray:
     """Bits that are set for all `sids`, 8 or more a sid up to MOST_BITS; more sids then share bits."""
     bits = 1 << 16
@@ -330,10 +456,9 @@ def components(
     postings = materialize(_postings(_of_region(whole, threshold, second), threshold, second), "postings")
     groups = materialize(_grouped(postings, threshold), "groups")
     lists = materialize(_lists(postings, groups), "lists")
-    stars = materialize(_differences(_hub_pairs(lists, groups), whole, threshold), "stars")
-    of_hub = stars.filter("linked").select(F.greatest("sid", "hub").alias("src"), F.least("sid", "hub").alias("dst"))
-    links = _links(_short_pairs(lists, groups, threshold), whole, threshold).unionByName(of_hub)
-    links = links.unionByName(_difference_links(stars, threshold)).distinct()
+    first_stars = _hub_pairs(lists, groups).withColumns({"hub_part": F.col("hub"), "part": F.col("sid")})
+    stars = materialize(_differences(first_stars, whole, threshold), "stars")
+    links = _links(_short_pairs(lists, groups, threshold), whole, threshold).unionByName(_star_links(stars, whole, threshold))
     labels = connected_components(links)
     parts = labels.select(F.col("node").alias("sid"), "label")
     rows = base.select("id", "sid", "n").join(parts, "sid", "left").withColumn("part", F.coalesce("label", "sid"))

@@ -68,6 +68,28 @@ def test_copies_around_the_threshold(spark, monkeypatch, short_list, threshold):
     agree(spark, rows, 3, threshold)
 
 
+def test_links_grow_with_the_members(spark, monkeypatch):
+    """Near copies that mostly do not link to their hub: a link or so a member at any size, not one a pair."""
+    made = []
+    real = ngram_join._star_links
+    monkeypatch.setattr(ngram_join, "_star_links", lambda *a: made.append(real(*a)) or made[-1])
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    spots = [(rng.randrange(120), f"e{k}") for k in range(30)]
+    counts = []
+    for n in (100, 300):
+        rows = []
+        for k in range(n):
+            words = list(base)
+            for at, word in rng.sample(spots, rng.randrange(1, 5)):
+                words[at] = word
+            words[rng.randrange(120)] = f"own{k}"
+            rows.append((k, " ".join(words)))
+        agree(spark, rows, 3, Fraction(9, 10))
+        counts.append(made[-1].count() / n)
+    assert max(counts) < 4, counts
+
+
 def test_edges(spark):
     rows = [
         (1, None), (2, ""), (3, " \n\t "), (4, "One"), (5, "one"), (6, "one two"), (7, "ONE  two"), (8, "one two three"),

@@ -224,3 +224,45 @@ def union_conform(t: Tables) -> DataFrame:
     customers = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), "c_mktsegment")
     suppliers = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance"))
     return mapping.union_conform(t.spark, [customers, suppliers], "id string, name string, balance double")
+
+
+@query("""
+SELECT 'row' AS kind, c_custkey AS "key", CASE WHEN c_custkey % 2 = 0 THEN c_name END AS "name",
+       CASE WHEN c_custkey % 2 = 1 THEN c_acctbal END AS balance FROM customer
+UNION ALL SELECT 'view', c_nationkey, CAST(count(*) AS VARCHAR), CAST(count(*) FILTER (c_custkey % 2 = 1) AS DOUBLE) FROM customer GROUP BY ALL
+UNION ALL SELECT 'table', 0, * FROM (VALUES ('even: customers of even number; key: number', 2.0), ('new: ; ', 0.0), ('odd: ; ', 1.0))
+""")
+def table_catalog(t: Tables) -> DataFrame:
+    """Tables made, appended, upserted, described and found again; read by name, as one, and through a view."""
+    spark, name = t.spark, f"catalog_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    cols = [F.col("c_custkey").cast("long").alias("key"), F.col("c_nationkey").cast("int").alias("nation")]
+    even = t.customer.filter("c_custkey % 2 = 0").select(*cols, F.col("c_name").alias("name"))
+    odd = t.customer.filter("c_custkey % 2 = 1").select(*cols, F.col("c_acctbal").alias("balance"))
+    tables.write_table(tables.with_comments(even.filter("nation < 12").withColumn("name", F.lit("old")), {"key": "number"}), f"{name}.even")
+    tables.describe_table(spark, f"{name}.even", "customers of even number")
+    tables.write_table(even.filter("nation >= 12"), f"{name}.even", mode="append")
+    tables.upsert_table(f"{name}.even", even.filter("nation < 12"), ["key"], ["name"])
+    tables.write_table(odd, f"{name}.odd")
+    tables.ensure_table(spark, f"{name}.new", "key long, extra string")
+    found = tables.list_tables(spark, name)
+    both, missing = tables.union_tables(spark, [*found, f"{name}.none"])
+    if missing != [f"{name}.none"]:
+        raise AssertionError(f"tables not found: {missing}")
+    tables.register_view(both, f"{name}_all")
+    counted = spark.sql(f"SELECT nation, count(*) AS n, count(balance) AS odd FROM {name}_all GROUP BY nation")
+    listed = []
+    for table in found:
+        rows, short = spark.table(table), table.rsplit(".", 1)[1]
+        about = [c.description for c in spark.catalog.listColumns(table) if c.description]
+        texts = f"{short}: {spark.catalog.getTable(table).description or ''}; {''.join(f'key: {x}' for x in about)}"
+        # 2 for a table of even keys, 1 for one of odd keys, 0 for an empty one.
+        kinds = rows.agg(F.max(F.when(F.col("key") % 2 == 0, 2.0).otherwise(1.0))).first()[0] or 0.0
+        listed.append((texts, kinds))
+    described = spark.createDataFrame(listed, "name string, balance double")
+    rows = both.select(F.lit("row").alias("kind"), "key", "name", "balance")
+    views = counted.select(
+        F.lit("view").alias("kind"), F.col("nation").cast("long").alias("key"), F.col("n").cast("string").alias("name"),
+        F.col("odd").cast("double").alias("balance"),
+    )
+    return rows.unionByName(views).unionByName(described.select(F.lit("table").alias("kind"), F.lit(0).cast("long").alias("key"), "name", "balance"))

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mergelane.checks.registry import Tables, query
-from mergelane.operators import clusters, enrichment, matching, ranking, upsert
+from mergelane.operators import clusters, enrichment, matching, ranking, requests, upsert
 from mergelane.operators.matching import ExactRule, FuzzyRule, Ids, Pair
 from mergelane.plans import customers as identity
 from mergelane.plans import views
+from mergelane.session import materialize, shared_folder
+from mergelane.sources import buckets
 
 # --- exact -----------------------------------------------------------------------------------------
 
@@ -342,6 +346,48 @@ def enrich(t: Tables) -> DataFrame:
     return enrichment.enrich(_payloads(t), _digest_provider, _ANSWER, _NOW).select("c_custkey", "place_id", "browser_url")
 
 
+def _digit(payload: str) -> str:
+    return hashlib.md5(payload.encode()).hexdigest()[0]
+
+
+def _failing_provider(questions: pd.DataFrame) -> pd.DataFrame:
+    """Fails as soon as it is asked for a payload whose digest begins with 0."""
+    if any(_digit(p) == "0" for p in questions["payload_string"]):
+        raise ConnectionError("timed out")
+    return _digest_provider(questions)
+
+
+_LATER = datetime(2024, 5, 18, 9, 0)
+
+
+@query(f"""
+WITH {_PAYLOADS_SQL}, p AS (SELECT DISTINCT payload_string, md5(payload_string) AS digest FROM payloads)
+SELECT payload_string, CAST(1 AS INTEGER) AS attempt, CASE WHEN digest[1] = '0' THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN digest[1] = '0' THEN 'ConnectionError: timed out' END AS error, DATE '2024-05-17' AS day,
+       CASE WHEN digest[1] <> '0' THEN digest END AS place_id
+FROM p
+UNION ALL SELECT payload_string, 2, 'ok', NULL, DATE '2024-05-18', digest FROM p WHERE digest[1] = '0'
+""")
+def request_log(t: Tables) -> DataFrame:
+    """A provider that fails for some payloads, in three portions; the next run asks those and no others."""
+    path, answer = f"{shared_folder(t.spark)}/requests-{uuid.uuid4().hex}", T.StructType.fromDDL(_ANSWER)
+    asked = _payloads(t)
+    third = -(-asked.count() // 3)
+    requests.ask_open(asked, _failing_provider, answer, path, _NOW, portion=third)
+    requests.ask_open(asked, _digest_provider, answer, path, _LATER)
+    log = requests.read_log(t.spark, path, answer)
+    return log.select("payload_string", "attempt", "status", "error", F.to_date("asked_at").alias("day"), "place_id")
+
+
+@query(f"""
+WITH {_PAYLOADS_SQL}
+SELECT c_custkey, CASE WHEN md5(payload_string)[1] <> '0' THEN md5(payload_string) END AS place_id FROM payloads
+""")
+def enrich_with_failures(t: Tables) -> DataFrame:
+    """What a provider answers is kept although it fails for other payloads."""
+    return enrichment.enrich(_payloads(t), _failing_provider, _ANSWER, _NOW).select("c_custkey", "place_id")
+
+
 @query(f"""
 WITH {_PAYLOADS_SQL}
 SELECT c_name AS business_partner_name, payload_string AS payload, 'addressvalidation' AS api_name,
@@ -387,6 +433,29 @@ def merge_upsert(t: Tables) -> DataFrame:
     return upsert.merge_upsert(target, changed, ["o_orderkey"], ["o_totalprice"])
 
 
+@query("""
+WITH one AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 7 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+  FROM orders WHERE o_custkey % 5 <> 0 OR o_custkey % 7 = 1
+)
+SELECT o_orderkey, CASE WHEN o_custkey % 5 <> 0 THEN o_custkey END AS o_custkey,
+       CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM orders WHERE o_custkey % 5 <> 0) THEN 0 ELSE o_totalprice END AS o_totalprice
+FROM one
+""")
+def bucketed_upsert(t: Tables) -> DataFrame:
+    """Two rounds into a table in buckets: many orders, some of them new, then a single one."""
+    path = f"{shared_folder(t.spark)}/buckets-{uuid.uuid4().hex}"
+    first = t.orders.filter("o_custkey % 5 <> 0").select("o_orderkey", "o_custkey", "o_totalprice")
+    buckets.create_buckets(first, path, ["o_orderkey"], buckets=8)
+    changed = t.orders.filter("o_custkey % 7 = 1").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    buckets.upsert_buckets(path, materialize(changed, "changed"), ["o_totalprice"])
+    least = first.agg(F.min("o_orderkey").alias("o_orderkey"), F.lit(0.0).alias("o_totalprice"))
+    rewritten = buckets.upsert_buckets(path, materialize(least, "least"), ["o_totalprice"])
+    if len(rewritten) != 1:
+        raise AssertionError(f"one key lies in one bucket, not in {rewritten}")
+    return buckets.read_buckets(t.spark, path)
+
+
 # --- the customer identity flow --------------------------------------------------------------------
 
 

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mergelane.functions.dates import since_month_start
 from mergelane.functions.text import as_column, mask_query_param
+from mergelane.operators import requests
 from mergelane.operators.lookups import lookup
 from mergelane.operators.upsert import merge_upsert
-from mergelane.session import materialize
+from mergelane.session import shared_folder
 
 # The table of answers.
 CACHE_SCHEMA = (
@@ -101,28 +103,34 @@ def select_for_enrichment(
     return with_answer.filter(open_rows).drop("__cached").orderBy(*order).limit(left)
 
 
-def enrich(df: DataFrame, provider: Provider, schema: str, now: datetime, tasks: int | None = None) -> DataFrame:
+def enrich(
+    df: DataFrame, provider: Provider, schema: str, now: datetime, tasks: int | None = None, log: str | None = None
+) -> DataFrame:
     """`df` with the answers of `provider`: the columns of `schema` plus ``api_execution_timestamp``.
 
-    Every distinct (api_name, payload_string) is asked once, in batches, by `tasks` tasks at a time
-    (Spark's choice if unset). The answers are written to the shared folder at once, so that whatever
-    reads the result, however often, asks nobody again. Columns of the same names are replaced.
+    Every distinct (api_name, payload_string) without an answer in the log of requests is asked once, in batches, by
+    `tasks` tasks at a time (Spark's choice if unset). What comes back is appended to the log at once, failures
+    too, so that whatever reads the result, however often, asks nobody again, and a provider that fails for one key loses
+    no other answer: that key's are null. `log` is the folder of the log, which later calls go on with; without it
+    the log is one in the shared folder for this call alone. Columns of the same names are replaced.
     """
     answer = T.StructType.fromDDL(schema)
-    keys = ["api_name", "payload_string"]
-    asked = T.StructType([T.StructField(k, T.StringType()) for k in keys] + answer.fields)
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not batch.empty:
-                yield provider(batch)[asked.names]
-
-    questions = df.select(*keys).distinct()
-    if tasks:
-        questions = questions.repartition(tasks, *keys)
-    answers = materialize(questions.mapInPandas(ask, asked), "answers").withColumn("api_execution_timestamp", F.lit(now))
+    path = log or f"{shared_folder(df.sparkSession)}/requests-{uuid.uuid4().hex}"
+    requests.ask_open(df, provider, answer, path, now, tasks)
+    found = read_answers(df.sparkSession, path, answer)
     cols = [*answer.names, "api_execution_timestamp"]
-    return lookup(df.drop(*cols), answers, keys, cols)
+    return lookup(df.drop(*cols), found, requests.KEYS, cols, null_safe=True)
+
+
+def read_answers(spark: SparkSession, path: str, answer: T.StructType) -> DataFrame:
+    """One row for each key of a log of requests: its answer, or nulls, and when it was given, or asked for in vain."""
+    log = requests.read_log(spark, path, answer)
+    given = requests.answers(log).select(*requests.KEYS, *answer.names, F.col("asked_at").alias("api_execution_timestamp"))
+    vain = requests.failures(log).select(
+        *requests.KEYS, *[F.lit(None).cast(f.dataType).alias(f.name) for f in answer.fields],
+        F.col("asked_at").alias("api_execution_timestamp"),
+    )
+    return given.unionByName(vain)
 
 
 def cache_rows(enriched: DataFrame, url_param: str = "key") -> DataFrame:

@@ -30,16 +30,18 @@ def enrichment_round(
     order: Sequence[Column | str],
     retry: bool = True,
     tasks: int | None = None,
+    log: str | None = None,
 ) -> DataFrame:
     """`rows` with place id and url as cached after this round.
 
     The first rows, by `order`, whose payload has no cached answer are asked, as many as the month's
     `budget` still allows; their answers are upserted into `cache_table`, which is created if need be.
-    A round after a stop asks only what the table does not hold. `rows` need the columns of a
+    A round after a stop asks only what the table does not hold, and with `log`, a folder for the log of requests, nothing
+    that was answered before the stop. `rows` need the columns of a
     customer and of `address_payload`.
     """
     cache = ensure_table(rows.sparkSession, cache_table, CACHE_SCHEMA)
     asked = select_for_enrichment(rows, cache, budget, now, order, retry)
-    answers = cache_rows(enrich(asked, provider, schema, now, tasks))
+    answers = cache_rows(enrich(asked, provider, schema, now, tasks, log))
     after = upsert_table(cache_table, answers, CACHE_KEYS, CACHE_VALUES)
     return attach_cached(rows, after)

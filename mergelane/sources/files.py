@@ -16,16 +16,6 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """`df` spread over all cores when its files split into fewer tasks than that; else unchanged.
-
-    For CPU-heavy work on few unsplittable files (one row group, gzip). Large inputs have more splits
-    than the cluster has cores and pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """CSV with a header. Without `schema` the types are inferred, which reads the files twice."""
     reader = spark.read.option("header", True)

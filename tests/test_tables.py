@@ -1,0 +1,168 @@
+"""Versions that keep a table's definition, tables in buckets, and the log of requests."""
+
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from mergelane.operators import enrichment, requests
+from mergelane.sources import buckets, tables
+
+NOW = datetime(2024, 5, 17, 10, 0)
+
+
+def test_upsert_keeps_description_comments_properties_and_partitions(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    name = "kept.t"
+    rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, p string")
+    tables.with_comments(rows, {"v": "the 'value'", "k": "key"}).write.partitionBy("p").saveAsTable(name)
+    spark.sql(f"COMMENT ON TABLE {name} IS 'a table'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('owner.team' = 'it''s us')".replace("''s", "\\'s"))
+    out = tables.upsert_table(name, spark.createDataFrame([(2, "B", "z"), (3, "c", "z")], "k int, v string, p string"), ["k"], ["v"])
+    assert sorted(tuple(r) for r in out.select("k", "v", "p").collect()) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
+    columns = {c.name: (c.description, c.isPartition) for c in spark.catalog.listColumns(name)}
+    assert columns == {"k": ("key", False), "v": ("the 'value'", False), "p": (None, True)}
+    assert spark.catalog.getTable(name).description == "a table"
+    assert ("owner.team", "it's us") in [tuple(r) for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()]
+    before = {f for f in spark.table(name).inputFiles() if "p=x" in f}
+    tables.upsert_table(name, spark.createDataFrame([(3, "C"), (9, "no partition")], "k int, v string"), ["k"], ["v"])
+    assert before == {f for f in spark.table(name).inputFiles() if "p=x" in f}, "an untouched partition keeps its files"
+    rows = [(1, "a", "x"), (2, "B", "y"), (3, "C", "z"), (9, "no partition", None)]
+    assert sorted(tuple(r) for r in spark.table(name).select("k", "v", "p").collect()) == rows
+    with pytest.raises(ValueError):
+        tables.upsert_table(name, spark.createDataFrame([(3, "q")], "k int, p string"), ["k"], ["p"])
+    tables.write_version(spark.table(name).filter("k < 3"), name)
+    assert sorted(r.k for r in spark.table(name).collect()) == [1, 2]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_upsert_keeps_the_definition_of_a_plain_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    name = "kept.plain"
+    tables.write_table(tables.with_comments(spark.createDataFrame([(1, "a")], "k int, v string"), {"v": "value"}), name)
+    tables.describe_table(spark, name, "plain", {"k": "it's the key"})
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('team' = 'us')")
+    assert tables.upsert_table(name, spark.createDataFrame([(1, "b")], "k int, v string"), ["k"], ["v"]).collect() == [(1, "b")]
+    assert {c.name: c.description for c in spark.catalog.listColumns(name)} == {"k": "it's the key", "v": "value"}
+    assert spark.catalog.getTable(name).description == "plain"
+    assert ("team", "us") in [tuple(r) for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def _files(path):
+    return {str(f) for f in Path(path, "data").rglob("*.parquet")}
+
+
+def test_buckets_leave_untouched_files_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, f"v{i}", i % 3) for i in range(200)] + [(None, "no key", 0)]
+    buckets.create_buckets(spark.createDataFrame(rows, "k int, v string, bucket int"), path, ["k"], buckets=8)
+    before = _files(path)
+    touched = buckets.upsert_buckets(path, spark.createDataFrame([(7, "new")], "k int, v string"), ["v"])
+    assert len(touched) == 1 and before <= _files(path)
+    assert {f.split("bucket=")[1].split("/")[0] for f in _files(path) - before} == {str(touched[0])}
+    expected = {(i, "new" if i == 7 else v, b) for i, v, b in rows}
+    found = [tuple(r) for r in buckets.read_buckets(spark, path).collect()]
+    assert set(found) == expected and len(found) == len(rows)
+    more = spark.createDataFrame([(900, "in"), (None, "again"), (7, "newer")], "k int, v string")
+    buckets.upsert_buckets(path, more, ["v"])
+    found = {tuple(r) for r in buckets.read_buckets(spark, path).collect()}
+    assert found == (expected - {(7, "new", 1)}) | {(7, "newer", 1), (900, "in", None), (None, "again", None)}
+    assert buckets.upsert_buckets(path, more.limit(0), ["v"]) == []
+
+
+def test_buckets_survive_a_stop_at_any_step(spark, tmp_path, monkeypatch):
+    """Without its commit an upsert has not happened, whatever it had written; the next one goes on from the old rows."""
+    path = str(tmp_path / "t")
+    old = [(i, "old") for i in range(20)]
+    buckets.create_buckets(spark.createDataFrame(old, "k int, v string"), path, ["k"], buckets=4)
+    changes = spark.createDataFrame([(3, "new"), (50, "new")], "k int, v string")
+
+    def stop(*_):
+        raise InterruptedError
+
+    for step in ("_write", "_commit"):
+        with monkeypatch.context() as patched:
+            patched.setattr(buckets, step, stop)
+            with pytest.raises(InterruptedError):
+                buckets.upsert_buckets(path, changes, ["v"])
+        assert sorted(tuple(r) for r in buckets.read_buckets(spark, path).collect()) == old
+    buckets.upsert_buckets(path, changes, ["v"])
+    new = sorted([(k, "new" if k == 3 else v) for k, v in old] + [(50, "new")])
+    assert sorted(tuple(r) for r in buckets.read_buckets(spark, path).collect()) == new
+    with pytest.raises(ValueError):
+        buckets.read_buckets(spark, str(tmp_path / "none"))
+    with monkeypatch.context() as patched:  # another writer that saw the same newest commit
+        seen = buckets._newest(spark, path)
+        buckets.upsert_buckets(path, changes, ["v"])
+        patched.setattr(buckets, "_newest", lambda *_: seen)
+        buckets.upsert_buckets(path, changes, ["v"])
+    with pytest.raises(RuntimeError, match="same time"):
+        buckets.read_buckets(spark, path)
+
+
+ANSWER = T.StructType([T.StructField("place_id", T.StringType())])
+
+
+def _questions(spark, n):
+    return spark.range(n).select(F.lit("geo").alias("api_name"), F.concat(F.lit("q"), "id").alias("payload_string"))
+
+
+def _provider(path, bad=()):
+    def ask(batch):
+        asked = list(batch["payload_string"])
+        with open(path, "a") as f:
+            f.write(",".join(map(str, asked)) + "\n")
+        if set(asked) & set(bad):
+            raise TimeoutError("no answer")
+        return batch.assign(place_id=["p" + str(q) for q in asked])
+
+    return ask
+
+
+def test_one_bad_key_costs_its_own_answer_only(spark, tmp_path):
+    log, calls = str(tmp_path / "log"), tmp_path / "calls"
+    asked = _questions(spark, 12).coalesce(1)
+    requests.ask_open(asked.unionAll(asked), _provider(calls, ["q7"]), ANSWER, log, NOW, tasks=1)
+    rows = requests.read_log(spark, log, ANSWER)
+    assert rows.filter("status = 'ok'").count() == 11 and requests.answers(rows).count() == 11
+    assert [tuple(r) for r in requests.failures(rows).collect()] == [("geo", "q7", 1, "TimeoutError: no answer", NOW)]
+    calls.write_text("")
+    requests.ask_open(asked, _provider(calls), ANSWER, log, NOW)
+    assert calls.read_text().split() == ["q7"], "a second run asks what is open"
+    rows = requests.read_log(spark, log, ANSWER)
+    assert requests.failures(rows).isEmpty() and rows.filter("attempt = 2").count() == 1
+    calls.write_text("")
+    requests.ask_open(asked, _provider(calls), ANSWER, log, NOW)
+    assert calls.read_text() == ""
+
+
+def test_a_stop_loses_one_portion_at_most(spark, tmp_path):
+    log, calls = str(tmp_path / "log"), tmp_path / "calls"
+    asked, answer = _questions(spark, 40), _provider(calls)
+
+    def provider(batch):
+        if Path(log).exists() and list(Path(log).glob("*.parquet")):
+            raise SystemExit("gone")  # the second portion finds the machine gone
+        return answer(batch)
+
+    with pytest.raises(Exception):  # noqa: B017
+        requests.ask_open(asked, provider, ANSWER, log, NOW, portion=10)
+    done = requests.answers(requests.read_log(spark, log, ANSWER)).count()
+    assert 0 < done < 40
+    calls.write_text("")
+    requests.ask_open(asked, _provider(calls), ANSWER, log, NOW, portion=10)
+    again = [q for line in calls.read_text().split() for q in line.split(",")]
+    assert len(again) == 40 - done and requests.answers(requests.read_log(spark, log, ANSWER)).count() == 40
+
+
+def test_enrich_keeps_what_was_answered(spark, tmp_path):
+    asked = _questions(spark, 12).unionAll(spark.createDataFrame([("geo", None)], "api_name string, payload_string string"))
+    out = enrichment.enrich(asked, _provider(tmp_path / "calls", ["q3"]), "place_id string", NOW, log=str(tmp_path / "log"))
+    found = {r.payload_string: (r.place_id, r.api_execution_timestamp) for r in out.collect()}
+    assert found.pop("q3") == (None, NOW) and found.pop(None) == ("pNone", NOW)
+    assert found == {f"q{i}": (f"pq{i}", NOW) for i in range(12) if i != 3}
+    empty = enrichment.enrich(asked.limit(0), _provider(tmp_path / "calls"), "place_id string", NOW)
+    assert empty.count() == 0

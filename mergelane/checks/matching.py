@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mergelane.checks.registry import Tables, query
-from mergelane.operators import clusters, enrichment, matching, ranking, requests, upsert
+from mergelane.operators import candidates, clusters, enrichment, matching, ranking, requests, upsert
 from mergelane.operators.matching import ExactRule, FuzzyRule, Ids, Pair
 from mergelane.plans import customers as identity
 from mergelane.plans import views
@@ -143,6 +143,21 @@ def match_fuzzy_one_block(t: Tables) -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("pairs"), F.sum(keys).alias("keys"))
 
 
+@query("""
+SELECT a.p_partkey AS part, b.p_partkey AS other, levenshtein(a.p_name, b.p_name) AS edits
+FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey
+     AND levenshtein(a.p_name, b.p_name) <= 0.3 * greatest(length(a.p_name), length(b.p_name))
+""")
+def fuzzy_candidates(t: Tables) -> DataFrame:
+    """Parts of a brand with names alike, found over the rare grams that they share."""
+    parts = t.part.select("p_partkey", "p_brand", "p_name")
+    edits = F.levenshtein("a_p_name", "b_p_name")
+    alike = edits <= F.lit(0.3) * F.greatest(F.length("a_p_name"), F.length("b_p_name"))
+    test = (F.col("a_p_partkey") < F.col("b_p_partkey")) & alike
+    found = candidates.close_pairs(parts, parts, ["p_brand"], test, ["p_name"], bound=0.7, tile=1)
+    return found.select(F.col("a_p_partkey").alias("part"), F.col("b_p_partkey").alias("other"), edits.cast("long").alias("edits"))
+
+
 @query(f"WITH {_SIMILAR_SQL} SELECT p_partkey, similar_part, score FROM part LEFT JOIN best ON p_partkey = source_id")
 def match_fuzzy_best(t: Tables) -> DataFrame:
     parts = _parts(t)

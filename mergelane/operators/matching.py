@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mergelane.operators.candidates import similar_pairs
+from mergelane.operators.candidates import close_pairs
 from mergelane.operators.lookups import join_all, lookup
 from mergelane.operators.ranking import top_n
 from mergelane.session import materialize
@@ -208,7 +208,9 @@ def _similar_values(a: DataFrame, b: DataFrame, rule: FuzzyRule, mirrored: bool)
         left, right = (F.struct(*[F.col(s + t) for t in texts]) for s in ("a_", "b_"))
         test = (left <= right) & test
     block = [v for v in values if v.startswith("__b")]
-    pairs = similar_pairs(a, b, block, test)
+    # If all fields are less similar than this, their weighted sum stays below the score.
+    bound = rule.min_score / sum(p.weight for p in rule.fuzzy)
+    pairs = close_pairs(a, b, block, test, texts, bound)
     similarities = F.array(*[_similarity(F.col("a_" + t), F.col("b_" + t)) for t in texts])
     pairs = pairs.withColumns({"__score": score, "__similarities": similarities})
     if not mirrored:

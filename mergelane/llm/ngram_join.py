@@ -16,9 +16,8 @@ frequency, so that those of one set only come first and make no candidates.
 4. In a long list every member meets one hub, the set that meets the most others over its lists, which leaves
    their symmetric difference. Sets that both link to the hub are joined already. For two others the
    differences have to share half of one of them, so a prefix join over the differences finds them. Its short
-   lists are compared pair by pair, and a long one gets a hub of its own among those that do not link to the first, whose
-   differences are joined the same way. What is in a long list after a few levels, which takes copies around
-   many centres that overlap, is compared in tiles, which give a link or two a set. So a group of
+   lists are compared pair by pair, long ones in tiles of bounded size, which give a link or two a set: those that do not
+   link to the hub against all of the list. So a group of
    thousands of near copies is never expanded into its pairs, and no link between different components is missed.
 
 Every step is a join or an aggregation that Spark splits; no task holds a list of candidates.
@@ -28,7 +27,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +45,7 @@ from mergelane.session import materialize
 REGIONS = (1.6, 5.0)
 # Lists of a token with up to this many sets are compared pair by pair.
 SHORT_LIST = 16
-# Levels of hubs below the first, and sets of one side of a tile for what is left.
-LEVELS = 3
+# Sets of one side of a tile in which long lists of differences are compared.
 STRIP = 1_024
 # Bits of the table that tells tasks which sets to bring for verification: at most 16 MB, whatever the input.
 MOST_BITS = 1 << 27
@@ -207,7 +204,7 @@ def _hub_pairs(lists: DataFrame, groups: DataFrame) -> DataFrame:
 def _differences(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
     """hub, sid, n, hub_n, linked, part, delta: the symmetric difference of each set and its hub.
 
-    `pairs` has hub and sid, and the part (sets known to be connected) of both. A set that links to the hub is of the hub's.
+    A set that links to the hub is of the hub's part (sets known to be connected), others are one of their own.
     """
     own = sets.select("sid", F.col("tokens").alias("x"))
     hub = sets.select(F.col("sid").alias("hub"), F.col("tokens").alias("y"))
@@ -215,7 +212,7 @@ def _differences(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> Data
     linked = both * threshold.denominator >= (F.size("x") + F.size("y") - both) * threshold.numerator
     return pairs.join(own, "sid").join(hub, "hub").withColumn("linked", linked).select(
         "hub", "sid", F.size("x").cast("long").alias("n"), F.size("y").cast("long").alias("hub_n"), "linked",
-        F.when(F.col("linked"), F.col("hub_part")).otherwise(F.col("part")).alias("part"),
+        F.when(F.col("linked"), F.col("hub")).otherwise(F.col("sid")).alias("part"),
         F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("delta"),
     )
 
@@ -227,13 +224,17 @@ def _difference_postings(stars: DataFrame, threshold: Fraction) -> DataFrame:
     which may be c (n_a + n_b) at most, with c = (1 - t) / (1 + t). Let set A not link to the hub, so that
     |a| > c (n_a + n_hub). Then they share more than (|b| - c (n_b - n_hub)) / 2 tokens (b's short prefix), and also
     |a| - c (n_a + n_b) of them, where n_b is at most n_a / t. Prefixes leave that many tokens less one out.
-    Lists whose sets all link to the hub, or are of one part, give nothing new and go.
+    Lists whose sets all link to the hub give nothing new: tokens that no set off the hub has stand before all others, with
+    those of one set, and need no rows.
     """
     c = (1 - threshold) / (1 + threshold)
-    sizes = stars.select("hub", "sid", "n", "hub_n", "linked", "part", F.size("delta").alias("d")).filter("d > 0")
+    open_hubs = stars.filter("NOT linked").select("hub").distinct()
+    some = stars.join(open_hubs, "hub", "left_semi")
+    sizes = some.select("hub", "sid", "n", "hub_n", "linked", "part", F.size("delta").alias("d")).filter("d > 0")
     own = Window.partitionBy("hub", "sid")
-    every = stars.select("hub", "sid", F.explode("delta").alias("token"))
-    shared = every.join(_of_several(every, ["hub", "token"]), ["hub", "token"])
+    every = some.select("hub", "sid", "linked", F.explode("delta").alias("token"))
+    counts = every.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("df"), F.every("linked").alias("all_linked"))
+    shared = every.drop("linked").join(counts.filter("df > 1 AND NOT all_linked").select("hub", "token", "df"), ["hub", "token"])
     placed = shared.join(sizes, ["hub", "sid"]).withColumns({
         "rank": F.row_number().over(own.orderBy("df", "token")), "all": F.count(F.lit(1)).over(own),
     })
@@ -282,25 +283,6 @@ def _short_difference_links(postings: DataFrame, stars: DataFrame, threshold: Fr
     return known.filter(alike).select(F.greatest("p", "q").alias("src"), F.least("p", "q").alias("dst"))
 
 
-def _lower_stars(postings: DataFrame) -> DataFrame:
-    """hub, hub_part, sid, part: the sets of each long list of differences with a hub of that list.
-
-    The hub is one that does not link to the list's own, and of these the one that meets the most others over its long
-    lists there, so that few hubs cover the lists of a family.
-    """
-    long = postings.filter(F.col("length") > SHORT_LIST).select("hub", "token", "sid", "part", "linked", "d", "length")
-    weight = long.filter("NOT linked").groupBy("hub", "sid").agg(F.sum("length").alias("weight"))
-    places = long.filter("NOT linked").join(weight, ["hub", "sid"]).select(
-        "hub", "token", F.struct(-F.col("weight"), "d", "sid", "part").alias("place")
-    )
-    chosen = places.groupBy("hub", "token").agg(F.min("place").alias("least"))
-    members = long.join(chosen, ["hub", "token"]).select(
-        F.col("least.sid").alias("to"), F.col("least.part").alias("to_part"), "sid", "part"
-    ).filter("sid <> to")
-    # A set may come over several lists, with what is known of it there.
-    return members.groupBy(F.col("to").alias("hub"), "sid").agg(F.min("to_part").alias("hub_part"), F.min("part").alias("part"))
-
-
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """How many tokens each set of `a` has in common with each of `b`."""
     tokens, place = np.unique(np.concatenate([*a, *b]), return_inverse=True)
@@ -366,21 +348,12 @@ def _tile_links(postings: DataFrame, stars: DataFrame, threshold: Fraction) -> D
     return dealt.groupBy("hub", "token", "r", "c").applyInArrow(run, "src long, dst long")
 
 
-def _star_links(stars: DataFrame, whole: DataFrame, threshold: Fraction) -> DataFrame:
-    """src, dst: what links in the stars of all long lists: one link a member and level, those of short lists, and of tiles."""
-    found = []
-    for level in range(LEVELS + 1):
-        own = stars.filter("linked").select(F.greatest("sid", "hub").alias("src"), F.least("sid", "hub").alias("dst"))
-        postings = materialize(_difference_postings(stars, threshold), "differences")
-        links = own.unionByName(_short_difference_links(postings, stars, threshold))
-        if level == LEVELS:
-            links = links.unionByName(_tile_links(postings, stars, threshold))
-        found.append(materialize(links.distinct(), "found"))
-        below = materialize(_lower_stars(postings), "below") if level < LEVELS else None
-        if below is None or below.isEmpty():
-            break
-        stars = materialize(_differences(below, whole, threshold), "stars")
-    return reduce(DataFrame.unionByName, found)
+def _star_links(stars: DataFrame, threshold: Fraction) -> DataFrame:
+    """src, dst: what links in the stars of long lists: a link a member with its hub, those of short lists, and of tiles."""
+    own = stars.filter("linked").select(F.greatest("sid", "hub").alias("src"), F.least("sid", "hub").alias("dst"))
+    postings = materialize(_difference_postings(stars, threshold), "differences")
+    links = own.unionByName(_short_difference_links(postings, stars, threshold))
+    return links.unionByName(_tile_links(postings, stars, threshold))
 
 
 def _bit_table(sids: DataFrame) -> np.ndarray:
@@ -456,9 +429,8 @@ def components(
     postings = materialize(_postings(_of_region(whole, threshold, second), threshold, second), "postings")
     groups = materialize(_grouped(postings, threshold), "groups")
     lists = materialize(_lists(postings, groups), "lists")
-    first_stars = _hub_pairs(lists, groups).withColumns({"hub_part": F.col("hub"), "part": F.col("sid")})
-    stars = materialize(_differences(first_stars, whole, threshold), "stars")
-    links = _links(_short_pairs(lists, groups, threshold), whole, threshold).unionByName(_star_links(stars, whole, threshold))
+    stars = materialize(_differences(_hub_pairs(lists, groups), whole, threshold), "stars")
+    links = _links(_short_pairs(lists, groups, threshold), whole, threshold).unionByName(_star_links(stars, threshold))
     labels = connected_components(links)
     parts = labels.select(F.col("node").alias("sid"), "label")
     rows = base.select("id", "sid", "n").join(parts, "sid", "left").withColumn("part", F.coalesce("label", "sid"))

@@ -42,7 +42,16 @@ _PARTS = (
     ("keyed", rf"(?i:{_LEAD})({_ASSIGNED})"),
     ("run", rf"[\"'`]?({_RUN})"),
 )
-_DOUBTS = r"(?i)example|dummy|sample|placeholder|your|uuid|sha\d*|hash|commit|checksum|version|isbn|phone|order"
+_DOUBTS = (
+    r"(?i)example|dummy|sample|placeholder|your|uuid|sha\d*|hash|commit|checksum|version|isbn|phone|order"
+    r"|md5|digest|revision|build|invoice|ticket"
+)
+# Shapes of what is no key: uuids, numbers in groups, words and numbers in a path or slug; and digests, next to a doubt.
+_HARMLESS = (
+    r"^(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9]+(?:[-_/+][0-9]+)*=?"
+    r"|/*(?:[a-z]{2,}|[A-Z]?[a-z]+|[0-9]{1,8}|v?[0-9]{1,4}|rc[0-9])(?:[-_/]+(?:[A-Z]?[a-z]+|[0-9]{1,8}|v[0-9]{1,4}|rc[0-9]))+/*)$"
+)
+_DIGEST = r"^(?:[0-9a-f]{7,16}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})$"
 _TEST_PATH = r"(?i)test|example|sample|mock|fixture|docs?\b"
 _CONFIG_PATH = r"(?i)conf|env|settings|secret|deploy|\.ya?ml|\.json|\.properties|\.ini"
 
@@ -180,12 +189,22 @@ def featured(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def format_labels(found: DataFrame) -> DataFrame:
-    """`found` with ``label``, where the shape alone tells: 1 for known formats and for assigned long values with
-    digits, 0 for plain words, else null. For use where nobody has labelled findings."""
+    """Featured findings with ``label``, where shape and neighbours tell: 1 for known formats and for assigned long values with
+    digits, 0 for plain words and for candidates that no keyword assigns and that are uuids, grouped numbers, slugs, digests next to
+    a word such as commit or checksum, or anything in a test path; else null. For use where nobody has labelled findings.
+
+    Findings of class 1 come once more without what surrounds them, so that the forest learns what keys look like, too.
+    """
     sure = (F.col("rule") == "format") | (
         (F.col("rule") == "keyed") & (F.length("value") >= 16) & (F.regexp_count("value", F.lit("[0-9]")) >= 4)
+        & ~F.col("value").rlike(_HARMLESS)
     )
-    return found.withColumn("label", F.when(sure, 1.0).when(F.col("rule") == "plain", 0.0))
+    value = F.col("value")
+    doubted = value.rlike(_HARMLESS) | (value.rlike(_DIGEST) & (F.col("doubt_near") == 1)) | (F.col("path_test") == 1)
+    harmless = (F.col("rule") == "plain") | ((F.col("rule") == "mixed") & (F.col("keyed") == 0) & doubted)
+    known = found.withColumn("label", F.when(sure, 1.0).when(harmless, 0.0))
+    bare = dict.fromkeys(("keyed", "keyword_near", "quoted", "prose_after", "path_config", "path_depth"), F.lit(0.0))
+    return known.unionByName(known.filter("label = 1").withColumns(bare))
 
 
 @dataclass(frozen=True)

@@ -171,3 +171,44 @@ def test_formats_and_assigned_values_are_whole(spark):
     assert [after[i] for i in (0, 1, 2, 3)] == ["[$1] x", "Bearer [$1].", "password=[$1] end", "a pwd: [$1], yes, a hunter2x"]
     assert [after[i] for i in (4, 5, 7, 8)] == ["password = '[$1]' x", "u?password=[$1]&user=me", "{token:[$1]}", "password =[$1] z"]
     assert after[9] == "password=[$1]" and after[10] == "secret=[$1]"
+
+
+def decoys_and_keys(rng, n):
+    """n texts of each kind: what is no secret, and secrets; both as (text, value)."""
+    draw = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
+    hexes, base62 = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = "how to bake good bread at home with little flour and salt in one long day".split()
+    harmless, secret = {}, {}
+    for kind, make in {
+        "commit": lambda: ("fixed in commit {} by us", draw(hexes, 40)),
+        "uuid": lambda: ("the row {} was seen", "-".join(draw(hexes, k) for k in (8, 4, 4, 4, 12))),
+        "checksum": lambda: ("its sha256 checksum is {} as before", draw(hexes, 64)),
+        "order": lambda: ("your order {} has left", f"{draw('0123456789', 4)}-{draw('0123456789', 8)}-{draw('0123456789', 2)}"),
+        "slug": lambda: ("see /{} for more", "-".join([f"20{rng.randrange(10, 25)}", *rng.sample(words, 4), str(rng.randrange(99))])),
+        "version": lambda: ("since version {} only", f"release-20{rng.randrange(10, 25)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)}"),
+    }.items():
+        harmless[kind] = [(t.format(v), v) for t, v in (make() for _ in range(n))]
+    for kind, make in {
+        "aws": lambda: ("we use {} there", "AKIA" + draw("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16)),
+        "assigned": lambda: ("password={} in the file", draw(base62, 20) + "7"),
+        "bare": lambda: ("then came {} and went", draw(base62, 38) + "4x"),
+        "url": lambda: ("open https://me:{}@host.org/db now", draw(base62, 15) + "1"),
+    }.items():
+        secret[kind] = [(t.format(v), v) for t, v in (make() for _ in range(n))]
+    return harmless, secret
+
+
+def test_decoys_are_rejected_and_keys_are_not(spark):
+    """Of what is no secret at most 5 % is judged one; of secrets at least 95 % are found."""
+    harmless, secret = decoys_and_keys(random.Random(8), 60)
+    texts = [(k, t, v) for kinds in (harmless, secret) for k, rows in kinds.items() for t, v in rows]
+    prose = ["an extraordinarily long but harmless story of doors that somebody opens 12345678901 times a day"] * 40
+    docs = documents(spark, [t for _, t, _ in texts] + prose)
+    judged = {(r.doc_id, r.value) for r in ss.scan(docs).filter("secret").collect()}
+    share = {}
+    for i, (kind, _, value) in enumerate(texts):
+        hit = any(d == i and (value in v or v in value) for d, v in judged)
+        share.setdefault(kind, []).append(hit)
+    share = {k: sum(v) / len(v) for k, v in share.items()}
+    assert sum(share[k] for k in harmless) / len(harmless) <= 0.05, share
+    assert sum(share[k] for k in secret) / len(secret) >= 0.95, share

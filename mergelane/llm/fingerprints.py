@@ -96,7 +96,7 @@ def edited(text: str, following: str) -> str:
 
 
 def _slices(docs: DataFrame, slice_bytes: int) -> list[int]:
-    """Ids at which the sorted corpus is cut, so that a slice holds about `slice_bytes`; one job over ids and lengths.
+    """Ids at which the sorted corpus is cut, so that a slice holds about `slice_bytes`; one job over sizes, one over ids.
 
     Few, as each stands for many documents. Where they lie decides the balance of the slices, never the result.
     """
@@ -142,11 +142,12 @@ def edit_fingerprints(
     first. Rows of equal id follow by their text, null ids come last; a single row follows itself.
     Null texts are empty. Other columns go; an empty table gives an empty one.
 
-    The corpus is sorted in slices of ids (`size_col`, or the ids alone if it is None, sets their number).
+    The corpus is sorted in slices of ids, whose number comes from the bytes of all texts, or from `size_col` if that is given
+    (a column known to hold the texts' sizes). Ids are cast to long.
     The first row of every slice is also sent to the slice before it, so that one shuffle
     brings every row together with the next one, and no task sees more than its slices.
     """
-    size = F.coalesce(docs[size_col].cast("long"), F.lit(0)) if size_col else F.lit(4096)
+    size = F.coalesce(docs[size_col] if size_col else F.octet_length(docs[text_col]), F.lit(0)).cast("long")
     bare = docs.select(docs[id_col].cast("long").alias("id"), size.alias("size"))
     frame = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     cuts = np.array(_slices(bare, slice_bytes), dtype=np.int64)

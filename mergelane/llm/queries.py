@@ -186,7 +186,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_quartile_fingerprint")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprints.edit_fingerprints(table(spark, folder, "documents"), size_col="n_chars")
+    return fingerprints.edit_fingerprints(table(spark, folder, "documents"))
 
 
 @query("op9_best_fit_packing")

@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from frames import CLASHES, documents
 from mergelane.llm import fingerprints as fp
@@ -76,3 +77,13 @@ def test_query(spark):
     assert all(0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 for r in got)
     long = [r for r in got if r.n_chars >= 300]
     assert sum(r.near_edited > r.near_next for r in long) > 0.95 * len(long)
+
+
+def test_slices_come_from_the_texts(spark):
+    """Without any n_chars the corpus is cut all the same."""
+    docs = documents(spark, [f"text {i} " * 50 for i in range(60)]).withColumn("n_chars", F.lit(None).cast("long"))
+    sized = docs.select(docs["doc_id"].alias("id"), F.octet_length("text").cast("long").alias("size"))
+    assert len(fp._slices(sized, 2_000)) > 5
+    found = fp.edit_fingerprints(docs, slice_bytes=2_000).collect()
+    whole = fp.edit_fingerprints(docs).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, whole)) and len(found) == 60

@@ -308,12 +308,17 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 def _tile_links(postings: DataFrame, stars: DataFrame, threshold: Fraction) -> DataFrame:
     """src, dst: what connects the sets of each long list, from those that do not link to its hub to all of it.
 
-    The sets of a list are dealt to strips by a hash, and each strip of the ones off the hub meets each strip of the list in a tile.
+    Lists of the same sets, as edits of several tokens give them, are one list. The sets of a list are dealt to strips by
+    a hash, and each strip of the ones off the hub meets each strip of the list in a tile.
     """
     long = postings.filter(F.col("length") > SHORT_LIST)
-    off = F.count(F.when(~F.col("linked"), 1))
-    counts = long.groupBy("hub", "token").agg(
-        F.ceil(off / STRIP).alias("high"), F.ceil(F.count(F.lit(1)) / STRIP).alias("wide")
+    digest = lambda seed: F.sum(F.xxhash64(F.lit(seed), "sid").cast("decimal(20,0)"))
+    every = long.groupBy("hub", "token").agg(
+        F.count(F.lit(1)).alias("held"), F.count(F.when(~F.col("linked"), 1)).alias("off"),
+        digest(1).alias("one"), digest(2).alias("two"),
+    )
+    counts = every.groupBy("hub", "held", "off", "one", "two").agg(F.min("token").alias("token")).select(
+        "hub", "token", F.ceil(F.col("off") / STRIP).alias("high"), F.ceil(F.col("held") / STRIP).alias("wide")
     )
     tile = lambda r, c, left: F.struct(r.alias("r"), c.alias("c"), F.lit(left).alias("left"))
     deal = F.xxhash64("sid")

@@ -126,3 +126,28 @@ def test_query(spark):
     rows = [(d.doc_id, d.text) for d in table(spark, folder, "documents").collect()]
     found = [(r.doc_id, r.n_shingles, r.component_id) for r in QUERIES["op10_ngram_jaccard"](spark, folder).collect()]
     assert sorted(found) == sorted(brute.components(rows, 3, Fraction(9, 10)))
+
+
+def test_long_lists_of_the_same_sets(spark, monkeypatch):
+    """Edits of many tokens give many lists of the same sets, which are compared once: families off the hub, against brute force."""
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for family in range(3):
+        base = list(words)
+        base[100 * family : 100 * family + 25] = [f"f{family}x{i}" for i in range(25)]
+        for copy in range(20):
+            own = list(base)
+            own[390 - copy] = f"c{family}y{copy}"
+            texts.append(" ".join(own))
+    tiles, rows = ngram_join._tile_links, []
+    monkeypatch.setattr(ngram_join, "_tile_links", lambda p, *rest: rows.append(p.filter("length > 16").count()) or tiles(p, *rest))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.components(docs, 3, Fraction(9, 10)).collect()}
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    label = list(range(len(texts)))
+    for _ in range(3):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 10 * len(a & b) >= 9 * len(a | b):
+                    label[i] = min(label[i], label[j])
+    assert rows[0] > 0 and found == dict(enumerate(label)) and len(set(label)) == 3

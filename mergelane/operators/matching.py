@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -361,8 +362,47 @@ def matched_pairs(
             pairs = exact_pairs(source, target, rule, ids).withColumn("score", F.lit(None).cast("double"))
         else:
             pairs = fuzzy_pairs(source, target, rule, ids).withColumnRenamed(rule.score, "score")
-        parts.append(pairs.select(
-            F.col("source_id"), F.lit(i).alias("priority"), F.lit(rule.result).alias("rule"),
-            F.col("target_id").cast("string").alias("target_id"), "score",
-        ))
+        parts.append(_in_long_form(pairs, i, rule))
     return reduce(DataFrame.unionByName, parts)
+
+
+def winning_pairs(source: DataFrame, steps: Sequence[tuple[Rule | Mapping, DataFrame, Ids]]) -> DataFrame:
+    """source_id, priority (from 0, in the order of `steps`), rule, target_id, score: the targets of each source id's first rule
+    that finds any.
+
+    A step is a rule with its target table and ids. Exact rules first tell by two ids a key which rule a record wins, and
+    only that rule's pairs are formed; a fuzzy rule is given the records that no rule before it matches. So pairs of later
+    rules cost nothing, however many records share their keys. Rows that repeat an id are one record, whose first rule
+    counts. Targets with a null id, and sources with one, match nothing. Jobs run while it is planned.
+    """
+    parts, open_ = [], source.filter(F.col(steps[0][2].source).isNotNull())
+    numbered = [(i, _as_rule(rule), target.filter(F.col(ids.target).isNotNull()), ids) for i, (rule, target, ids) in enumerate(steps)]
+    for exact, group in groupby(numbered, key=lambda step: isinstance(step[1], ExactRule)):
+        if exact:
+            group = list(group)
+            found = open_
+            for i, rule, target, ids in group:
+                found = exact_best(found, target, replace(rule, result=f"__won{i}"), ids)
+            first = F.coalesce(*[F.when(F.col(f"__won{i}").isNotNull(), F.lit(i)) for i, *_ in group])
+            found = materialize(found.select(*open_.columns, first.alias("__won")), "winners")
+            for i, rule, target, ids in group:
+                pairs = exact_pairs(found.filter(F.col("__won") == i), target, rule, ids)
+                parts.append(_in_long_form(pairs.withColumn("score", F.lit(None).cast("double")), i, rule))
+            open_ = found.filter("__won IS NULL").drop("__won")
+        else:
+            for i, rule, target, ids in group:
+                pairs = fuzzy_pairs(open_, target, rule, ids).withColumnRenamed(rule.score, "score")
+                parts.append(materialize(_in_long_form(pairs, i, rule), "fuzzy"))
+                matched = parts[-1].select(F.col("source_id").alias("__matched")).distinct()
+                open_ = open_.join(matched, F.col(ids.source) == F.col("__matched"), "left_anti")
+    every = reduce(DataFrame.unionByName, parts)
+    # Two rows of one id may have won by different rules.
+    first = every.groupBy("source_id").agg(F.min("priority").alias("__first"))
+    return lookup(every, first, ["source_id"], ["__first"]).filter(F.col("priority") == F.col("__first")).drop("__first")
+
+
+def _in_long_form(pairs: DataFrame, priority: int, rule: Rule) -> DataFrame:
+    return pairs.select(
+        "source_id", F.lit(priority).alias("priority"), F.lit(rule.result).alias("rule"),
+        F.col("target_id").cast("string").alias("target_id"), "score",
+    )

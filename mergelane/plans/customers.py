@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from mergelane.functions import text
 from mergelane.operators.clusters import cluster_occurrence, fill_in_cluster, first_rule_wins, unify_ids
 from mergelane.operators.enrichment import address_payload
-from mergelane.operators.lookups import join_all, lookup
+from mergelane.operators.lookups import join_all
 from mergelane.operators.mapping import conform
-from mergelane.operators.matching import Ids, Rule, apply_matching, matched_pairs, rule_from_dict
+from mergelane.operators.matching import Ids, Rule, apply_matching, rule_from_dict, winning_pairs
 from mergelane.operators.ranking import distinct_entities
 from mergelane.session import materialize
 
@@ -131,22 +131,15 @@ def link_accounts(customers: DataFrame, accounts: DataFrame, relationships: Data
     ``C4S_account_id`` the smallest one in the cluster, ``customer_number_Occurrence`` the number of
     distinct accounts in the cluster.
 
-    Only the targets of the winning rule are joined to a customer. Laying all rules side by side
-    first would multiply their targets, for the same accounts in the end. Customers, accounts, matches
-    and linked customers are written to the shared folder on the way.
+    Only the winning rule's pairs are formed (see `winning_pairs`). Customers, accounts, matches and linked customers are
+    written to the shared folder on the way.
     """
     customers, accounts = materialize(customers, "customers"), materialize(accounts, "accounts")
-    to_accounts = matched_pairs(customers, accounts, EXTERNAL_RULES, Ids("unique_id", "c4cu_account_id"))
-    to_partners = matched_pairs(
-        customers, relationships, [RELATIONSHIP_RULE], Ids("unique_id", "c4cu_businesspartner_id")
-    )
-    rank = {r: i for i, r in enumerate(ACCOUNT_PRIORITY)}
-    order = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
-    pairs = to_accounts.unionByName(to_partners).withColumn("priority", order[F.col("rule")])
-    pairs = materialize(pairs, "matches")
-    best = pairs.groupBy("source_id").agg(F.min("priority").alias("__best"))
-    won = lookup(pairs, best, ["source_id"], ["__best"]).filter(F.col("priority") == F.col("__best"))
-    won = won.select("source_id", "rule", F.col("target_id").alias("direct_c4S_account_id"), "score").distinct()
+    to_accounts, to_partners = Ids("unique_id", "c4cu_account_id"), Ids("unique_id", "c4cu_businesspartner_id")
+    known = {RELATIONSHIP_RULE.result: (RELATIONSHIP_RULE, relationships, to_partners)}
+    known |= {rule.result: (rule, accounts, to_accounts) for rule in EXTERNAL_RULES}
+    pairs = winning_pairs(customers, [known[result] for result in ACCOUNT_PRIORITY])
+    won = pairs.select("source_id", "rule", F.col("target_id").alias("direct_c4S_account_id"), "score").distinct()
     linked = join_all(customers, won, [("unique_id", "source_id")], ["rule", "direct_c4S_account_id", "score"])
     linked = materialize(linked, "linked")
     filled = fill_in_cluster(linked, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id")

@@ -249,3 +249,22 @@ def test_rounds_leave_one_table(spark):
     labels = clusters.connected_components(edges).collect()
     full = [p for p in set(glob.glob(f"{folder}/edges-*")) - before if spark.read.parquet(p).count()]
     assert {r.label for r in labels} == {0} and len(labels) == 60 and len(full) == 1
+
+
+def test_winning_pairs(spark):
+    """The pairs of each record's first rule, as by forming all pairs of all rules; a hot key, repeated and null ids included."""
+    rng = random.Random(3)
+    pick = lambda *values: rng.choice([*values, None])
+    people = [(rng.choice([*range(40), None]), pick("ann", "bob", "eve"), pick("long lane", "long lone", "oak"), pick("1", "2")) for _ in range(80)]
+    people += [(100 + i, "hot", "x", "3") for i in range(30)]
+    columns = "id long, name string, street string, zip string"
+    left, right = spark.createDataFrame(people, columns), spark.createDataFrame(people[::2], columns)
+    exact = [ExactRule("both", [Pair("name", "name"), Pair("zip", "zip")]), ExactRule("street", [Pair("street", "street")])]
+    near = FuzzyRule("near", [Pair("street", "street")], [Pair("zip", "zip")], 0.5, score="score")
+    for rules in ([*exact, near, NAME], [near, *exact]):
+        every = matching.matched_pairs(left, right, rules, SELF).filter("source_id IS NOT NULL AND target_id IS NOT NULL")
+        first = every.groupBy("source_id").agg(F.min("priority").alias("priority"))
+        expected = rows(every.join(first, ["source_id", "priority"]).select("source_id", "rule", "target_id", "score").distinct())
+        found = matching.winning_pairs(left, [(rule, right, SELF) for rule in rules])
+        assert rows(found.select("source_id", "rule", "target_id", "score").distinct()) == expected
+    assert matching.winning_pairs(left.limit(0), [(NAME, right, SELF)]).count() == 0

@@ -12,7 +12,7 @@ from mergelane.checks.registry import Tables, query
 from mergelane.functions import text
 from mergelane.operators import mapping
 from mergelane.session import shared_folder
-from mergelane.sources import audit, files, paged, tables
+from mergelane.sources import audit, files, paged, paged_source, tables
 
 _PARTNER = "origin string, name string, nation string, balance double, segment string, remark string"
 
@@ -183,6 +183,22 @@ def csv_layout(t: Tables) -> DataFrame:
     return files.parse_csv_lines(lines, sep=";", multi_line=True).select("number", "name", "nation", "full_file_path")
 
 
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS "key", 'says "' || o_orderpriority || '"' || chr(10) || chr(10) || o_orderdate AS "note" FROM orders
+""")
+def csv_quoted_breaks(t: Tables) -> DataFrame:
+    """Orders written as csv files whose cells hold quotes and line breaks, and read back in blocks."""
+    path = f"{shared_folder(t.spark)}/csv-{uuid.uuid4().hex}"
+    quoted = F.concat(
+        F.col("o_orderkey"), F.lit(',"says ""'), F.col("o_orderpriority"), F.lit('""\n\n'), F.col("o_orderdate"), F.lit('"')
+    )
+    t.orders.select(quoted).write.option("lineSep", "\n").text(f"{path}/rows")
+    # Text files have no header line of their own: the first line of each is its header here.
+    rows = files.read_lines(t.spark, f"{path}/rows", number_all=True).withColumn("line_no", F.col("line_no") + 1)
+    header = rows.select("full_file_path", F.lit("key,note").alias("line"), F.lit(0).cast("long").alias("line_no")).distinct()
+    return files.parse_csv_lines(rows.unionByName(header), multi_line=True).select("key", "note")
+
+
 @query("SELECT c_custkey, c_name, c_acctbal, c_nationkey FROM customer")
 def csv_roundtrip(t: Tables) -> DataFrame:
     """Customers written as csv and read back with a schema."""
@@ -266,3 +282,34 @@ def table_catalog(t: Tables) -> DataFrame:
         F.col("odd").cast("double").alias("balance"),
     )
     return rows.unionByName(views).unionByName(described.select(F.lit("table").alias("kind"), F.lit(0).cast("long").alias("key"), "name", "balance"))
+
+
+_PAGE_ITEMS = 100
+
+
+@query("""
+SELECT 'customer' AS list, CAST(c_custkey AS VARCHAR) AS "key", c_name AS "name" FROM customer
+UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name FROM supplier
+UNION ALL SELECT 'nation', CAST(n_nationkey AS VARCHAR), n_name FROM nation
+""")
+def paged_lists(t: Tables) -> DataFrame:
+    """Three lists, written as files of a page each, fetched from link to link."""
+    root = f"{shared_folder(t.spark)}/pages-{uuid.uuid4().hex}"
+    named = [("customer", t.customer, "c_custkey", "c_name"), ("supplier", t.supplier, "s_suppkey", "s_name"),
+             ("nation", t.nation, "n_nationkey", "n_name")]
+    items = None
+    for list_name, table, key, name in named:
+        fields = F.create_map(F.lit("ID"), F.col(key).cast("string"), F.lit("Title"), F.col(name))
+        part = table.select(
+            F.lit(list_name).alias("list"), F.floor(F.col(key) / _PAGE_ITEMS).alias("page"), F.struct(fields.alias("fields")).alias("item")
+        )
+        items = part if items is None else items.unionByName(part)
+    pages = items.groupBy("list", "page").agg(F.collect_list("item").alias("value"))
+    following = F.lead("page").over(Window.partitionBy("list").orderBy("page"))
+    link = F.concat(F.lit(f"{root}/list="), F.col("list"), F.lit("/page="), following)
+    body = F.to_json(F.struct("value", link.alias("@odata.nextLink")))
+    pages.select("list", "page", body.alias("payload")).write.partitionBy("list", "page").text(root)
+    first = [f"{root}/list={n}/page=0" for n, *_ in named]
+    fetched = paged_source.read_paged(t.spark, paged_source.fetch_file, first)
+    fetched = fetched.select(F.regexp_extract("list", "list=(\\w+)", 1).alias("list"), "payload")
+    return paged.json_pages_to_table(fetched, "payload", {"key": "ID", "name": "Title"}, keep=("list",))

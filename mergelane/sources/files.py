@@ -26,6 +26,10 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 CHARSETS = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "utf8": "UTF-8", "ascii": "US-ASCII"}
 
 
+# Lines whose quotes are summed up in one piece.
+BLOCK_LINES = 65_536
+
+
 # Different header lines that the files of one layout may have.
 MAX_LAYOUTS = 10_000
 
@@ -36,7 +40,7 @@ def read_lines(
     """full_file_path, line and line_no (from 0 in its file) of text files.
 
     Large files are read in blocks by many tasks, and only the lines of a file's first block have a
-    number; with `number_all` all have, for which every file is sorted.
+    number; with `number_all` all have, by a count of the lines of every block. No line is shuffled or sorted for it.
     """
     reader = spark.read.option("recursiveFileLookup", True)
     if glob:
@@ -50,13 +54,22 @@ def read_lines(
         F.regexp_replace(text, "[\\r\\x{FEFF}]", "").alias("line"),
     )
     if number_all:
-        number = F.row_number().over(Window.partitionBy("full_file_path").orderBy("block", "row")) - 1
-        return raw.select("full_file_path", "line", number.cast("long").alias("line_no"))
+        counts = raw.groupBy("full_file_path", "block").agg(F.min("row").alias("first"), F.count("*").alias("lines"))
+        blocks = counts.withColumn("before", _sum_before("lines", ["full_file_path"], "block"))
+        placed = lookup(raw, blocks, ["full_file_path", "block"], ["first", "before"])
+        number = F.col("before") + F.col("row") - F.col("first")
+        return placed.select("full_file_path", "line", number.alias("line_no"))
     first = raw.filter("block = 0").groupBy("full_file_path").agg(F.min("row").alias("first"))
     number = F.when(F.col("block") == 0, F.col("row") - F.col("first"))
     return lookup(raw, first, ["full_file_path"], ["first"]).select("full_file_path", "line", number.alias("line_no"))
 
 
+def _sum_before(values: Column | str, keys: Sequence[str], order: str) -> Column:
+    """The sum of `values` over the rows before this one; 0 in the first one."""
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(values).over(earlier), F.lit(0))
+
+
 def read_csv_layout(
     spark: SparkSession,
     path: str,
@@ -71,8 +84,8 @@ def read_csv_layout(
     """CSV files whose header is line `header_row` (from 0) and may differ from file to file.
 
     See `parse_csv_lines` for the result. A file without a line `header_row` is an error that names it; with
-    ``on_short="skip"`` it gives no rows. With `multi_line`, quoted cells may hold line breaks; each file is then sorted
-    as a whole instead of being read in blocks.
+    ``on_short="skip"`` it gives no rows. With `multi_line`, quoted cells may hold line breaks; large files are
+    read in blocks all the same.
     """
     lines = read_lines(spark, path, encoding, glob, number_all=multi_line)
     if on_short == "fail":
@@ -89,15 +102,28 @@ def read_csv_layout(
 def _records(lines: DataFrame, multi_line: bool) -> DataFrame:
     """Lines as csv records: with `multi_line`, a line that ends inside quotes goes on in the next one.
 
-    A record is inside quotes where an odd number of quotes stands before it in its file.
+    A line starts a record where an even number of quotes stands before it in its file. Quotes are summed up in
+    blocks of BLOCK_LINES lines. As a block does not know whether it begins inside a cell, it counts the
+    records that start in it for both cases; one row a block then settles the case and the number of records before it. A
+    record that runs over the end of a block thus has the same number on either side. A quote that is never closed makes the
+    rest of its file one record.
     """
     if not multi_line:
         return lines
-    order = Window.partitionBy("full_file_path").orderBy("line_no")
+    place = ["full_file_path", "__block"]
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    before = F.coalesce(F.sum(quotes).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = lines.withColumn("__starts", F.when(before % 2 == 0, 1).otherwise(0))
-    numbered = starts.withColumn("__record", F.sum("__starts").over(order) - 1)
+    split = lines.withColumns({"__block": F.floor(F.col("line_no") / BLOCK_LINES), "__quotes": quotes})
+    split = split.withColumn("__odd", _sum_before("__quotes", place, "line_no") % 2)
+    upto = Window.partitionBy(*place).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cases = {f"__starts{odd}": F.sum((F.col("__odd") == odd).cast("long")).over(upto) for odd in (0, 1)}
+    split = split.withColumns(cases)
+    blocks = split.groupBy(*place).agg(F.sum("__quotes").alias("__quotes"), *[F.max(c).alias(c) for c in cases])
+    blocks = blocks.withColumn("__inside", _sum_before("__quotes", ["full_file_path"], "__block") % 2)
+    blocks = blocks.withColumn("__starts", F.when(F.col("__inside") == 0, F.col("__starts0")).otherwise(F.col("__starts1")))
+    blocks = blocks.withColumn("__before", _sum_before("__starts", ["full_file_path"], "__block"))
+    known = lookup(split, blocks, place, ["__inside", "__before"])
+    started = F.when(F.col("__inside") == 0, F.col("__starts0")).otherwise(F.col("__starts1"))
+    numbered = known.withColumn("__record", F.col("__before") + started - 1)
     parts = F.sort_array(F.collect_list(F.struct("line_no", "line")))
     return numbered.groupBy("full_file_path", F.col("__record").alias("line_no")).agg(
         F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("line")

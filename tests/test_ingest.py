@@ -274,3 +274,62 @@ def test_comments_and_views(spark):
         tables.with_comments(df, {"c": "x"})
     tables.register_view(df, "a_view")
     assert spark.sql("SELECT a + b AS s FROM a_view").first().s == 3
+
+
+def test_quoted_breaks_over_block_ends(spark, tmp_path, monkeypatch):
+    """Cells with breaks, quotes and blank lines in one large file, read by several tasks, in blocks of any size."""
+    import csv
+    import io
+    import random
+
+    rng = random.Random(5)
+    cell = lambda: "".join(rng.choice(['a', 'b', '"', "\n", "x,y", " ", "\n\n"]) for _ in range(rng.randint(1, 9)))
+    rows = [[str(i), f"<{cell()}>"] for i in range(4000)]
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows([["id", "note"], *rows])
+    (tmp_path / "big.csv").write_text(text.getvalue())
+    (tmp_path / "small.csv").write_text('note,id\n"<one\n>",-1\n')
+    expected = sorted([*map(tuple, rows), ("-1", "<one\n>")])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        for lines in (1, 7, 65_536):
+            monkeypatch.setattr(files, "BLOCK_LINES", lines)
+            assert files.read_lines(spark, str(tmp_path), number_all=True).rdd.getNumPartitions() > 5
+            out = files.read_csv_layout(spark, str(tmp_path), multi_line=True)
+            assert sorted((r["id"], r["note"]) for r in out.collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_paged_source(spark):
+    import json
+
+    from mergelane.sources import paged_source
+
+    def page(values, link=None):
+        return json.dumps({"value": [{"fields": {"Id": v}} for v in values]} | ({"@odata.nextLink": link} if link else {}))
+
+    pages = {
+        "a/1": page("12", "a/2"), "a/2": page("3", "a/3"), "a/3": page(""),
+        "b/1": page("4"), "c/1": page("5", "c/2"), "c/2": page("6", "c/1"), "d/1": page("7", "d/2"), "d/2": "no json",
+    }
+
+    def fetch(url):
+        if url == "e/2":
+            raise OSError("no answer")
+        return (200, pages[url]) if url in pages else (404, "none")
+
+    pages["e/1"] = page("8", "e/2")
+    good = paged_source.read_paged(spark, fetch, ["a/1", "b/1"])
+    assert good.rdd.getNumPartitions() == 2
+    table = paged.json_pages_to_table(good, "payload", {"n": "Id"}, keep=("list", "page"))
+    assert sorted(map(tuple, table.collect())) == [("a/1", 0, "1"), ("a/1", 0, "2"), ("a/1", 1, "3"), ("b/1", 0, "4")]
+    log = paged_source.read_paged(spark, fetch, ["c/1", "d/1", "e/1", "f/1", "b/1"], on_error="log").collect()
+    failed = {(r.url, r.status_code): r.error for r in log if r.error}
+    assert set(failed) == {("c/2", 200), ("d/2", 200), ("e/2", -1), ("f/1", 404)}
+    assert "circle" in failed["c/2", 200] and failed["e/2", -1] == "no answer"
+    assert [r.page for r in log if r.url in ("c/2", "b/1")] == [1, 0]
+    with pytest.raises(Exception, match="no answer"):
+        paged_source.read_paged(spark, fetch, ["e/1"]).collect()
+    assert paged_source.read_paged(spark, fetch, []).count() == 0

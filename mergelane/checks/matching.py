@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mergelane.checks.registry import Tables, query
-from mergelane.operators import candidates, clusters, enrichment, matching, ranking, requests, upsert
+from mergelane.operators import (
+    candidates, clusters, enrichment, kept_clusters, key_registry, lookups, matching, ranking, requests, upsert,
+)
 from mergelane.operators.matching import ExactRule, FuzzyRule, Ids, Pair
 from mergelane.plans import customers as identity
 from mergelane.plans import views
@@ -471,6 +473,53 @@ def bucketed_upsert(t: Tables) -> DataFrame:
     return buckets.read_buckets(t.spark, path)
 
 
+@query("""
+WITH keys AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders),
+n AS (SELECT count(*) AS n_keys FROM keys)
+SELECT o_custkey, o_orderpriority, o_custkey % 3 = 0 AS early, true AS kept,
+       n_keys, CAST(1 AS BIGINT) AS lowest, n_keys AS highest, n_keys AS n_ids
+FROM keys, n
+""")
+def key_registry_loads(t: Tables) -> DataFrame:
+    """Keys of customers and priorities in two loads and a repeated one: dense, unique, the early ones as they were."""
+    path, columns = f"{shared_folder(t.spark)}/keys-{uuid.uuid4().hex}", ["o_custkey", "o_orderpriority"]
+    first = t.orders.filter("o_custkey % 3 = 0")
+    n_first = key_registry.register_keys(first, columns, path)
+    before = materialize(key_registry.read_keys(t.spark, path, t.orders, columns, "entity_id"), "keys-before")
+    key_registry.register_keys(t.orders, columns, path)
+    if key_registry.register_keys(t.orders, columns, path):
+        raise AssertionError("a repeated load has new keys")
+    keyed = key_registry.with_keys(t.orders.select(*columns).distinct(), columns, path)
+    keyed = lookups.lookup(keyed, before.withColumnRenamed("entity_id", "was"), columns, ["was"], null_safe=True)
+    totals = keyed.agg(
+        F.count("*").alias("n_keys"), F.min("entity_id").alias("lowest"), F.max("entity_id").alias("highest"),
+        F.count_distinct("entity_id").alias("n_ids"),
+    ).first()
+    return keyed.select(
+        *columns, (F.col("entity_id") <= n_first).alias("early"),
+        F.coalesce(F.col("was") == F.col("entity_id"), F.col("entity_id") > n_first).alias("kept"),
+        *[F.lit(v).cast("long").alias(n) for n, v in totals.asDict().items()],
+    )
+
+
+@query("""
+WITH RECURSIVE walk(node, reached) AS (
+  SELECT c_custkey, c_custkey FROM customer
+  UNION ALL SELECT node, reached - 7 FROM walk WHERE reached > 7 AND reached % 5 <> 0
+)
+SELECT node, min(reached) AS label FROM walk GROUP BY node
+""")
+def kept_cluster_batches(t: Tables) -> DataFrame:
+    """Chains of customers whose links come in three batches, so that clusters meet later on."""
+    path = f"{shared_folder(t.spark)}/labels-{uuid.uuid4().hex}"
+    kept_clusters.create_labels(t.spark, path, parts=8)
+    key = F.col("c_custkey")
+    links = t.customer.select(key.alias("src"), F.when((key > 7) & (key % 5 != 0), key - 7).otherwise(key).alias("dst"))
+    for batch in (1, 0, 2):
+        kept_clusters.add_links(path, links.filter(F.col("src") % 3 == batch))
+    return kept_clusters.read_labels(t.spark, path)
+
+
 # --- the customer identity flow --------------------------------------------------------------------
 
 

@@ -1,13 +1,16 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
-Items go longest first into the open bin with the least room that still takes them. Without one, a
-bin is opened; which of the permitted lengths to open is decided over all items of a batch together,
-by packing the batch once for every smallest length that may be opened and keeping the packing of
-the least cost. At last every bin shrinks to the shortest permitted length that holds its contents.
+Items go longest first into the open bin with the least room that still takes them. Without one, a bin is
+opened, of the length that costs least per token: for every permitted length, the items still to come are laid into such a bin,
+largest first, and the cost of the shrunk bin is divided by what it holds. At last every bin shrinks to the
+shortest permitted length that holds its contents. As bins opened one by one can be worse together, the batch is also packed
+with bins of one smallest length, for each of them, and the cheapest packing is kept.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,6 +20,8 @@ from pyspark.sql import functions as F
 
 # Permitted sequence lengths.
 LENGTHS = (512, 1024, 2048, 4096, 8192)
+# What a sequence costs beyond its tokens, in tokens: of bins with equal padding the longer ones are cheaper.
+PER_BIN = 16.0
 # Items packed together: enough for every bin to fill, few enough for a task's memory.
 BATCH_ITEMS = 65_536
 
@@ -26,15 +31,55 @@ def bin_cost(length: int, per_bin: float = 0.0) -> float:
     return length + per_bin
 
 
-def best_fit(sizes: Sequence[int], lengths: Sequence[int], smallest: int) -> tuple[list[int], list[int], list[int]]:
+class Opener:
+    """Chooses the length of every new bin by its least cost per token."""
+
+    def __init__(self, sizes: Sequence[int], lengths: Sequence[int], per_bin: float) -> None:
+        self.lengths, self.per_bin = lengths, per_bin
+        self.left = Counter(sizes)  # items still to come, by size
+        self.some = sum(1 << size for size in self.left)  # bit s: there is an item of size s to come
+
+    def take(self, size: int) -> None:
+        """An item was placed."""
+        self.left[size] -= 1
+        if not self.left[size]:
+            self.some ^= 1 << size
+
+    def filled(self, room: int) -> int:
+        """How much of `room` the items to come fill, largest first."""
+        start, largest = room, room
+        while fitting := self.some & ((2 << min(room, largest)) - 1):
+            size = fitting.bit_length() - 1
+            room -= size * min(self.left[size], room // size)
+            largest = size - 1
+        return start - room
+
+    def length(self, size: int) -> int:
+        """The length to open for an item of `size` that was taken; the shorter one of equals."""
+        best = None
+        for n in self.lengths[bisect_left(self.lengths, size) :]:
+            contents = size + self.filled(n - size)
+            cost = bin_cost(self.lengths[bisect_left(self.lengths, contents)], self.per_bin) / contents
+            if best is None or cost < best[0]:
+                best = cost, n
+        return best[1]
+
+
+def best_fit(
+    sizes: Sequence[int], lengths: Sequence[int], smallest: int | None = None, per_bin: float = 0.0
+) -> tuple[list[int], list[int], list[int]]:
     """Bin and place of each item (descending sizes), and the contents of each bin.
 
-    Bins open at the shortest permitted length that is at least `smallest` and takes the item.
+    Bins open at the shortest permitted length that is at least `smallest` and takes the item; without `smallest`, at the length
+    of the least cost.
     """
+    opener = Opener(sizes, lengths, per_bin) if smallest is None else None
     bins, places, contents, rooms = [], [], [], []
     waiting: dict[int, list[int]] = {}  # bins by room
     some = 0  # bit r: there is a bin with room r
     for size in sizes:
+        if opener:
+            opener.take(size)
         fits = some >> size
         if fits:
             room = size + (fits & -fits).bit_length() - 1
@@ -44,7 +89,7 @@ def best_fit(sizes: Sequence[int], lengths: Sequence[int], smallest: int) -> tup
                 some &= ~(1 << room)
         else:
             b = len(contents)
-            room = next(n for n in lengths if n >= smallest and n >= size)
+            room = opener.length(size) if opener else next(n for n in lengths if n >= smallest and n >= size)
             contents.append(0)
             rooms.append(room)
         bins.append(b)
@@ -68,11 +113,11 @@ def shrunk(contents: Sequence[int], lengths: Sequence[int]) -> list[int]:
 def pack_batch(sizes: Sequence[int], lengths: Sequence[int], per_bin: float = 0.0) -> tuple[list[int], list[int], list[int]]:
     """Bin and place of each item (descending sizes from 1 to the longest length), and the length of each bin.
 
-    Of all smallest lengths to open, the cheapest after shrinking; the shorter one of equals.
+    The cheapest after shrinking: with every bin's length chosen by itself, or one smallest length for all; the first of equals.
     """
     best = None
-    for smallest in lengths:
-        bins, places, contents = best_fit(sizes, lengths, smallest)
+    for smallest in (None, *lengths):
+        bins, places, contents = best_fit(sizes, lengths, smallest, per_bin)
         final = shrunk(contents, lengths)
         cost = sum(bin_cost(n, per_bin) for n in final)
         if best is None or cost < best[0]:
@@ -82,7 +127,7 @@ def pack_batch(sizes: Sequence[int], lengths: Sequence[int], per_bin: float = 0.
 
 def pack(
     items: DataFrame, size_col: str, id_col: str = "doc_id", lengths: Sequence[int] = LENGTHS,
-    per_bin: float = 0.0, batch_items: int = BATCH_ITEMS,
+    per_bin: float = PER_BIN, batch_items: int = BATCH_ITEMS,
 ) -> DataFrame:
     """Per piece: the id, ``piece`` (from 0), ``start`` and ``size`` in the document, ``bin``, ``bin_length``, ``bin_start``.
 

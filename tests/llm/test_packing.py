@@ -57,19 +57,24 @@ def partitions(items):
         yield rest + [[items[0]]]
 
 
-def test_close_to_the_best():
+@pytest.mark.parametrize("per_bin", [0.0, 3.0])
+def test_close_to_the_best(per_bin):
     """Against all packings: never better than the best one, and within half of it on any small set."""
     lengths, worst = [4, 8, 16], 1.0
+
+    def cost(final):
+        return sum(n + per_bin for n in final)
+
     for sizes in product([1, 3, 5, 9], repeat=5):
         own = sorted(sizes, reverse=True)
         best = min(
-            (sum(packing.shrunk([sum(b) for b in p], lengths)) for p in partitions(own) if max(map(sum, p)) <= 16)
+            (cost(packing.shrunk([sum(b) for b in p], lengths)) for p in partitions(own) if max(map(sum, p)) <= 16)
         )
-        bins, places, final = packing.pack_batch(own, lengths)
+        bins, places, final = packing.pack_batch(own, lengths, per_bin)
         filled = [sum(s for s, b in zip(own, bins) if b == i) for i in range(len(final))]
         assert packing.shrunk(filled, lengths) == final
-        assert best <= sum(final)
-        worst = max(worst, sum(final) / best)
+        assert best <= cost(final)
+        worst = max(worst, cost(final) / best)
     assert worst <= 1.5
 
 
@@ -83,3 +88,46 @@ def test_lengths_are_chosen_together():
 def test_best_fit_takes_the_fullest_bin():
     bins, places, contents = packing.best_fit([6, 5, 3, 2], [8], 8)
     assert bins == [0, 1, 1, 0] and places == [0, 0, 5, 6] and contents == [8, 8]
+
+
+def test_each_bin_opens_at_its_least_cost():
+    assert packing.Opener([1, 1, 3], [8, 16], 0.0).filled(5) == 5
+    opener = packing.Opener([5, 5, 5], [8, 16], 0.0)
+    opener.take(5)
+    assert opener.length(5) == 16  # 15 of 16, against 5 of 8
+    opener = packing.Opener([5, 3], [8, 16], 0.0)
+    opener.take(5)
+    assert opener.length(5) == 8
+    # Equal without a price of a bin; with one, the longer bin is cheaper.
+    for per_bin, length in ((0.0, 8), (1.0, 16)):
+        opener = packing.Opener([8, 8], [8, 16], per_bin)
+        opener.take(8)
+        assert opener.length(8) == length
+
+
+def test_lengths_differ_from_bin_to_bin():
+    """No single smallest length packs these as well as a choice for each bin."""
+    lengths, sizes = [8, 16, 32], sorted([30, 2, 9, 7, 5, 3, 6, 10, 11, 11], reverse=True)
+
+    def cost(smallest):
+        return sum(packing.shrunk(packing.best_fit(sizes, lengths, smallest)[2], lengths))
+
+    assert cost(None) <= min(cost(n) for n in lengths)
+
+
+def test_query_against_brute_force_of_its_parts(spark):
+    """The query over a whole table: every document's words in pieces in bins, and no dearer than any one length."""
+    from mergelane.llm.queries import QUERIES
+
+    name = next(n for n in QUERIES if n.startswith("op9_"))
+    folder = "/root/testdata/sf0.001"
+    rows = QUERIES[name](spark, folder).collect()
+    sizes = {r.doc_id: 0 for r in rows}
+    for r in rows:
+        sizes[r.doc_id] += r.size
+    assert sorted(sizes) == sorted(r.doc_id for r in spark.read.parquet(f"{folder}/documents.parquet").collect())
+    cost = check(rows, sizes, packing.LENGTHS) + packing.PER_BIN * len({r.bin for r in rows if r.size})
+    pieces = sorted((r.size for r in rows if r.size), reverse=True)
+    for smallest in packing.LENGTHS:
+        final = packing.shrunk(packing.best_fit(pieces, packing.LENGTHS, smallest)[2], packing.LENGTHS)
+        assert cost <= sum(final) + packing.PER_BIN * len(final)

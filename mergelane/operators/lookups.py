@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mergelane.functions.text import strip_leading_zeros
 
@@ -37,7 +38,7 @@ def lookup(
     ON condition would. `null_safe` lets null keys meet.
 
     One left join at any size: Catalyst and AQE broadcast a small `right`, and AQE splits the partition of a hot key of
-    `left`, or of its null keys, which find nothing.
+    `left`. Null keys, which find nothing, are dealt over all tasks.
     """
     taken = [c for c in cols if c in left.columns]
     if taken:
@@ -52,6 +53,14 @@ def _left_join(left: DataFrame, right: DataFrame, on: Sequence[Key], cols: Seque
     names = [f"__k{i}" for i in range(len(pairs))]
     keyed = left.withColumns({n: l for (l, _), n in zip(pairs, names)})
     dim = right.select(*[r.alias(f"__r{n}") for (_, r), n in zip(pairs, names)], *cols)
+    if not null_safe and any(keyed.schema[n].nullable for n in names):
+        # Rows with a null key find nothing, so they are dealt over all tasks rather than to the one that has the nulls. The
+        # other rows have a zero on both sides; on the right it comes of the key, as the optimizer takes literals out of a join.
+        plain = [f.name for f in left.schema if isinstance(f.dataType, (T.StringType, T.NumericType, T.DatetimeType))]
+        any_null = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
+        keyed = keyed.withColumn("__spread", F.when(any_null, F.xxhash64(*[F.col(f"`{c}`") for c in plain])).otherwise(F.lit(0).cast("long")))
+        dim = dim.withColumn("__r__spread", F.xxhash64(f"__r{names[0]}").bitwiseAND(F.lit(0).cast("long")))
+        names = [*names, "__spread"]
     return keyed.join(dim, _meets(names, "__r", null_safe), "left").select(*left.columns, *cols)
 
 
@@ -105,7 +114,7 @@ def join_all(
 ) -> DataFrame:
     """Left join that keeps every match; `right_filter` is a one-sided ON condition.
 
-    AQE splits the partition of a hot key of the left, or of its null keys.
+    AQE splits the partition of a hot key of the left. Null keys are dealt over all tasks.
     """
     if right_filter is not None:
         right = right.filter(right_filter)

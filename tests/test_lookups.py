@@ -176,3 +176,16 @@ def test_plans_of_lookups(spark):
     top = ranking.latest_per_key(lines, ["l_suppkey"], [F.desc("l_extendedprice"), F.asc("l_orderkey")])
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and plan.count("WindowGroupLimit") == 2
+
+
+def test_null_keys_are_dealt_over_the_tasks(spark):
+    """Rows whose key is null find nothing, and do not meet in one task."""
+    left = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, F.col("id").cast("int")).alias("key"), F.lit(None).cast("string").alias("more"))
+    right = spark.range(0, 4000, 20).select(F.col("id").alias("key_id"), (F.col("id") + 1).alias("found"))
+    with conf(spark, **NO_BROADCAST, **{"adaptive.coalescePartitions.enabled": "false"}):
+        out = lookups.lookup(left, right, [("key", "key_id")], ["found"])
+        rows_by_task = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert out.filter("found IS NOT NULL").agg(F.count("*"), F.sum(F.col("found") - F.col("id"))).first()[:] == (200, 200)
+        both = lookups.join_all(left, right, [("key", "key_id"), ("more", F.lit("x"))], ["found"])
+        assert both.filter("found IS NULL").count() == 4000
+    assert sum(rows_by_task) == 4000 and max(rows_by_task) < 1000

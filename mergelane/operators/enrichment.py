@@ -109,7 +109,7 @@ def enrich(
     """`df` with the answers of `provider`: the columns of `schema` plus ``api_execution_timestamp``.
 
     Every distinct (api_name, payload_string) without an answer in the log of requests is asked once, in batches, by
-    `tasks` tasks at a time (Spark's choice if unset). What comes back is appended to the log at once, failures
+    `tasks` tasks at a time (by the number of keys if unset). What comes back is appended to the log at once, failures
     too, so that whatever reads the result, however often, asks nobody again, and a provider that fails for one key loses
     no other answer: that key's are null. `log` is the folder of the log, which later calls go on with; without it
     the log is one in the shared folder for this call alone. Columns of the same names are replaced.

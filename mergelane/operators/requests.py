@@ -7,6 +7,7 @@ key costs its own answer only, which is logged with the error.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
@@ -16,10 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mergelane.session import materialize, shared_folder
+
 KEYS = ["api_name", "payload_string"]
 # Keys of one portion, and of one call to the provider.
 PORTION = 100_000
 BATCH = 100
+# Keys of a task that asks, unless the number of tasks is given: by bytes, Spark would make few tasks of small keys.
+TASK_KEYS = 4_000
+# Keys of a task that writes portions, at most.
+SLICE = 500_000
 
 
 def log_schema(answer: T.StructType) -> T.StructType:
@@ -42,13 +49,33 @@ def read_log(spark: SparkSession, path: str, answer: T.StructType) -> DataFrame:
 
 def _ask(provider: Callable[[pd.DataFrame], pd.DataFrame], batch: pd.DataFrame, names: list[str]) -> pd.DataFrame:
     """The batch with answers, status and error; a failing one is asked again in halves."""
-    try:
-        return provider(batch[KEYS])[[*KEYS, *names]].assign(status="ok", error=None)
-    except Exception as failure:  # whatever a provider raises is an outcome to be logged
-        if len(batch) == 1:
-            return batch[KEYS].assign(**dict.fromkeys(names), status="error", error=f"{type(failure).__name__}: {failure}")
-        half = len(batch) // 2
-        return pd.concat([_ask(provider, part, names) for part in (batch.iloc[:half], batch.iloc[half:])])
+    keys, given, failed, errors, open_ = batch[KEYS], [], [], [], [(0, len(batch))]
+    while open_:
+        start, end = open_.pop()
+        try:
+            given.append(provider(keys.iloc[start:end])[[*KEYS, *names]])
+        except Exception as failure:  # whatever a provider raises is an outcome to be logged
+            if end - start == 1:
+                failed.append(start)
+                errors.append(f"{type(failure).__name__}: {failure}")
+            else:
+                half = start + (end - start) // 2
+                open_ += [(half, end), (start, half)]
+    # Put together once a batch: a frame for every half would cost more than the calls.
+    parts = [pd.concat(given).assign(status="ok", error=None)] if given else []
+    if failed:
+        parts.append(keys.iloc[failed].assign(**dict.fromkeys(names), status="error", error=errors))
+    return pd.concat(parts)
+
+
+def _in_portions(open_: DataFrame, portions: int, portion: int) -> DataFrame:
+    """`open_` with its ``__portion``, written in a folder for each, so that a portion reads nothing of the others."""
+    spark, path = open_.sparkSession, f"{shared_folder(open_.sparkSession)}/portions-{uuid.uuid4().hex}"
+    slices = -(-portion // SLICE)
+    numbered = open_.withColumn("__portion", F.pmod(F.xxhash64(*KEYS), F.lit(portions)).cast("int"))
+    sliced = numbered.repartition(portions * slices, "__portion", F.pmod(F.hash(*KEYS), F.lit(slices)))
+    sliced.write.partitionBy("__portion").parquet(path)
+    return spark.read.schema(numbered.schema).parquet(path)
 
 
 def ask_open(
@@ -58,7 +85,7 @@ def ask_open(
     """Ask the provider for all keys of `questions` that the log at `path` has no answer for, and log what comes back.
 
     Each distinct key is asked once, and once more for each half of a failing batch it is in; keys whose last attempt failed are asked again by the next call.
-    Null keys are keys as well. `portion` keys at a time are asked and appended. A task that Spark repeats asks its keys again.
+    Null keys are keys as well. What is open is found out and written once; `portion` keys at a time are asked and appended. A task that Spark repeats asks its keys again.
     """
     spark = questions.sparkSession
     names = answer.names
@@ -67,10 +94,14 @@ def ask_open(
     )
     same = [F.col(f"q.{k}").eqNullSafe(F.col(f"l.{k}")) for k in KEYS]
     known = questions.select(*KEYS).distinct().alias("q").join(before.alias("l"), same[0] & same[1], "left")
-    open_ = known.filter(F.coalesce("__done", F.lit(0)) == 0).select(
+    open_ = materialize(known.filter(F.coalesce("__done", F.lit(0)) == 0).select(
         *[f"q.{k}" for k in KEYS], (F.coalesce("__attempt", F.lit(0)) + 1).cast("int").alias("attempt")
-    )
-    portions = max(1, -(-open_.count() // portion))
+    ), "open")
+    rows = open_.count()
+    portions = max(1, -(-rows // portion))
+    # Asked in one go or from folders of their own: no portion finds out again what is open.
+    numbered = _in_portions(open_, portions, portion) if portions > 1 else open_.withColumn("__portion", F.lit(0))
+    tasks = tasks or max(1, -(-rows // (portions * TASK_KEYS)))
     schema = log_schema(answer)
     returned = T.StructType([f for f in schema.fields if f.name != "asked_at"])
 
@@ -82,10 +113,8 @@ def ask_open(
                 yield answered[returned.names]
 
     for n in range(portions):
-        # The files of the log were listed above, so that what is open stays the same while portions are added.
-        mine = open_.filter(F.pmod(F.xxhash64(*KEYS), F.lit(portions)) == n)
-        dealt = mine.repartition(tasks, *KEYS) if tasks else mine
-        asked = dealt.mapInPandas(run, returned).withColumn("asked_at", F.lit(now))
+        mine = numbered.filter(F.col("__portion") == n).drop("__portion").repartition(tasks, *KEYS)
+        asked = mine.mapInPandas(run, returned).withColumn("asked_at", F.lit(now))
         asked.select(*schema.names).write.mode("append").parquet(path)
 
 

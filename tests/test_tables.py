@@ -166,3 +166,30 @@ def test_enrich_keeps_what_was_answered(spark, tmp_path):
     assert found == {f"q{i}": (f"pq{i}", NOW) for i in range(12) if i != 3}
     empty = enrichment.enrich(asked.limit(0), _provider(tmp_path / "calls"), "place_id string", NOW)
     assert empty.count() == 0
+
+
+def test_what_is_open_is_found_out_once_for_all_portions(spark, tmp_path):
+    """Every row of the questions is read once, however many portions there are."""
+    log, read = str(tmp_path / "log"), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    asked = spark.range(50).selectExpr("'a' AS api_name", "concat('q', id) AS payload_string")
+    asked = asked.unionAll(spark.sql("SELECT 'a', CAST(NULL AS string)")).mapInPandas(seen, "api_name string, payload_string string")
+
+    def provider(questions):
+        if any(str(p).endswith("7") for p in questions["payload_string"]):
+            raise ConnectionError("timed out")
+        return questions.assign(n=1)
+
+    answer = T.StructType.fromDDL("n long")
+    requests.ask_open(asked, provider, answer, log, NOW, portion=4)
+    rows = requests.read_log(spark, log, answer).collect()
+    assert sorted((r.payload_string or "", r.attempt, r.status, r.error, r.n) for r in rows) == sorted(
+        (p, 1, "error", "ConnectionError: timed out", None) if p.endswith("7") else (p, 1, "ok", None, 1)
+        for p in ["", *(f"q{i}" for i in range(50))]
+    )
+    assert read.value == 51

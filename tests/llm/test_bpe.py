@@ -1,3 +1,4 @@
+import gc
 import hashlib
 
 import public_tokenizers
@@ -58,6 +59,14 @@ def test_cache_generations():
         assert len(small.ids) + len(small.old[0]) <= 10
 
 
+def test_words_of_one_piece_share_its_pair():
+    """Ids and bytes of a word are kept once, as a pair, and the search for cycles is as it was after a batch."""
+    own = bpe.Encoder(RANKS, public_tokenizers.PATTERN, True)
+    assert own(["one two's", ""]) == [(ENCODER(["one two's"])[0][0], b"one two's"), (b"", b"")]
+    assert own.words.ids[" one"] is own.pieces.ids["one"] and not own.words.back
+    assert gc.isenabled()
+
+
 def test_rows(spark):
     texts = [None, "", "Hello hello world", "Hello hello world", "é" * 1000]
     docs = documents(spark, texts, [None, 1, 2, 2, 4], **CLASHES)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +33,37 @@ def converted(amount: Column, numerator: Column, denominator: Column) -> Column:
     )
 
 
+class FactorTables(NamedTuple):
+    """Factors with one row per EAN and one per article and unit, as `factor_tables` makes them."""
+
+    by_ean: DataFrame
+    by_article: DataFrame
+
+
+def factor_tables(factors: DataFrame, tie_break: Sequence[str] = ()) -> FactorTables:
+    """The first factor row by material, unit, EAN, `tie_break` per EAN, and per article and unit."""
+    cols = ["muom_denominator_qty", "muom_numerator_qty"]
+    order = [
+        F.asc_nulls_last(c)
+        for c in (
+            "muom_material_id", "muom_unit_id", "muom_eanupc_id", "muom_numerator_qty",
+            "muom_denominator_qty", *tie_break,
+        )
+    ]
+    base = factors.withColumns({
+        "__material": strip_leading_zeros("muom_material_id"),
+        "__ean": strip_leading_zeros("muom_eanupc_id"),
+    })
+    by_ean = pick_one(base, ["__ean"], order)
+    by_article = pick_one(base, ["__material", "muom_unit_id"], order)
+    return FactorTables(
+        by_ean.select("__ean", F.col("__material").alias("__ean_material"), *cols), by_article.select("__material", "muom_unit_id", *cols)
+    )
+
+
 def convert_quantity(
     sales: DataFrame,
-    factors: DataFrame,
+    factors: DataFrame | FactorTables,
     units: DataFrame,
     article: str,
     unit: str = "UOM",
@@ -50,28 +79,16 @@ def convert_quantity(
     muom_numerator_qty and muom_denominator_qty. Factors come from the row of the EAN if there is
     one, else from the row of article and unit, each factor falling back on its own. Where the EAN
     row names a material, it replaces `article`. Ids are compared without leading zeros; when several
-    factor rows share a key, the first by material, unit, EAN, `tie_break` counts.
+    factor rows share a key, the first by material, unit, EAN, `tie_break` counts. Where many tables of sales are converted,
+    `factors` can be `factor_tables`, made once.
     """
-    order = [
-        F.asc_nulls_last(c)
-        for c in (
-            "muom_material_id", "muom_unit_id", "muom_eanupc_id", "muom_numerator_qty",
-            "muom_denominator_qty", *tie_break,
-        )
-    ]
     cols = ["muom_denominator_qty", "muom_numerator_qty"]
-    base = factors.withColumns({
-        "__material": strip_leading_zeros("muom_material_id"),
-        "__ean": strip_leading_zeros("muom_eanupc_id"),
-    })
-    by_ean = pick_one(base, ["__ean"], order)
-    by_article = pick_one(base, ["__material", "muom_unit_id"], order)
-
+    by_ean, by_article = factors if isinstance(factors, FactorTables) else factor_tables(factors, tie_break)
     with_unit = lookup(sales, units, [partner, (unit, "uom")], ["converted_uom", "muom_unit_id"])
     with_factors = priority_lookup(
         with_unit,
         [
-            (by_ean.withColumnRenamed("__material", "__ean_material"), [(strip_leading_zeros(ean), "__ean")]),
+            (by_ean, [(strip_leading_zeros(ean), "__ean")]),
             (by_article.withColumn("__ean_material", F.lit(None).cast("string")),
              [(strip_leading_zeros(article), "__material"), ("muom_unit_id", "muom_unit_id")]),
         ],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from mergelane.functions import dates, text
 from mergelane.operators.lookups import pick_one_lookup, zero_key_join
-from mergelane.operators.quantity import convert_quantity, unit_map
+from mergelane.operators.quantity import FactorTables, convert_quantity, factor_tables, unit_map
+from mergelane.session import discard, materialize, materialize_parts
 
 
 def clean_sales(df: DataFrame, strict_parity: bool = False) -> DataFrame:
@@ -32,6 +34,11 @@ SALE_COLUMNS = (
 )
 
 
+# Sales that are looked up at a time, and portions at most: each of them reads all of the sales and records.
+PORTION_SALES = 5_000_000
+MOST_PORTIONS = 8
+
+
 def enrich_sales(
     sales: DataFrame,
     accounts: DataFrame,
@@ -47,22 +54,59 @@ def enrich_sales(
     All five dimensions are reduced to one row per key before they are joined, so the fact keeps its
     row count and is never windowed. `record_order` ranks material records that share a key (by
     material id if unset). `article` is the id that the article path of the conversion uses.
+
+    Every lookup shuffles the sales it is given. So more sales than PORTION_SALES are dealt by their product number to portions,
+    which are looked up and written one after the other: the shuffle files of one go before the next one's come. Sales and
+    dimensions are written to the shared folder before. Jobs run while it is planned.
     """
+    needed = ["cumi_material_id", "cumi_customermaterialnumber_id"]
     if record_order is None:
-        record_order = [F.asc_nulls_last(c) for c in ("cumi_material_id", "cumi_customermaterialnumber_id")]
-    fact = sales.select(*SALE_COLUMNS).withColumns({
-        "dimdateid": dates.date_key("date"),
-        "sharepoint_file_name": text.file_name("full_file_path"),
-    })
+        record_order = [F.asc_nulls_last(c) for c in needed]
+        material_records = material_records.select(*needed, "cumi_customernumber_id")
+    sales = materialize(sales.select(*SALE_COLUMNS), "sales")
+    portions = min(math.ceil(sales.count() / PORTION_SALES), MOST_PORTIONS)
+    unit = materialize(unit_map(units, unit_texts), "units")
+    made = factor_tables(factors)
+    if portions <= 1:
+        return _enriched(sales, accounts, material_records, unit, made, record_order, article)
+
+    records, made = materialize(material_records, "records"), FactorTables(*[materialize(d, "factors") for d in made])
+    product, held = text.strip_leading_zeros("product_number"), text.strip_leading_zeros("cumi_customermaterialnumber_id")
+    # Sales without a product number find no record, so they are dealt out by all their columns.
+    number = F.coalesce(product, F.xxhash64(*SALE_COLUMNS).cast("string"))
+    at = lambda key, i: F.pmod(F.xxhash64(key), F.lit(portions)) == i
+    parts = (
+        _enriched(sales.filter(at(number, i)), accounts, records.filter(at(held, i)), unit, made, record_order, article)
+        for i in range(portions)
+    )
+    fact = materialize_parts(parts, "sales-fact")
+    for table in (sales, records, unit, *made):
+        discard(table)
+    return fact
+
+
+def _enriched(
+    sales: DataFrame,
+    accounts: DataFrame,
+    records: DataFrame,
+    units: DataFrame,
+    factors: FactorTables,
+    record_order: Sequence[Column],
+    article: str,
+) -> DataFrame:
     fact = zero_key_join(
-        fact, accounts, [("wholesaler_id", "c4cu_account_id")], ["c4cu_customer_id"],
+        sales, accounts, [("wholesaler_id", "c4cu_account_id")], ["c4cu_customer_id"],
         order=[F.asc_nulls_last("c4cu_customer_id")],
     )
     stripped = text.strip_leading_zeros
     fact = pick_one_lookup(
-        fact, material_records,
+        fact, records,
         [(stripped("product_number"), stripped("cumi_customermaterialnumber_id")),
          (stripped("c4cu_customer_id"), stripped("cumi_customernumber_id"))],
         ["cumi_material_id", "cumi_customermaterialnumber_id"], record_order,
     )
-    return convert_quantity(fact, factors, unit_map(units, unit_texts), article)
+    fact = convert_quantity(fact, factors, units, article)
+    # What follows from the sale's own columns comes last, so that no lookup shuffles it.
+    more = {"dimdateid": dates.date_key("date"), "sharepoint_file_name": text.file_name("full_file_path")}
+    found = [c for c in fact.columns if c not in SALE_COLUMNS]
+    return fact.withColumns(more).select(*SALE_COLUMNS, *more, *found)

@@ -235,6 +235,46 @@ def test_sales_flow(spark):
     assert got["Sharepoint File Name"] == "Q1_2023" and got["Id at Wholesaler + Wholesaler Id"] == "70012"
 
 
+def test_sales_in_portions_are_the_same_sales(spark, monkeypatch):
+    """More sales than are looked up at a time: portion by portion, with the shuffle files of one portion at a time."""
+    sold = [
+        (None if i % 11 == 0 else f"{i % 17}.0", f"54{i % 5}" if i % 3 else None, float(i), None if i % 13 == 0 else "KAR", f"0{i % 4}")
+        for i in range(200)
+    ]
+    golden = conform(
+        spark.createDataFrame(sold, "product_number string, ean string, total_amount double, uom string, wholesaler_id string"),
+        GOLDEN_SCHEMA,
+    ).withColumns({"wholesaler_name": F.lit("w"), "full_file_path": F.lit("volumes/x/Q1_2023.csv"), "date": F.lit("2023-03-31")})
+    clean = sales.clean_sales(golden)
+    accounts = spark.createDataFrame([(f"00{i}", f"7{i}") for i in range(3)], "c4cu_account_id string, c4cu_customer_id string")
+    records = spark.createDataFrame(
+        [(f"00{i}", f"07{k}", f"M{i + n}") for i in range(12) for k in range(3) for n in (0, 1)] + [(None, "70", "M")],
+        "cumi_customermaterialnumber_id string, cumi_customernumber_id string, cumi_material_id string",
+    )
+    units = spark.createDataFrame([("KAR", "karton", "w")], "uom string, converted_uom string, wholesaler_name string")
+    texts = spark.createDataFrame([("karton", "EN", "CS")], "converted_uom string, language string, muom_unit_id string")
+    factors = spark.createDataFrame(
+        [(f"000{i}", "CS", float(i), 2.0, f"54{i}" if i < 3 else None) for i in range(1, 9)],
+        "muom_material_id string, muom_unit_id string, muom_numerator_qty double, muom_denominator_qty double, muom_eanupc_id string",
+    )
+    given = (clean, accounts, records, units, texts, factors)
+    whole = sales.enrich_sales(*given)
+    parts, write = [], sales.materialize_parts
+
+    def counted(frames, tag):
+        frames = list(frames)
+        parts.extend(d.count() for d in frames)
+        return write(frames, tag)
+
+    monkeypatch.setattr(sales, "PORTION_SALES", 30)
+    monkeypatch.setattr(sales, "materialize_parts", counted)
+    fact = sales.enrich_sales(*given)
+    assert fact.schema == whole.schema and fact.count() == 200
+    assert len(parts) == 7 and sum(parts) == 200 and max(parts) < 100
+    assert sorted(map(str, fact.collect())) == sorted(map(str, whole.collect()))
+    assert fact.filter("cumi_material_id IS NOT NULL AND muom_numerator_qty IS NOT NULL").count() > 20
+
+
 def customer(number, name, street, zip_, vat=None, wholesaler="w1", place=None):
     return (number, street, "Gent", zip_, "BE", name, None, wholesaler, vat, wholesaler, place)
 

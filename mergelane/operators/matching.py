@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from mergelane.operators.candidates import close_pairs
 from mergelane.operators.lookups import join_all, lookup
 from mergelane.operators.ranking import top_n
-from mergelane.session import materialize
+from mergelane.session import discard, materialize, settle
 
 
 @dataclass(frozen=True)
@@ -268,7 +268,7 @@ def fuzzy_best(
     options = top_n(options.select(*key, "__id", "__best.*"), key, [F.desc("__score"), F.asc("__id")], 2, "__rank")
     option = F.struct("__id", "__score", "__similarities")
     nth = lambda n: F.max(F.when(F.col("__rank") == n, option))
-    best = options.groupBy(*key).agg(nth(1).alias("__o1"), nth(2).alias("__o2"))
+    best = materialize(options.groupBy(*key).agg(nth(1).alias("__o1"), nth(2).alias("__o2")), "best")
 
     on = [(p.normal(p.source), f"a___b{i}") for i, p in enumerate(rule.block)]
     on += [(F.coalesce(p.normal(p.source), F.lit("")), f"a___f{i}") for i, p in enumerate(rule.fuzzy)]
@@ -325,29 +325,45 @@ def _attach(source: DataFrame, pairs: DataFrame, ids: Ids, result: str, *more: s
 
 
 def apply_matching(
-    source: DataFrame, target: DataFrame, rules: Sequence[Rule | Mapping], ids: Ids, handler: str = "best"
+    source: DataFrame,
+    target: DataFrame,
+    rules: Sequence[Rule | Mapping],
+    ids: Ids,
+    handler: str = "best",
+    staged: bool = False,
 ) -> DataFrame:
     """All rows of `source` with a result column per rule, null where the rule finds nothing.
 
     Rules are evaluated independently. ``best`` keeps one row per source row. ``multiple`` keeps every
     target of every rule, so that a source with m and n targets under two rules gets m * n rows; where
     only the winning rule matters, `matched_pairs` has the same content in m + n rows.
+
+    Each rule shuffles all rows. `staged` writes them after each rule, so that the shuffle files and tables of one rule go
+    before the next one's come.
     """
     if handler not in ("best", "multiple"):
         raise ValueError(f"handler is 'best' or 'multiple', not {handler!r}")
     out = source
     for rule in map(_as_rule, rules):
-        exact = isinstance(rule, ExactRule)
-        if handler == "multiple":
-            pairs = (exact_pairs if exact else fuzzy_pairs)(source, target, rule, ids)
-            out = _attach(out, pairs, ids, rule.result, *([] if exact else _fuzzy_columns(rule)[1:]))
-        elif exact:
-            out = exact_best(out, target, rule, ids)
-        else:
-            out = fuzzy_best(source, target, rule, ids, onto=out)
+        if not staged:
+            out = _with_matches(out, source, target, rule, ids, handler)
+            continue
+        before, out = out, settle(lambda: _with_matches(out, source, target, rule, ids, handler), "matched")
+        if before is not source:
+            discard(before)
     return out
 
 
+def _with_matches(out: DataFrame, source: DataFrame, target: DataFrame, rule: Rule, ids: Ids, handler: str) -> DataFrame:
+    exact = isinstance(rule, ExactRule)
+    if handler == "multiple":
+        pairs = exact_pairs(source, target, rule, ids) if exact else materialize(fuzzy_pairs(source, target, rule, ids), "pairs")
+        return _attach(out, pairs, ids, rule.result, *([] if exact else _fuzzy_columns(rule)[1:]))
+    if exact:
+        return exact_best(out, target, rule, ids)
+    return fuzzy_best(source, target, rule, ids, onto=out)
+
+
 def _as_rule(rule: Rule | Mapping) -> Rule:
     return rule_from_dict(rule) if isinstance(rule, Mapping) else rule
 
@@ -375,7 +391,9 @@ def winning_pairs(source: DataFrame, steps: Sequence[tuple[Rule | Mapping, DataF
     rules cost nothing, however many records share their keys. Rows that repeat an id are one record, whose first rule
     counts. Targets with a null id, and sources with one, match nothing. Jobs run while it is planned.
     """
-    parts, open_ = [], source.filter(F.col(steps[0][2].source).isNotNull())
+    # What the rules look at, so that the other columns are not shuffled with them.
+    columns = dict.fromkeys(c for rule, _, ids in steps for c in (ids.source, *[p.source for p in _pairs_of(_as_rule(rule))]))
+    parts, open_ = [], source.filter(F.col(steps[0][2].source).isNotNull()).select(*columns)
     numbered = [(i, _as_rule(rule), target.filter(F.col(ids.target).isNotNull()), ids) for i, (rule, target, ids) in enumerate(steps)]
     for exact, group in groupby(numbered, key=lambda step: isinstance(step[1], ExactRule)):
         if exact:
@@ -401,6 +419,10 @@ def winning_pairs(source: DataFrame, steps: Sequence[tuple[Rule | Mapping, DataF
     return lookup(every, first, ["source_id"], ["__first"]).filter(F.col("priority") == F.col("__first")).drop("__first")
 
 
+def _pairs_of(rule: Rule) -> Sequence[Pair]:
+    return rule.pairs if isinstance(rule, ExactRule) else (*rule.fuzzy, *rule.block)
+
+
 def _in_long_form(pairs: DataFrame, priority: int, rule: Rule) -> DataFrame:
     return pairs.select(
         "source_id", F.lit(priority).alias("priority"), F.lit(rule.result).alias("rule"),

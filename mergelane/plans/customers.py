@@ -12,7 +12,7 @@ from mergelane.operators.lookups import join_all
 from mergelane.operators.mapping import conform
 from mergelane.operators.matching import Ids, Rule, apply_matching, rule_from_dict, winning_pairs
 from mergelane.operators.ranking import distinct_entities
-from mergelane.session import materialize
+from mergelane.session import discard, materialize, settle, stored
 
 # What describes a customer.
 ENTITY_COLUMNS = (
@@ -108,14 +108,15 @@ ACCOUNT_PRIORITY = (
 def match_internal(customers: DataFrame, max_iterations: int | None = None) -> DataFrame:
     """Customers matched among themselves and clustered: one result per rule, ``dim_sellout_cust_id``.
 
-    The customers and their matches are written to the shared folder, as each is used several times.
+    The result is a table in the shared folder; what is written there on the way goes as soon as nothing reads it any more.
     """
-    customers = materialize(customers, "customers")
-    matched = materialize(
-        apply_matching(customers, customers, INTERNAL_RULES, Ids("unique_id", "unique_id")), "matched"
-    )
-    results = [r.result for r in INTERNAL_RULES]
-    return unify_ids(matched, results, "unique_id", "dim_sellout_cust_id", max_iterations)
+
+    def clustered() -> DataFrame:
+        own = stored(customers, "customers")
+        matched = apply_matching(own, own, INTERNAL_RULES, Ids("unique_id", "unique_id"), staged=True)
+        return unify_ids(matched, [r.result for r in INTERNAL_RULES], "unique_id", "dim_sellout_cust_id", max_iterations)
+
+    return settle(clustered, "clustered")
 
 
 def clean_relationships(relationships: DataFrame) -> DataFrame:
@@ -134,29 +135,41 @@ def link_accounts(customers: DataFrame, accounts: DataFrame, relationships: Data
     Only the winning rule's pairs are formed (see `winning_pairs`). Customers, accounts, matches and linked customers are
     written to the shared folder on the way.
     """
-    customers, accounts = materialize(customers, "customers"), materialize(accounts, "accounts")
-    to_accounts, to_partners = Ids("unique_id", "c4cu_account_id"), Ids("unique_id", "c4cu_businesspartner_id")
-    known = {RELATIONSHIP_RULE.result: (RELATIONSHIP_RULE, relationships, to_partners)}
-    known |= {rule.result: (rule, accounts, to_accounts) for rule in EXTERNAL_RULES}
-    pairs = winning_pairs(customers, [known[result] for result in ACCOUNT_PRIORITY])
-    won = pairs.select("source_id", "rule", F.col("target_id").alias("direct_c4S_account_id"), "score").distinct()
-    linked = join_all(customers, won, [("unique_id", "source_id")], ["rule", "direct_c4S_account_id", "score"])
-    linked = materialize(linked, "linked")
-    filled = fill_in_cluster(linked, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id")
-    return cluster_occurrence(filled, "dim_sellout_cust_id", "C4S_account_id", "direct_c4S_account_id")
+
+    def linked() -> DataFrame:
+        own, targets = stored(customers, "customers"), materialize(accounts, "accounts")
+        to_accounts, to_partners = Ids("unique_id", "c4cu_account_id"), Ids("unique_id", "c4cu_businesspartner_id")
+        known = {RELATIONSHIP_RULE.result: (RELATIONSHIP_RULE, relationships, to_partners)}
+        known |= {rule.result: (rule, targets, to_accounts) for rule in EXTERNAL_RULES}
+        pairs = winning_pairs(own, [known[result] for result in ACCOUNT_PRIORITY])
+        won = pairs.select("source_id", "rule", F.col("target_id").alias("direct_c4S_account_id"), "score").distinct()
+        won = materialize(won, "won")
+        return join_all(own, won, [("unique_id", "source_id")], ["rule", "direct_c4S_account_id", "score"])
+
+    return _with_cluster_accounts(settle(linked, "linked"))
 
 
 def match_external(customers: DataFrame, accounts: DataFrame, relationships: DataFrame) -> DataFrame:
     """The wide form of `link_accounts`: every result column of every rule, a row per combination."""
-    customers, accounts = materialize(customers, "customers"), materialize(accounts, "accounts")
-    wide = apply_matching(customers, accounts, EXTERNAL_RULES, Ids("unique_id", "c4cu_account_id"), "multiple")
-    partners = apply_matching(
-        customers, relationships, [RELATIONSHIP_RULE], Ids("unique_id", "c4cu_businesspartner_id"), "multiple"
-    ).select(F.col("unique_id").alias("__sid"), "ext_BPR_match")
-    joined = join_all(wide, partners, [("unique_id", "__sid")], ["ext_BPR_match"])
-    direct = joined.withColumn("direct_c4S_account_id", first_rule_wins(ACCOUNT_PRIORITY))
-    direct = materialize(direct, "linked")
-    filled = fill_in_cluster(direct, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id")
+
+    def linked() -> DataFrame:
+        own, targets = stored(customers, "customers"), materialize(accounts, "accounts")
+        wide = apply_matching(own, targets, EXTERNAL_RULES, Ids("unique_id", "c4cu_account_id"), "multiple", staged=True)
+        partners = apply_matching(
+            own, relationships, [RELATIONSHIP_RULE], Ids("unique_id", "c4cu_businesspartner_id"), "multiple"
+        ).select(F.col("unique_id").alias("__sid"), "ext_BPR_match")
+        joined = join_all(wide, partners, [("unique_id", "__sid")], ["ext_BPR_match"])
+        return joined.withColumn("direct_c4S_account_id", first_rule_wins(ACCOUNT_PRIORITY))
+
+    return _with_cluster_accounts(settle(linked, "linked"))
+
+
+def _with_cluster_accounts(linked: DataFrame) -> DataFrame:
+    """The table `linked` with the smallest account of the cluster and their number; `linked` itself is emptied."""
+    filled = settle(
+        lambda: fill_in_cluster(linked, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id"), "filled"
+    )
+    discard(linked)
     return cluster_occurrence(filled, "dim_sellout_cust_id", "C4S_account_id", "direct_c4S_account_id")
 
 

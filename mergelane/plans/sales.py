@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mergelane.functions import dates, text
 from mergelane.operators.lookups import pick_one_lookup, zero_key_join
 from mergelane.operators.quantity import FactorTables, convert_quantity, factor_tables, unit_map
-from mergelane.session import discard, materialize, materialize_parts
+from mergelane.session import DENSE, discard, materialize, materialize_parts
 
 
 def clean_sales(df: DataFrame, strict_parity: bool = False) -> DataFrame:
@@ -63,14 +63,14 @@ def enrich_sales(
     if record_order is None:
         record_order = [F.asc_nulls_last(c) for c in needed]
         material_records = material_records.select(*needed, "cumi_customernumber_id")
-    sales = materialize(sales.select(*SALE_COLUMNS), "sales")
+    sales = materialize(sales.select(*SALE_COLUMNS), "sales", DENSE)
     portions = min(math.ceil(sales.count() / PORTION_SALES), MOST_PORTIONS)
     unit = materialize(unit_map(units, unit_texts), "units")
     made = factor_tables(factors)
     if portions <= 1:
         return _enriched(sales, accounts, material_records, unit, made, record_order, article)
 
-    records, made = materialize(material_records, "records"), FactorTables(*[materialize(d, "factors") for d in made])
+    records, made = materialize(material_records, "records", DENSE), FactorTables(*[materialize(d, "factors") for d in made])
     product, held = text.strip_leading_zeros("product_number"), text.strip_leading_zeros("cumi_customermaterialnumber_id")
     # Sales without a product number find no record, so they are dealt out by all their columns.
     number = F.coalesce(product, F.xxhash64(*SALE_COLUMNS).cast("string"))
@@ -79,7 +79,7 @@ def enrich_sales(
         _enriched(sales.filter(at(number, i)), accounts, records.filter(at(held, i)), unit, made, record_order, article)
         for i in range(portions)
     )
-    fact = materialize_parts(parts, "sales-fact")
+    fact = materialize_parts(parts, "sales-fact", DENSE)
     for table in (sales, records, unit, *made):
         discard(table)
     return fact

@@ -41,6 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 # With it, Spark removes the shuffle files of a job at its end, not when the driver happens to collect its garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# For wide rows with keys of hexadecimal digits, which the usual codec keeps at their length.
+DENSE = "zstd"
 # The tables that are emptied at the end of the innermost `settle`.
 _scratch: ContextVar[list[DataFrame] | None] = ContextVar("scratch", default=None)
 
@@ -58,16 +60,16 @@ def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, codec: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back: cuts lineage, survives lost executors.
 
     The written files also give the optimizer a true size for the next join. Shuffle files of the job go at its end. Results may
-    still read the table, so it stays until `discard`.
+    still read the table, so it stays until `discard`. `codec` compresses its files, or else the session's codec.
     """
-    return materialize_parts([df], tag)
+    return materialize_parts([df], tag, codec)
 
 
-def materialize_parts(parts: Iterable[DataFrame], tag: str) -> DataFrame:
+def materialize_parts(parts: Iterable[DataFrame], tag: str, codec: str | None = None) -> DataFrame:
     """One table of `parts`, all of the same columns, which are written one after the other, each with shuffle files of its own."""
     folder, paths = "", []
     for df in parts:
@@ -75,7 +77,7 @@ def materialize_parts(parts: Iterable[DataFrame], tag: str) -> DataFrame:
         folder = folder or f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
         paths.append(f"{folder}-{len(paths)}" if paths else folder)
         with _shuffles_removed(spark):
-            df.write.parquet(paths[-1])
+            df.write.parquet(paths[-1], compression=codec)
     table = spark.read.schema(schema).parquet(*paths)
     table.__dict__["_written"] = True
     if (tables := _scratch.get()) is not None:
@@ -89,7 +91,7 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 
 def settle(build: Callable[[], DataFrame], tag: str) -> DataFrame:
-    """The rows of `build()`, written as `materialize` does it; the tables that were written inside are emptied then.
+    """The rows of `build()`, written as `materialize` does it, densely; the tables that were written inside are emptied then.
 
     Nothing but the result of `build` may read those tables.
     """
@@ -99,7 +101,7 @@ def settle(build: Callable[[], DataFrame], tag: str) -> DataFrame:
         written = _scratch.get()
     finally:
         _scratch.reset(token)
-    result = materialize(df, tag)
+    result = materialize(df, tag, DENSE)
     for table in written:
         discard(table)
     return result

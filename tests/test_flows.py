@@ -5,7 +5,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from mergelane.operators import enrichment, upsert
+from mergelane import session
+from mergelane.operators import enrichment, matching, upsert
 from mergelane.operators.mapping import GOLDEN_SCHEMA, conform, empty_table
 from mergelane.plans import customers, ingest, sales, views
 from mergelane.session import shared_folder
@@ -261,10 +262,10 @@ def test_sales_in_portions_are_the_same_sales(spark, monkeypatch):
     whole = sales.enrich_sales(*given)
     parts, write = [], sales.materialize_parts
 
-    def counted(frames, tag):
+    def counted(frames, *more):
         frames = list(frames)
         parts.extend(d.count() for d in frames)
-        return write(frames, tag)
+        return write(frames, *more)
 
     monkeypatch.setattr(sales, "PORTION_SALES", 30)
     monkeypatch.setattr(sales, "materialize_parts", counted)
@@ -314,6 +315,63 @@ def partners(spark):
     ))
 
 
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    """The next table's come when this one's have gone; the setting is the session's own again."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = _shuffle_files(spark), spark.conf.get(setting, None)
+    table = session.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert _shuffle_files(spark) <= before and spark.conf.get(setting, None) == was
+    assert sorted(r["count"] for r in table.collect()) == [142] * 1 + [143] * 6
+    parts = [spark.range(3).toDF("n"), spark.range(3, 5).toDF("n"), spark.range(0).toDF("n")]
+    assert sorted(r.n for r in session.materialize_parts(parts, "parts").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_settle_empties_what_was_written_on_the_way(spark):
+    inner = []
+
+    def build():
+        inner.append(session.materialize(spark.range(10), "inner"))
+        inner.append(session.settle(lambda: session.materialize(inner[0].filter("id > 2"), "deep").filter("id > 3"), "middle"))
+        return inner[-1].filter("id > 4")
+
+    out = session.settle(build, "outer")
+    assert sorted(r.id for r in out.collect()) == [5, 6, 7, 8, 9]
+    left = [spark.read.parquet(*{f.rpartition("/")[0] for f in t.inputFiles()}).count() for t in inner]
+    assert left == [0, 0]
+    assert session.stored(out, "again") is out and session.stored(out.filter("id > 5"), "again") is not out
+
+
+def test_customers_leave_one_table(spark, identities, crm, partners, tmp_path, monkeypatch):
+    """Of all that is matched and clustered, what nothing reads any more is emptied; accounts are found by the rules' columns."""
+    seen, write = [], matching.materialize
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(matching, "materialize", lambda df, tag, *more: seen.append((tag, df.columns)) or write(df, tag, *more))
+
+    def held():
+        return sorted(p.name.rpartition("-")[0] for p in tmp_path.iterdir() if spark.read.parquet(str(p)).count())
+
+    own = customers.match_internal(identities.select(*customers.ENTITY_COLUMNS, "place_id", "unique_id"))
+    assert held() == ["clustered"]
+    linked = customers.link_accounts(own, crm, partners)
+    assert held() == ["clustered", "filled"]
+    assert linked.count() >= own.count()
+    winners = next(columns for tag, columns in seen if tag == "winners")
+    assert "customer_city" not in winners and {"unique_id", "vat_number", "customer_postal_code"} <= {*winners}
+
+
+@pytest.mark.parametrize("handler", ["best", "multiple"])
+def test_rules_one_after_the_other_find_the_same(spark, identities, crm, handler):
+    ids, own = matching.Ids("unique_id", "c4cu_account_id"), identities.select(*customers.ENTITY_COLUMNS, "place_id", "unique_id")
+    whole, staged = (matching.apply_matching(own, crm, customers.EXTERNAL_RULES, ids, handler, staged=s) for s in (False, True))
+    assert whole.columns == staged.columns
+    assert sorted(map(str, whole.collect())) == sorted(map(str, staged.collect()))
+
+
 def test_identity_flow(identities, crm, partners):
     clusters = {r.unique_id: r.dim_sellout_cust_id for r in identities.collect()}
     assert clusters == {"1/w1": "1/w1", "1/w2": "1/w1", "2/w1": "1/w1", "3/w1": "3/w1", "4/w1": "4/w1", "5/w1": "5/w1"}

@@ -331,6 +331,7 @@ def apply_matching(
     ids: Ids,
     handler: str = "best",
     staged: bool = False,
+    onto: DataFrame | None = None,
 ) -> DataFrame:
     """All rows of `source` with a result column per rule, null where the rule finds nothing.
 
@@ -338,32 +339,46 @@ def apply_matching(
     target of every rule, so that a source with m and n targets under two rules gets m * n rows; where
     only the winning rule matters, `matched_pairs` has the same content in m + n rows.
 
-    Each rule shuffles all rows. `staged` writes them after each rule, so that the shuffle files and tables of one rule go
-    before the next one's come.
+    Each rule of ``best`` shuffles all rows; those of ``multiple`` are put together by source id, and the rows meet them once.
+    `staged` writes what is found after each rule, or behind the last one of ``multiple``, so that the shuffle files and tables
+    of a step go before the next one's come. `onto` is `source` with further columns or rows, if the results are to be added there.
     """
     if handler not in ("best", "multiple"):
         raise ValueError(f"handler is 'best' or 'multiple', not {handler!r}")
-    out = source
-    for rule in map(_as_rule, rules):
+    rules = [_as_rule(rule) for rule in rules]
+    if handler == "multiple":
+        build = lambda: _combinations(source, target, rules, ids)
+        found = settle(build, "combinations") if staged else build()
+        return join_all(source if onto is None else onto, found, [(ids.source, "source_id")], [c for c in found.columns if c != "source_id"])
+    out = source if onto is None else onto
+    for rule in rules:
         if not staged:
-            out = _with_matches(out, source, target, rule, ids, handler)
+            out = _with_best(out, source, target, rule, ids)
             continue
-        before, out = out, settle(lambda: _with_matches(out, source, target, rule, ids, handler), "matched")
-        if before is not source:
+        before, out = out, settle(lambda: _with_best(out, source, target, rule, ids), "matched")
+        if before is not source and before is not onto:
             discard(before)
     return out
 
 
-def _with_matches(out: DataFrame, source: DataFrame, target: DataFrame, rule: Rule, ids: Ids, handler: str) -> DataFrame:
-    exact = isinstance(rule, ExactRule)
-    if handler == "multiple":
-        pairs = exact_pairs(source, target, rule, ids) if exact else materialize(fuzzy_pairs(source, target, rule, ids), "pairs")
-        return _attach(out, pairs, ids, rule.result, *([] if exact else _fuzzy_columns(rule)[1:]))
-    if exact:
+def _with_best(out: DataFrame, source: DataFrame, target: DataFrame, rule: Rule, ids: Ids) -> DataFrame:
+    if isinstance(rule, ExactRule):
         return exact_best(out, target, rule, ids)
     return fuzzy_best(source, target, rule, ids, onto=out)
 
 
+def _combinations(source: DataFrame, target: DataFrame, rules: Sequence[Rule], ids: Ids) -> DataFrame:
+    """source_id once for every combination of a match of each rule, with the rules' columns; null where a rule finds nothing."""
+    found = source.select(F.col(ids.source).alias("source_id")).distinct()
+    for rule in rules:
+        if isinstance(rule, ExactRule):
+            pairs, more = exact_pairs(source, target, rule, ids), []
+        else:
+            pairs, more = materialize(fuzzy_pairs(source, target, rule, ids), "pairs"), _fuzzy_columns(rule)[1:]
+        found = _attach(found, pairs, replace(ids, source="source_id"), rule.result, *more)
+    return found
+
+
 def _as_rule(rule: Rule | Mapping) -> Rule:
     return rule_from_dict(rule) if isinstance(rule, Mapping) else rule
 

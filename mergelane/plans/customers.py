@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from mergelane.functions import text
 from mergelane.operators.clusters import cluster_occurrence, fill_in_cluster, first_rule_wins, unify_ids
 from mergelane.operators.enrichment import address_payload
-from mergelane.operators.lookups import join_all
+from mergelane.operators.lookups import join_all, lookup
 from mergelane.operators.mapping import conform
 from mergelane.operators.matching import Ids, Rule, apply_matching, rule_from_dict, winning_pairs
 from mergelane.operators.ranking import distinct_entities
-from mergelane.session import discard, materialize, settle, stored
+from mergelane.session import materialize, settle, stored
 
 # What describes a customer.
 ENTITY_COLUMNS = (
@@ -154,23 +154,26 @@ def match_external(customers: DataFrame, accounts: DataFrame, relationships: Dat
 
     def linked() -> DataFrame:
         own, targets = stored(customers, "customers"), materialize(accounts, "accounts")
-        wide = apply_matching(own, targets, EXTERNAL_RULES, Ids("unique_id", "c4cu_account_id"), "multiple", staged=True)
         partners = apply_matching(
             own, relationships, [RELATIONSHIP_RULE], Ids("unique_id", "c4cu_businesspartner_id"), "multiple"
         ).select(F.col("unique_id").alias("__sid"), "ext_BPR_match")
-        joined = join_all(wide, partners, [("unique_id", "__sid")], ["ext_BPR_match"])
+        # The rule that finds few goes first, so that customers are not shuffled with all their accounts.
+        known = join_all(own, partners, [("unique_id", "__sid")], ["ext_BPR_match"])
+        to_accounts = Ids("unique_id", "c4cu_account_id")
+        joined = apply_matching(own, targets, EXTERNAL_RULES, to_accounts, "multiple", staged=True, onto=known)
+        joined = joined.select(*[c for c in joined.columns if c != "ext_BPR_match"], "ext_BPR_match")
         return joined.withColumn("direct_c4S_account_id", first_rule_wins(ACCOUNT_PRIORITY))
 
     return _with_cluster_accounts(settle(linked, "linked"))
 
 
 def _with_cluster_accounts(linked: DataFrame) -> DataFrame:
-    """The table `linked` with the smallest account of the cluster and their number; `linked` itself is emptied."""
-    filled = settle(
-        lambda: fill_in_cluster(linked, "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id"), "filled"
-    )
-    discard(linked)
-    return cluster_occurrence(filled, "dim_sellout_cust_id", "C4S_account_id", "direct_c4S_account_id")
+    """The table `linked` with the smallest account of the cluster and their number: found from these columns, then met once."""
+    cluster, direct, account, number = "dim_sellout_cust_id", "direct_c4S_account_id", "C4S_account_id", "customer_number_Occurrence"
+    filled = fill_in_cluster(linked.select(cluster, direct).distinct(), cluster, direct, account)
+    counted = cluster_occurrence(filled, cluster, account, direct, number)
+    values = materialize(counted.select(cluster, account, number).distinct(), "cluster-accounts")
+    return lookup(linked, values, [cluster], [account, number], null_safe=True)
 
 
 # The tables of matched customers. Results are text; keys are the text keys of `customer_entities`.

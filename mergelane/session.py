@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -112,5 +113,6 @@ def discard(table: DataFrame) -> None:
     if table.__dict__.get("_written") is False:
         return  # emptied before
     table.__dict__["_written"] = False
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
     for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
-        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
+        table.sparkSession.range(0).coalesce(1).select(*columns).write.mode("overwrite").parquet(folder)

@@ -358,7 +358,7 @@ def test_customers_leave_one_table(spark, identities, crm, partners, tmp_path, m
     own = customers.match_internal(identities.select(*customers.ENTITY_COLUMNS, "place_id", "unique_id"))
     assert held() == ["clustered"]
     linked = customers.link_accounts(own, crm, partners)
-    assert held() == ["clustered", "filled"]
+    assert held() == ["cluster-accounts", "clustered", "linked"]
     assert linked.count() >= own.count()
     winners = next(columns for tag, columns in seen if tag == "winners")
     assert "customer_city" not in winners and {"unique_id", "vat_number", "customer_postal_code"} <= {*winners}
